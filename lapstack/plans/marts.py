@@ -558,7 +558,7 @@ def lap_time_analysis(
     constructors: DataFrame,
 ) -> DataFrame:
     """Every lap against the best of its race, the best of its lap number, and the lap before."""
-    driven = lap_times.join(results.select(*ENTRY, "constructor_id"), ENTRY)
+    driven = lap_times.join(results.select(*ENTRY, "result_id", "constructor_id"), ENTRY)
     laps = (
         driven.withColumnRenamed("lap_milliseconds", "lap_ms")
         .join(_race_columns(races), "race_id")
@@ -573,8 +573,8 @@ def lap_time_analysis(
     )
     per_race = per_lap.groupBy("race_id").agg(F.min("leader_lap_ms").alias("race_best_lap_ms"))
     profile = profile_groups(driven, ENTRY)
-    by_number = [F.col("lap_number").asc_nulls_last(), F.col("lap_ms").asc_nulls_last(), F.col("constructor_id").asc()]
-    by_time = [F.col("lap_ms").asc_nulls_last(), F.col("lap_number").asc_nulls_last(), F.col("constructor_id").asc()]
+    by_number = [F.col(c).asc_nulls_last() for c in ("lap_number", "lap_ms", "result_id")]
+    by_time = [F.col(c).asc_nulls_last() for c in ("lap_ms", "lap_number", "result_id")]
     scanned = ordered_scan(laps, ENTRY, by_number, {"lap_seq": row_number(), "_before": previous("lap_ms")}, profile)
     scanned = ordered_scan(scanned, ENTRY, by_time, {"driver_lap_rank": row_number()}, profile)
     joined = (
@@ -624,7 +624,7 @@ def pit_stop_analysis(
 ) -> DataFrame:
     """Every stop against the others of its number, and against the driver's stop before."""
     stopped = pit_stops.join(
-        results.select(*ENTRY, "constructor_id", "grid_position", "finish_position"), ENTRY
+        results.select(*ENTRY, "result_id", "constructor_id", "grid_position", "finish_position"), ENTRY
     ).withColumnRenamed("stop_milliseconds", "stop_ms")
     stops = (
         stopped.join(_race_columns(races), "race_id")
@@ -638,7 +638,7 @@ def pit_stop_analysis(
     per_entry = stops.groupBy(*ENTRY).agg(
         F.sum("stop_ms").alias("total_pit_ms"), F.count(F.lit(1)).alias("total_stops")
     )
-    order = [F.col("stop_number").asc_nulls_last(), F.col("stop_ms").asc_nulls_last(), F.col("constructor_id").asc()]
+    order = [F.col(c).asc_nulls_last() for c in ("stop_number", "stop_ms", "result_id")]
     scanned = ordered_scan(
         stops, ENTRY, order, {"stop_seq": row_number(), "_before": previous("stop_ms")}, profile_groups(stopped, ENTRY)
     )

@@ -7,9 +7,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapstack.operators.keys import append_ids, append_missing, lookup_or_fail, new_keys, resolve_keys, with_lineage
+from lapstack.operators.keys import (
+    append_ids,
+    append_missing,
+    lookup_or_fail,
+    max_id,
+    new_keys,
+    resolve_keys,
+    with_lineage,
+)
 from lapstack.operators.scans import dense_ids
-from lapstack.operators.keys import max_id
 from lapstack.schemas import BRONZE_COLUMNS, FIRST_API_YEAR, ID_COLUMNS, NATURAL_KEYS
 from lapstack.sources import payloads as p
 from lapstack.sources.files import read_history, read_payload, read_year_payloads

@@ -49,14 +49,14 @@ def read_history(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def read_payload(spark: SparkSession, path: str, endpoint: str) -> DataFrame:
-    """One nested row per landed payload document."""
-    return spark.read.schema(payload_schema(endpoint)).option("multiLine", True).json(path)
+def read_payload(spark: SparkSession, path: str, endpoint: str, multi_line: bool = True) -> DataFrame:
+    """One nested row per payload document: a file each, or (splittable) a line each."""
+    return spark.read.schema(payload_schema(endpoint)).option("multiLine", multi_line).json(path)
 
 
 def year_from_path(df: DataFrame) -> DataFrame:
-    """Add ``year``: the number that names the folder of the file a row came from."""
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
+    """Add ``year``: the number that names the folder (``2025`` or ``year=2025``) of a row's file."""
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/(?:year=)?([^/]+)/[^/]+$", 1)
     return df.select("*", F.when(folder.rlike("^[0-9]+$"), folder.cast("int")).alias("year"))
 
 

@@ -25,19 +25,24 @@ SESSIONS = {
 
 
 def explode_entries(payloads: DataFrame, endpoint: str) -> DataFrame:
-    """``year``, position and struct of every entry of the payload's top array."""
-    return payloads.select("year", F.posexplode(payload_path(endpoint)).alias("_entry", "e"))
+    """``year``, position and struct of every entry of the payload's top array.
+
+    ``_offset`` is the place of a page's first item in the whole list (0 for merged files).
+    """
+    offset = F.coalesce(F.col("MRData.offset").try_cast("int"), F.lit(0)).alias("_offset")
+    return payloads.select("year", offset, F.posexplode(payload_path(endpoint)).alias("_entry", "e"))
 
 
 def explode_items(entries: DataFrame, array: str) -> DataFrame:
-    """One row per element of a nested array of the entry, with its position."""
+    """One row per element of a nested array of the entry, with its place in the list."""
     return entries.select(
         "year",
         "_entry",
+        "_offset",
         F.col("e.season").cast("int").alias("season"),
         F.col("e.round").cast("int").alias("round"),
-        F.posexplode(f"e.{array}").alias("_item", "i"),
-    )
+        F.posexplode(f"e.{array}").alias("_pos", "i"),
+    ).select("year", "_entry", (F.col("_offset") + F.col("_pos")).alias("_item"), "season", "round", "i")
 
 
 def round_items(payloads: DataFrame, endpoint: str) -> DataFrame:
