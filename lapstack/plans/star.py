@@ -14,7 +14,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapstack.operators.scans import ordered_scan, row_number
+from lapstack.operators.scans import ordered_scan, profile_groups, row_number
 from lapstack.plans import marts
 from lapstack.plans.models import MART_MODELS, Model
 from lapstack.plans.silver import classify_status
@@ -60,10 +60,10 @@ def entries(orders: DataFrame, customer: DataFrame) -> DataFrame:
         F.max("o_orderstatus").alias("last_status"),
         F.count(F.lit(1)).cast("int").alias("laps_completed"),
     ).withColumn("race_id", _race_id())
-    gridded = ordered_scan(base, ["race_id"], [F.col("first_order").asc()], {"grid_position": row_number()})
-    placed = ordered_scan(
-        gridded, ["race_id"], [F.col("points").desc(), F.col("driver_id").asc()], {"_place": row_number()}
-    )
+    profile = profile_groups(base, ["race_id"])
+    gridded = ordered_scan(base, ["race_id"], [F.col("first_order").asc()], {"grid_position": row_number()}, profile)
+    by_points = [F.col("points").desc(), F.col("driver_id").asc()]
+    placed = ordered_scan(gridded, ["race_id"], by_points, {"_place": row_number()}, profile)
     stopped = (F.col("last_status") == "P") & (F.col("grid_position") % 2 == 0)
     return placed.select(
         "race_id",
@@ -290,9 +290,6 @@ STAR_MODELS: dict[str, Model] = {
     },
 }
 
-# one row group of views that several models read is written once; small ones stay lazy
-_STORED = {"entries", "lap_lines", *MART_MODELS}
-
 _stores: dict[tuple, dict[str, str]] = {}
 
 
@@ -316,8 +313,6 @@ class StarTables:
     def __getitem__(self, name: str) -> DataFrame:
         if name in RAW:
             return self.raw(name)
-        if name not in _STORED:
-            return self._build(name)
         if name not in self._store:
             path = scratch_path(self.spark, name)
             df, partition = self._build(name), STAR_MODELS[name].partition
