@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapstack.operators.scans import leading, ordered_scan, row_number, same_keys
+from lapstack.operators.scans import leading, ordered_scan, row_number, running_sum, same_keys
 
 
 def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -64,6 +64,33 @@ def pivot_matrix(
     return wide.select(*row_keys, *[F.col(f"`{c}`").alias(f"{prefix}{c}") for c in columns])
 
 
-def five_numbers(value: Column | str) -> Column:
-    """Minimum, quartiles and maximum, interpolated."""
-    return F.percentile(value, F.array(*[F.lit(q) for q in (0.0, 0.25, 0.5, 0.75, 1.0)]))
+# The five numbers of a distribution and their quantiles.
+FIVE_NUMBERS = {"lowest": 0.0, "quartile_1": 0.25, "median": 0.5, "quartile_3": 0.75, "highest": 1.0}
+
+
+def five_numbers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Minimum, quartiles and maximum per group, exact and interpolated.
+
+    Equal values are counted first; the running count over the distinct values tells which
+    of them hold the wanted places, so no group's values meet in one buffer.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    upto = ordered_scan(counts, keys, [F.col(value).asc()], {"_upto": running_sum("_c")})
+    placed = with_group_stats(upto, keys, {"_n": F.sum("_c")})
+    at = {name: F.lit(q) * (F.col("_n") - 1) for name, q in FIVE_NUMBERS.items()}
+
+    def holds(place: Column) -> Column:
+        return (F.col("_upto") > place) & (F.col("_upto") - F.col("_c") <= place)
+
+    ends = []
+    for name, place in at.items():
+        ends.append(F.max(F.when(holds(F.floor(place)), F.col(value))).cast("double").alias(f"_{name}_low"))
+        ends.append(F.max(F.when(holds(F.ceil(place)), F.col(value))).cast("double").alias(f"_{name}_high"))
+    found = placed.groupBy(*keys, "_n").agg(*ends)
+    return found.select(
+        *keys,
+        *[
+            (F.col(f"_{n}_low") + (F.col(f"_{n}_high") - F.col(f"_{n}_low")) * (p - F.floor(p))).alias(n)
+            for n, p in at.items()
+        ],
+    )

@@ -317,9 +317,4 @@ def slowest_stops(stops: DataFrame, race_id, n: int = 20) -> DataFrame:
 
 def stop_distribution(stops: DataFrame, race_id) -> DataFrame:
     """Five-number summary of stop times per team, in milliseconds."""
-    five = (
-        where_equal(stops, race_id=race_id).groupBy("constructor_name").agg(five_numbers("stop_ms").alias("q"))
-    )
-    names = ["lowest", "quartile_1", "median", "quartile_3", "highest"]
-    return five.select("constructor_name", *[F.get("q", F.lit(i)).alias(n) for i, n in enumerate(names)])
-
+    return five_numbers(where_equal(stops, race_id=race_id), ["constructor_name"], "stop_ms")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["marts", "relational"]
+_MODULES = ["marts", "relational", "typed"]
 
 
 def load():

@@ -158,8 +158,8 @@ def _records_per_circuit(t):
 
 def _record_sql(name: str, condition: str) -> str:
     return (
-        f"LEFT JOIN (SELECT circuit_id, driver_id AS {name} FROM entries WHERE {condition} GROUP BY ALL "
-        f"QUALIFY row_number() OVER (PARTITION BY circuit_id ORDER BY count(*) DESC, driver_id) = 1) USING (circuit_id)"
+        f"LEFT JOIN (SELECT circuit_id, driver_id AS {name} FROM entries WHERE {condition} GROUP BY circuit_id, "
+        f"driver_id QUALIFY row_number() OVER (PARTITION BY circuit_id ORDER BY count(*) DESC, driver_id) = 1) USING (circuit_id)"
     )
 
 
@@ -399,13 +399,7 @@ register(
 register(
     "agg_14_five_numbers",
     "constructor_id lowest:double quartile_1:double median:double quartile_3:double highest:double",
-    lambda t: t["entries"]
-    .groupBy("constructor_id")
-    .agg(five_numbers("grid_position").alias("q"))
-    .select(
-        "constructor_id",
-        *[F.get("q", F.lit(i)).alias(n) for i, n in enumerate("lowest quartile_1 median quartile_3 highest".split())],
-    ),
+    lambda t: five_numbers(t["entries"], ["constructor_id"], "grid_position"),
     "SELECT constructor_id, "
     + ", ".join(
         f"quantile_cont(grid_position, {q}) AS {n}"
