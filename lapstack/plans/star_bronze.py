@@ -5,7 +5,7 @@ Numbers are folded into the ranges the typed tables allow, so casts stay strict
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,17 +54,47 @@ def _standing(points: Column, position: Column, wins: Column) -> dict[str, Colum
     return {"points": points, "position": _text(position), "positionText": _text(position), "wins": _text(wins)}
 
 
-def bronze_tables(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All thirteen tables; ``t`` gives the star models by name."""
-    def made(model: str, columns: dict[str, Column], source: Column | None = None) -> DataFrame:
+class BronzeTables(Mapping):
+    """The thirteen tables by name, each planned when it is asked for."""
+
+    def __init__(self, plans: dict[str, Callable[[], DataFrame]]):
+        self._plans = plans
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._plans[name]()
+
+    def __iter__(self):
+        return iter(self._plans)
+
+    def __len__(self) -> int:
+        return len(self._plans)
+
+
+def bronze_tables(t: Mapping[str, DataFrame]) -> BronzeTables:
+    """``t`` gives the star models by name."""
+
+    def made(model: str, columns: dict[str, Column], source: Column | None = None) -> Callable[[], DataFrame]:
         lineage = F.col("source") if source is None else source
-        return t[model].select(*[c.alias(n) for n, c in columns.items()], lineage.alias("source"))
+        return lambda: t[model].select(*[c.alias(n) for n, c in columns.items()], lineage.alias("source"))
+
+    def team_standings() -> DataFrame:
+        sizes = t["entries"].groupBy("race_id", "constructor_id", "source").agg(F.count(F.lit(1)).alias("_n"))
+        points = F.concat(_text(F.col("_n") % 500), F.lit(".00"))
+        standing = _standing(points, F.col("_n") % 20 + 1, F.col("_n") % 5)
+        key = F.col("race_id") * F.lit(10_000_000_000) + F.col("constructor_id")
+        return sizes.select(
+            _text(key).alias("constructorStandingsId"),
+            _text("race_id").alias("raceId"),
+            _text("constructor_id").alias("constructorId"),
+            *[c.alias(n) for n, c in standing.items()],
+            "source",
+        )
 
     history = F.lit("historical")
     even_round = F.col("round") % 2 == 0
     day = _text("race_date")
     sprint = F.col("round").isin(4, 8, 12)
-    return {
+    plans = {
         "seasons": made(
             "dim_seasons", {"year": _text("year"), "url": F.concat(F.lit("http://seasons/"), _text("year"))}
         ),
@@ -200,19 +230,6 @@ def bronze_tables(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
                 ),
             },
         ),
-        "constructor_standings": t["entries"]
-        .groupBy("race_id", "constructor_id", "source")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            _text(F.col("race_id") * F.lit(10_000_000_000) + F.col("constructor_id")).alias("constructorStandingsId"),
-            _text("race_id").alias("raceId"),
-            _text("constructor_id").alias("constructorId"),
-            *[
-                c.alias(n)
-                for n, c in _standing(
-                    F.concat(_text(F.col("_n") % 500), F.lit(".00")), F.col("_n") % 20 + 1, F.col("_n") % 5
-                ).items()
-            ],
-            "source",
-        ),
+        "constructor_standings": team_standings,
     }
+    return BronzeTables(plans)

@@ -156,6 +156,11 @@ def _register_sample(key: str, columns: str, plan, tables: list[str], body: str)
     register(key, columns, plan, prefix + body, views)
 
 
+def _loaded(tables, *names: str):
+    """Tables as loading leaves them: an empty text is NULL."""
+    return {n: tables[n].select(*[F.nullif(c, F.lit("")).alias(c) for c in tables[n].columns]) for n in names}
+
+
 _LATEST = "(SELECT max(year) FROM dim_races)"
 _SILVER_OF = {bronze: name for name, (bronze, _) in SILVER_FIELDS.items()}
 _register_sample(
@@ -248,10 +253,7 @@ _register_sample(
 _register_sample(
     "smp_10_qualifying_listing",
     "year round driver:text quali_pos grid_pos race_pos points:double",
-    lambda t: sample(
-        "qualifying_listing",
-        {n: df.withColumn("position", F.nullif("position", F.lit(""))) if n == "results" else df for n, df in bronze_tables(t).items()},
-    ),
+    lambda t: sample("qualifying_listing", _loaded(bronze_tables(t), "qualifying", "drivers", "races", "results")),
     ["fact_qualifying", "dim_drivers", "dim_races", "fact_results"],
     "SELECT r.year, r.round, forename || ' ' || surname AS driver, qualifying_position AS quali_pos, "
     "grid_position AS grid_pos, finish_position AS race_pos, points FROM fact_qualifying q "
