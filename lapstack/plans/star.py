@@ -321,6 +321,14 @@ class StarTables:
             self._store[name] = path
         return self.spark.read.parquet(self._store[name])
 
+    def landed(self, name: str, write: Callable[[StarTables, str], None]) -> str:
+        """A folder of landed files derived from the tables, written once per session and data."""
+        if name not in self._store:
+            path = scratch_path(self.spark, name)
+            write(self, path)
+            self._store[name] = path
+        return self._store[name]
+
     def _build(self, name: str) -> DataFrame:
         model = STAR_MODELS[name]
         return model.build(*[self[i] for i in model.inputs])

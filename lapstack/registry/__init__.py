@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["marts", "relational", "typed", "scalars", "serving"]
+_MODULES = ["sources", "marts", "relational", "typed", "scalars", "serving"]
 
 
 def load():

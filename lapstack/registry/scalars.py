@@ -124,14 +124,14 @@ register(
 )
 register(
     "scl_9_strip_zulu",
-    "event_id at:text",
+    "event_id clock:text",
     lambda t: t.raw("events").select(
         "event_id",
         s.strip_zulu(
             F.concat(F.date_format("ts", "HH:mm:ss"), F.when(F.col("event_id") % 2 == 0, F.lit("Z")).otherwise(""))
-        ).alias("at"),
+        ).alias("clock"),
     ),
-    "SELECT event_id, strftime(ts, '%H:%M:%S') AS at FROM events",
+    "SELECT event_id, strftime(ts, '%H:%M:%S') AS clock FROM events",
 )
 register(
     "scl_10_load_stamp",
