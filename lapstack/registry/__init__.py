@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["sources", "marts", "relational", "typed", "scalars", "serving"]
+_MODULES = ["sources", "keys", "marts", "relational", "typed", "scalars", "serving", "checks"]
 
 
 def load():

@@ -29,7 +29,7 @@ class Query:
     def sql(self) -> str | None:
         if self.body is None:
             return None
-        shown = ", ".join(f"CAST({name} AS {_SQL_TYPES[kind]}) AS {name}" for name, kind in self.columns)
+        shown = ", ".join(f'CAST("{name}" AS {_SQL_TYPES[kind]}) AS "{name}"' for name, kind in self.columns)
         return with_views(self.views, f"SELECT {shown} FROM ({self.body}) q")
 
 
