@@ -170,6 +170,7 @@ def bronze_report(
     minimum: int = 0,
 ) -> DataFrame:
     """Row counts, primary keys, foreign keys and lineage of the bronze tables."""
+    tables = dict(tables)
     parts = [row_count(df, t, minimum) for t, df in tables.items()]
     parts += [primary_key(tables[t], t, k) for t, k in keys.items() if t in tables]
     parts += [

@@ -299,6 +299,7 @@ class StarTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
         self.sf_dir = sf_dir.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
         self._store = _stores.setdefault((spark.sparkContext.applicationId, self.sf_dir, self._fingerprint()), {})
 
     def _fingerprint(self) -> tuple:
@@ -307,8 +308,13 @@ class StarTables:
         files = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path)
         return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
 
+    def _read(self, path: str) -> DataFrame:
+        if path not in self._frames:
+            self._frames[path] = self.spark.read.parquet(path)
+        return self._frames[path]
+
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read(f"{self.sf_dir}/{name}.parquet")
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in RAW:
@@ -319,7 +325,7 @@ class StarTables:
             writer = (df.hint("rebalance", partition) if partition else df).write
             (writer.partitionBy(partition) if partition else writer).parquet(path)
             self._store[name] = path
-        return self.spark.read.parquet(self._store[name])
+        return self._read(self._store[name])
 
     def landed(self, name: str, write: Callable[[StarTables, str], None]) -> str:
         """A folder of landed files derived from the tables, written once per session and data."""

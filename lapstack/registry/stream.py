@@ -1,29 +1,49 @@
-"""Registered streaming ingestion: landed rounds of two fetches, taken in by arrival."""
+"""Registered streaming ingestion: rounds landed by two fetches, taken in as they arrive."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lapstack.operators.rounds import PAGE_ITEMS, nest_rounds
 from lapstack.registry.core import register
 from lapstack.session import scratch_path
-from lapstack.streaming.rounds import ROUND_KEYS, current_items, run_available
+from lapstack.streaming.rounds import current_items, run_available
 
-_PAGE = 100
+_ROUND = ["season", "round"]
 
 
-def _landing(t, path: str, fetch: int, changed: bool) -> None:
-    """Orders of a month as one landed round file per page; some come back empty."""
-    orders = t.raw("orders").select(
-        F.year("o_orderdate").alias("season"),
-        F.month("o_orderdate").alias("round"),
+def _land(t, path: str, fetch: int) -> None:
+    """Entries of a month as a round; the second fetch has even rounds, every other one empty."""
+    item = F.concat_ws(":", F.col("driver_id").cast("string"), F.lit(str(fetch)))
+    rows = t["entries"].select(*_ROUND, "grid_position", item.alias("item"))
+    if fetch > 1:
+        rows = rows.filter("round % 2 = 0")
+    pages = nest_rounds(rows, _ROUND, [F.col("grid_position").asc()], ["item"])
+    items = F.transform("items", lambda i: i["item"])
+    if fetch > 1:
+        items = F.when(F.col("round") % 4 != 0, items).otherwise(F.array().cast("array<string>"))
+    pages.select(
+        *_ROUND,
         F.lit("results").alias("endpoint"),
-        F.lit(fetch).cast("bigint").alias("fetch"),
-        F.pmod("o_orderkey", F.lit(_PAGE)).alias("page"),
-        F.concat_ws(":", F.col("o_orderkey").cast("string"), F.lit(fetch).cast("string")).alias("item"),
-    )
-    if changed:
-        orders = orders.filter("round % 2 = 0")
-    keys = ["season", "round", "endpoint", "fetch"]
-    item = F.when(F.lit(not changed) | (F.col("round") % 4 != 0), F.col("item"))
-    pages = orders.groupBy(*keys, "page").agg(F.sort_array(F.collect_list(item)).alias("items"))
-    pages.drop("page").write.json(path)
+        F.lit(fetch).alias("fetch"),
+        (F.col("page") * PAGE_ITEMS).alias("offset"),
+        items.alias("items"),
+    ).write.json(f"{path}/fetch_{fetch}")
+
+
+def _streamed(t):
+    landing, store, progress = (scratch_path(t.spark, n) for n in ("landing", "rounds", "progress"))
+    for fetch in (1, 2):
+        _land(t, landing, fetch)
+        run_available(t.spark, f"{landing}/*", store, progress)
+    return current_items(t.spark, store)
+
+
+register(
+    "str_1_rounds_by_arrival",
+    "season round endpoint:text ordinal item:text",
+    _streamed,
+    "SELECT season, round, 'results' AS endpoint, grid_position AS ordinal, driver_id || CASE WHEN round % 2 = 0 AND "
+    "round % 4 <> 0 THEN ':2' ELSE ':1' END AS item FROM entries",
+    ["entries"],
+)

@@ -15,19 +15,24 @@ from lapstack.operators.rounds import upsert_items
 from lapstack.session import tune
 
 ROUND_KEYS = ["season", "round", "endpoint"]
-LANDED = "season int, round int, endpoint string, fetch bigint, items array<string>"
-STORED = "season int, round int, endpoint string, ordinal bigint, item string"
+# one landed line is a page of a round: its fetch number, the place of its first item, its items
+LANDED = "season int, round int, endpoint string, fetch bigint, `offset` bigint, items array<string>"
+STORED = "season int, round int, endpoint string, fetch bigint, ordinal bigint, item string"
 
 
 def explode_landed(landed: DataFrame) -> DataFrame:
-    """One row per item of a round's newest non-empty landing; empty landings give none."""
-    filled = landed.filter(F.size("items") > 0)
-    newest = filled.groupBy(*ROUND_KEYS).agg(F.max("fetch").alias("fetch"))
-    return filled.join(newest, [*ROUND_KEYS, "fetch"], "left_semi").select(*ROUND_KEYS, F.posexplode("items").alias("_pos", "item")).select(
-        *ROUND_KEYS, (F.col("_pos") + 1).cast("bigint").alias("ordinal"), "item"
+    """One row per landed item with its place in the round; empty pages give none."""
+    return landed.select(*ROUND_KEYS, "fetch", "offset", F.posexplode("items").alias("_pos", "item")).select(
+        *ROUND_KEYS, "fetch", (F.col("offset") + F.col("_pos") + 1).cast("bigint").alias("ordinal"), "item"
     )
 
 
+def newest_fetch(items: DataFrame) -> DataFrame:
+    """Items of the latest fetch that brought a round any; pages of one fetch may arrive apart."""
+    newest = items.groupBy(*ROUND_KEYS).agg(F.max("fetch").alias("fetch"))
+    return items.join(newest, [*ROUND_KEYS, "fetch"], "left_semi")
+
+
 def current_items(spark: SparkSession, store: str, before: int | None = None) -> DataFrame:
     """Items of every season's newest version (older than ``before``, if given)."""
     path = spark._jvm.org.apache.hadoop.fs.Path(store)
@@ -43,9 +48,11 @@ def current_items(spark: SparkSession, store: str, before: int | None = None) ->
 def apply_batch(spark: SparkSession, store: str, landed: DataFrame, batch_id: int) -> None:
     """Upsert one micro-batch and write the touched seasons as the batch's version."""
     fetched = explode_landed(landed)
-    touched = fetched.select("season").distinct()
-    stored = current_items(spark, store, before=batch_id).join(touched, "season", "left_semi")
-    merged = upsert_items(stored, fetched, ROUND_KEYS)
+    stored = current_items(spark, store, before=batch_id).join(
+        fetched.select("season").distinct(), "season", "left_semi"
+    )
+    touched = stored.join(fetched.select(*ROUND_KEYS).distinct(), ROUND_KEYS, "left_semi")
+    merged = upsert_items(stored, newest_fetch(touched.unionByName(fetched)), ROUND_KEYS)
     (
         merged.withColumn("version", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
