@@ -197,20 +197,23 @@ register(
     "SELECT c_mktsegment, count(*) AS collected, count(*) AS reported, true AS complete FROM customer GROUP BY 1",
 )
 
-_DATED = F.when(F.col("o_orderkey") % 50 != 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
+def _dated(t):
+    """Orders with their ISO date; every fiftieth has none."""
+    date = F.when(F.col("o_orderkey") % 50 != 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return t.raw("orders").withColumn("date", date)
+
+
 register(
     "src_10_due_rounds",
     "o_orderkey date:text",
-    lambda t: rounds.due_rounds(t.raw("orders").withColumn("date", _DATED), "1998-06-30"),
+    lambda t: rounds.due_rounds(_dated(t), "1998-06-30"),
     "SELECT o_orderkey, CASE WHEN o_orderkey % 50 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS date FROM orders "
     "WHERE o_orderkey % 50 = 0 OR o_orderdate <= TIMESTAMP '1998-06-30 23:59:59'",
 )
 register(
     "src_10_due_sprint_rounds",
     "o_orderkey",
-    lambda t: rounds.due_rounds(
-        t.raw("orders").withColumn("date", _DATED), "1998-06-30", sprint=F.col("o_orderstatus") == "F"
-    ),
+    lambda t: rounds.due_rounds(_dated(t), "1998-06-30", sprint=F.col("o_orderstatus") == "F"),
     "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND (o_orderkey % 50 = 0 OR "
     "o_orderdate <= TIMESTAMP '1998-06-30 23:59:59')",
 )
