@@ -51,8 +51,16 @@ class GroupProfile:
     hot_rows: int
 
 
-def profile_groups(df: DataFrame, keys: Sequence[str]) -> GroupProfile:
-    """How many groups exceed the row limit of a task: one aggregation, one row back."""
+def profile_groups(df: DataFrame, keys: Sequence[str], within: DataFrame | None = None) -> GroupProfile:
+    """How many groups exceed the row limit of a task: one aggregation, one row back.
+
+    ``within`` may name a cheaper frame whose groups are at least as large; when none of
+    those is too large, ``df`` itself is not counted.
+    """
+    if within is not None:
+        outer = profile_groups(within, keys)
+        if outer.hot_groups == 0:
+            return outer
     limit = group_rows(df.sparkSession)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = F.col("_n") > limit

@@ -264,7 +264,13 @@ def driver_season_summary(hub: DataFrame, average: tuple[int, int] = (4, 2)) ->
         F.max("constructor_name").alias("team"),
         exact_avg("finish_position", *average).alias("avg_finish_position"),
     )
-    ranked = ordered_scan(rollup, ["season"], _title_order("driver_id"), {"championship_position": row_number()})
+    ranked = ordered_scan(
+        rollup,
+        ["season"],
+        _title_order("driver_id"),
+        {"championship_position": row_number()},
+        profile=profile_groups(rollup, ["season"], within=hub),
+    )
     return ranked.select(
         composite_text_key("driver_id", "season").alias("driver_id_season"),
         "driver_id",
@@ -304,7 +310,7 @@ def constructor_season_summary(hub: DataFrame) -> DataFrame:
         ["season"],
         _title_order("constructor_id"),
         {"championship_position": row_number()},
-        profile=profile_groups(rollup, ["season"]),
+        profile=profile_groups(rollup, ["season"], within=hub),
     )
     return ranked.select(
         composite_text_key("constructor_id", "season").alias("constructor_id_season"),
@@ -558,27 +564,32 @@ def lap_time_analysis(
     constructors: DataFrame,
 ) -> DataFrame:
     """Every lap against the best of its race, the best of its lap number, and the lap before."""
-    driven = lap_times.join(results.select(*ENTRY, "result_id", "constructor_id"), ENTRY)
-    laps = (
-        driven.withColumnRenamed("lap_milliseconds", "lap_ms")
-        .join(_race_columns(races), "race_id")
-        .join(_driver_columns(drivers, F.col("code").alias("driver_code")), "driver_id")
-        .join(_circuit_columns(circuits), "circuit_id")
+    driven = lap_times.withColumnRenamed("lap_milliseconds", "lap_ms").join(
+        results.select(*ENTRY, "result_id", "constructor_id"), ENTRY
     )
+    race = _race_columns(races).join(_circuit_columns(circuits), "circuit_id")
+    driver = _driver_columns(drivers, F.col("code").alias("driver_code"))
+
     # statistics per lap number first; the race's best lap follows from those few rows
-    per_lap = laps.groupBy("race_id", "lap_number").agg(
+    counted = driven.join(race.select("race_id"), "race_id").join(driver.select("driver_id"), "driver_id")
+    per_lap = counted.groupBy("race_id", "lap_number").agg(
         F.min("lap_ms").alias("leader_lap_ms"),
         exact_avg("lap_ms", 38, 6).alias("lap_avg_ms"),
         F.count(F.lit(1)).alias("drivers_on_lap"),
     )
     per_race = per_lap.groupBy("race_id").agg(F.min("leader_lap_ms").alias("race_best_lap_ms"))
+
+    # a missing race or driver drops whole entries, so the scans over entries can come before
+    # those joins and keep the partitioning of the first one
     profile = profile_groups(driven, ENTRY)
     by_number = [F.col(c).asc_nulls_last() for c in ("lap_number", "lap_ms", "result_id")]
     by_time = [F.col(c).asc_nulls_last() for c in ("lap_ms", "lap_number", "result_id")]
-    scanned = ordered_scan(laps, ENTRY, by_number, {"lap_seq": row_number(), "_before": previous("lap_ms")}, profile)
+    scanned = ordered_scan(driven, ENTRY, by_number, {"lap_seq": row_number(), "_before": previous("lap_ms")}, profile)
     scanned = ordered_scan(scanned, ENTRY, by_time, {"driver_lap_rank": row_number()}, profile)
     joined = (
-        scanned.join(per_lap.join(per_race, "race_id"), ["race_id", "lap_number"])
+        scanned.join(race, "race_id")
+        .join(driver, "driver_id")
+        .join(per_lap.join(per_race, "race_id"), ["race_id", "lap_number"])
         .join(_constructor_columns(constructors), "constructor_id", "left")
     )
     lap = F.col("lap_ms")
@@ -623,26 +634,31 @@ def pit_stop_analysis(
     circuits: DataFrame,
 ) -> DataFrame:
     """Every stop against the others of its number, and against the driver's stop before."""
-    stopped = pit_stops.join(
-        results.select(*ENTRY, "result_id", "constructor_id", "grid_position", "finish_position"), ENTRY
-    ).withColumnRenamed("stop_milliseconds", "stop_ms")
-    stops = (
-        stopped.join(_race_columns(races), "race_id")
-        .join(_driver_columns(drivers, F.col("code").alias("driver_code")), "driver_id")
-        .join(_constructor_columns(constructors), "constructor_id")
-        .join(_circuit_columns(circuits), "circuit_id")
+    result = results.select(*ENTRY, "result_id", "constructor_id", "grid_position", "finish_position").join(
+        _constructor_columns(constructors), "constructor_id"
     )
-    per_stop = stops.groupBy("race_id", "stop_number").agg(
+    stopped = pit_stops.withColumnRenamed("stop_milliseconds", "stop_ms").join(result, ENTRY)
+    race = _race_columns(races).join(_circuit_columns(circuits), "circuit_id")
+    driver = _driver_columns(drivers, F.col("code").alias("driver_code"))
+
+    counted = stopped.join(race.select("race_id"), "race_id").join(driver.select("driver_id"), "driver_id")
+    per_stop = counted.groupBy("race_id", "stop_number").agg(
         exact_avg("stop_ms", 38, 6).alias("_avg"), F.min("stop_ms").alias("_best"), F.max("stop_ms").alias("_worst")
     )
-    per_entry = stops.groupBy(*ENTRY).agg(
+    # a missing race or driver drops whole entries: totals and scans over entries come before those joins
+    per_entry = stopped.groupBy(*ENTRY).agg(
         F.sum("stop_ms").alias("total_pit_ms"), F.count(F.lit(1)).alias("total_stops")
     )
     order = [F.col(c).asc_nulls_last() for c in ("stop_number", "stop_ms", "result_id")]
     scanned = ordered_scan(
-        stops, ENTRY, order, {"stop_seq": row_number(), "_before": previous("stop_ms")}, profile_groups(stopped, ENTRY)
+        stopped, ENTRY, order, {"stop_seq": row_number(), "_before": previous("stop_ms")}, profile_groups(stopped, ENTRY)
+    )
+    joined = (
+        scanned.join(per_entry, ENTRY)
+        .join(race, "race_id")
+        .join(driver, "driver_id")
+        .join(per_stop, ["race_id", "stop_number"])
     )
-    joined = scanned.join(per_entry, ENTRY).join(per_stop, ["race_id", "stop_number"])
     stop = F.col("stop_ms")
     return joined.select(
         surrogate_key([*ENTRY, "stop_number"]).alias("pit_analysis_key"),

@@ -290,7 +290,8 @@ STAR_MODELS: dict[str, Model] = {
     },
 }
 
-_stores: dict[tuple, dict[str, str]] = {}
+# per session and data: paths of stored models, and the frames already opened
+_stores: dict[tuple, tuple[dict[str, str], dict[str, DataFrame]]] = {}
 
 
 class StarTables:
@@ -299,8 +300,8 @@ class StarTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
         self.sf_dir = sf_dir.rstrip("/")
-        self._frames: dict[str, DataFrame] = {}
-        self._store = _stores.setdefault((spark.sparkContext.applicationId, self.sf_dir, self._fingerprint()), {})
+        key = (spark.sparkContext.applicationId, self.sf_dir, self._fingerprint())
+        self._store, self._frames = _stores.setdefault(key, ({}, {}))
 
     def _fingerprint(self) -> tuple:
         """Sizes and times of the files, so changed data is never served from older tables."""

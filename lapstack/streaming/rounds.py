@@ -55,6 +55,7 @@ def apply_batch(spark: SparkSession, store: str, landed: DataFrame, batch_id: in
     merged = upsert_items(stored, newest_fetch(touched.unionByName(fetched)), ROUND_KEYS)
     (
         merged.withColumn("version", F.lit(batch_id).cast("bigint"))
+        .hint("rebalance", "season")
         .write.mode("overwrite")
         .partitionBy("version", "season")
         .parquet(store)
