@@ -22,6 +22,7 @@ from lapstack.functions.scalars import (
 from lapstack.operators.groups import best_per_key, distinct_list, rank_with_gap, record_holder
 from lapstack.operators.scans import ordered_scan, previous, profile_groups, row_number, running_sum
 from lapstack.schemas import STATUS_FINISHED
+from lapstack.session import settle
 
 # A lap this much slower than the one before may hold a stop; a stop this
 # much slower than the one before is slow; the rank of a result without a position.
@@ -88,6 +89,11 @@ def _circuit_columns(circuits: DataFrame) -> DataFrame:
     )
 
 
+def _venue_columns(races: DataFrame, circuits: DataFrame) -> DataFrame:
+    """Races with their circuit: two small tables become one before a fact sees them."""
+    return _race_columns(races).join(_circuit_columns(circuits), "circuit_id")
+
+
 def race_results_detail(
     results: DataFrame,
     qualifying: DataFrame,
@@ -129,10 +135,9 @@ def race_results_detail(
         .join(sprint, ENTRY, "left")
         .join(stop_totals(pit_stops), ENTRY, "left")
         .join(lap_totals(lap_times), ENTRY, "left")
-        .join(_race_columns(races), "race_id")
+        .join(_venue_columns(races, circuits), "race_id")
         .join(driver, "driver_id")
         .join(_constructor_columns(constructors), "constructor_id")
-        .join(_circuit_columns(circuits), "circuit_id")
         .join(status.select("status_id", "status_category"), "status_id")
     )
     return joined.select(
@@ -555,6 +560,11 @@ def qualifying_vs_race(
     )
 
 
+def _with_results(facts: DataFrame, results: DataFrame) -> DataFrame:
+    """Facts once per result of their entry, by keys alone: what dimension joins can only shrink."""
+    return facts.select(*ENTRY).join(results.select(*ENTRY), ENTRY)
+
+
 def lap_time_analysis(
     lap_times: DataFrame,
     races: DataFrame,
@@ -564,34 +574,31 @@ def lap_time_analysis(
     constructors: DataFrame,
 ) -> DataFrame:
     """Every lap against the best of its race, the best of its lap number, and the lap before."""
-    driven = lap_times.withColumnRenamed("lap_milliseconds", "lap_ms").join(
-        results.select(*ENTRY, "result_id", "constructor_id"), ENTRY
+    # all dimensions hang on the entry, so they join the results, and the laps join once
+    entry = (
+        results.select(*ENTRY, "result_id", "constructor_id")
+        .join(_venue_columns(races, circuits), "race_id")
+        .join(_driver_columns(drivers, F.col("code").alias("driver_code")), "driver_id")
+        .join(_constructor_columns(constructors), "constructor_id", "left")
     )
-    race = _race_columns(races).join(_circuit_columns(circuits), "circuit_id")
-    driver = _driver_columns(drivers, F.col("code").alias("driver_code"))
+    laps = lap_times.withColumnRenamed("lap_milliseconds", "lap_ms").join(entry, ENTRY)
 
     # statistics per lap number first; the race's best lap follows from those few rows
-    counted = driven.join(race.select("race_id"), "race_id").join(driver.select("driver_id"), "driver_id")
-    per_lap = counted.groupBy("race_id", "lap_number").agg(
-        F.min("lap_ms").alias("leader_lap_ms"),
-        exact_avg("lap_ms", 38, 6).alias("lap_avg_ms"),
-        F.count(F.lit(1)).alias("drivers_on_lap"),
+    per_lap = settle(
+        laps.groupBy("race_id", "lap_number").agg(
+            F.min("lap_ms").alias("leader_lap_ms"),
+            exact_avg("lap_ms", 38, 6).alias("lap_avg_ms"),
+            F.count(F.lit(1)).alias("drivers_on_lap"),
+        )
     )
     per_race = per_lap.groupBy("race_id").agg(F.min("leader_lap_ms").alias("race_best_lap_ms"))
 
-    # a missing race or driver drops whole entries, so the scans over entries can come before
-    # those joins and keep the partitioning of the first one
-    profile = profile_groups(driven, ENTRY)
+    profile = profile_groups(laps, ENTRY, within=_with_results(lap_times, results))
     by_number = [F.col(c).asc_nulls_last() for c in ("lap_number", "lap_ms", "result_id")]
     by_time = [F.col(c).asc_nulls_last() for c in ("lap_ms", "lap_number", "result_id")]
-    scanned = ordered_scan(driven, ENTRY, by_number, {"lap_seq": row_number(), "_before": previous("lap_ms")}, profile)
+    scanned = ordered_scan(laps, ENTRY, by_number, {"lap_seq": row_number(), "_before": previous("lap_ms")}, profile)
     scanned = ordered_scan(scanned, ENTRY, by_time, {"driver_lap_rank": row_number()}, profile)
-    joined = (
-        scanned.join(race, "race_id")
-        .join(driver, "driver_id")
-        .join(per_lap.join(per_race, "race_id"), ["race_id", "lap_number"])
-        .join(_constructor_columns(constructors), "constructor_id", "left")
-    )
+    joined = scanned.join(per_lap.join(per_race, "race_id"), ["race_id", "lap_number"])
     lap = F.col("lap_ms")
     return joined.select(
         surrogate_key([*ENTRY, "lap_number"]).alias("lap_analysis_key"),
@@ -634,31 +641,23 @@ def pit_stop_analysis(
     circuits: DataFrame,
 ) -> DataFrame:
     """Every stop against the others of its number, and against the driver's stop before."""
-    result = results.select(*ENTRY, "result_id", "constructor_id", "grid_position", "finish_position").join(
-        _constructor_columns(constructors), "constructor_id"
+    entry = (
+        results.select(*ENTRY, "result_id", "constructor_id", "grid_position", "finish_position")
+        .join(_venue_columns(races, circuits), "race_id")
+        .join(_driver_columns(drivers, F.col("code").alias("driver_code")), "driver_id")
+        .join(_constructor_columns(constructors), "constructor_id")
     )
-    stopped = pit_stops.withColumnRenamed("stop_milliseconds", "stop_ms").join(result, ENTRY)
-    race = _race_columns(races).join(_circuit_columns(circuits), "circuit_id")
-    driver = _driver_columns(drivers, F.col("code").alias("driver_code"))
-
-    counted = stopped.join(race.select("race_id"), "race_id").join(driver.select("driver_id"), "driver_id")
-    per_stop = counted.groupBy("race_id", "stop_number").agg(
+    stops = pit_stops.withColumnRenamed("stop_milliseconds", "stop_ms").join(entry, ENTRY)
+    per_stop = stops.groupBy("race_id", "stop_number").agg(
         exact_avg("stop_ms", 38, 6).alias("_avg"), F.min("stop_ms").alias("_best"), F.max("stop_ms").alias("_worst")
     )
-    # a missing race or driver drops whole entries: totals and scans over entries come before those joins
-    per_entry = stopped.groupBy(*ENTRY).agg(
+    per_entry = stops.groupBy(*ENTRY).agg(
         F.sum("stop_ms").alias("total_pit_ms"), F.count(F.lit(1)).alias("total_stops")
     )
     order = [F.col(c).asc_nulls_last() for c in ("stop_number", "stop_ms", "result_id")]
-    scanned = ordered_scan(
-        stopped, ENTRY, order, {"stop_seq": row_number(), "_before": previous("stop_ms")}, profile_groups(stopped, ENTRY)
-    )
-    joined = (
-        scanned.join(per_entry, ENTRY)
-        .join(race, "race_id")
-        .join(driver, "driver_id")
-        .join(per_stop, ["race_id", "stop_number"])
-    )
+    profile = profile_groups(stops, ENTRY, within=_with_results(pit_stops, results))
+    scanned = ordered_scan(stops, ENTRY, order, {"stop_seq": row_number(), "_before": previous("stop_ms")}, profile)
+    joined = scanned.join(per_entry, ENTRY).join(per_stop, ["race_id", "stop_number"])
     stop = F.col("stop_ms")
     return joined.select(
         surrogate_key([*ENTRY, "stop_number"]).alias("pit_analysis_key"),

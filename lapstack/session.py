@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 GROUP_ROWS = "spark.lapstack.groupRows"
 MAX_CHUNKS = "spark.lapstack.maxChunks"
@@ -75,6 +75,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Compute a small frame once, into the shared folder, for several readers."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def group_rows(spark: SparkSession) -> int:
     """Rows one task may sort as a single window group."""
     return int(spark.conf.get(GROUP_ROWS, str(_DEFAULT_GROUP_ROWS)))
