@@ -18,6 +18,7 @@ from lapstack.operators.keys import (
 )
 from lapstack.operators.scans import dense_ids
 from lapstack.schemas import BRONZE_COLUMNS, FIRST_API_YEAR, ID_COLUMNS, NATURAL_KEYS
+from lapstack.session import stage
 from lapstack.sources import payloads as p
 from lapstack.sources.files import read_history, read_payload, read_year_payloads
 from lapstack.sources.sinks import bronze_layout, write_bronze
@@ -52,7 +53,7 @@ def _facts(spark: SparkSession, api_dir: str, start_year: int) -> dict[str, Data
     def landed(endpoint: str) -> DataFrame:
         return read_year_payloads(spark, api_dir, endpoint, start_year)
 
-    return {
+    flat = {
         "results": p.results(landed("results")),
         "qualifying": p.qualifying(landed("qualifying")),
         "sprint": p.sprint_results(landed("sprint")),
@@ -61,6 +62,8 @@ def _facts(spark: SparkSession, api_dir: str, start_year: int) -> dict[str, Data
         "driverstandings": p.standings(landed("driverstandings"), "driverstandings"),
         "constructorstandings": p.standings(landed("constructorstandings"), "constructorstandings"),
     }
+    # every entity table looks for its mentions in all facts: parse the documents once
+    return {endpoint: stage(df, endpoint) for endpoint, df in flat.items()}
 
 
 _FACT_TABLES = {

@@ -81,6 +81,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the shared folder as Parquet and read it back, column by column."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def group_rows(spark: SparkSession) -> int:
     """Rows one task may sort as a single window group."""
     return int(spark.conf.get(GROUP_ROWS, str(_DEFAULT_GROUP_ROWS)))

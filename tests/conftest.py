@@ -12,7 +12,7 @@ from lapstack.session import GROUP_ROWS, MAX_CHUNKS, local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8, 4, "6g", **{"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
+    session = local_session(8, 2, "6g", **{"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
     yield session
     session.stop()
 
