@@ -13,7 +13,7 @@ import sys
 import time
 
 from lapstack.plans.star import STAR_MODELS, StarTables
-from lapstack.registry import load
+from lapstack.registry import landing, load
 from lapstack.session import local_session
 
 HEADLINE_GROUPS = ("mart_", "win_", "agg_", "join_", "sort_", "key_", "src_4_flatten_results", "src_5", "src_8", "src_11")
@@ -39,6 +39,8 @@ def main(argv: list[str]) -> None:
 
     tables = StarTables(spark, sf_dir)
     build = {name: timed(lambda name=name: tables[name]) for name in STAR_MODELS}
+    for endpoint in ("results", "laps"):
+        build[f"landed_{endpoint}"] = timed(lambda endpoint=endpoint: landing.payloads(tables, endpoint))
     queries = {}
     for name, query in load().items():
         if name.startswith(prefixes):
