@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from lapstack.operators.scans import leading, ordered_scan, row_number, running_sum, same_keys
 
 
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """Bag union, joined pairwise: a chain would have Spark check a growing plan each time."""
+    frames = list(frames)
+    while len(frames) > 1:
+        pairs = [frames[i : i + 2] for i in range(0, len(frames), 2)]
+        frames = [p[0].unionAll(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    return frames[0]
+
+
 def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each group in the given total order.
 

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapstack.operators.groups import union_all
 from lapstack.schemas import (
     BRONZE_COLUMNS,
     BRONZE_FOREIGN_KEYS,
@@ -32,10 +33,6 @@ def _report(counts: DataFrame, check: str, table: str, column: str, violations:
     )
 
 
-def union_reports(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionAll, parts)
-
-
 def tables_exist(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
     """One row per expected table; a missing one is a violation."""
     rows = [(t, 0 if spark.catalog.tableExists(t) else 1) for t in tables]
@@ -125,7 +122,7 @@ def declared_rules(
     for table, column, parent in relationships:
         if table in tables and parent in tables:
             parts.append(relationship(tables[table], table, column, tables[parent], column))
-    return union_reports(parts)
+    return union_all(parts)
 
 
 def violating(df: DataFrame, invariant: Column) -> DataFrame:
@@ -200,7 +197,7 @@ def bronze_report(
         for t, c, parent in foreign_keys
         if t in tables and parent in tables
     ]
-    return union_reports(parts)
+    return union_all(parts)
 
 
 def report_passed(report: DataFrame) -> DataFrame:
@@ -213,4 +210,4 @@ def check_warehouse(spark: SparkSession, database: str = "bronze") -> DataFrame:
     """Existence first, then the full report over the tables there are."""
     names = {t: f"{database}.{t}" for t in BRONZE_COLUMNS}
     there = {t: spark.table(n) for t, n in names.items() if spark.catalog.tableExists(n)}
-    return union_reports([tables_exist(spark, list(names.values())), bronze_report(there)])
+    return union_all([tables_exist(spark, list(names.values())), bronze_report(there)])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lapstack.operators.groups import union_all
 from lapstack.plans import quality
 from lapstack.plans.star_bronze import bronze_tables
 from lapstack.registry.core import register
@@ -65,7 +66,7 @@ _MINIMUM = {"customer": 1, "lineitem": 50_000, "supplier": 1_000_000_000}
 register(
     "dq_2_row_count",
     REPORT,
-    lambda t: quality.union_reports([quality.row_count(t.raw(n), n, least) for n, least in _MINIMUM.items()]),
+    lambda t: union_all([quality.row_count(t.raw(n), n, least) for n, least in _MINIMUM.items()]),
     _lines(*[_line("row_count", n, "", f"SELECT greatest({m} - count(*), 0) FROM {n}") for n, m in _MINIMUM.items()]),
 )
 _KEYS = [
@@ -90,7 +91,7 @@ def _repeated(table: str, column: str) -> str:
 register(
     "dq_3_primary_keys",
     REPORT,
-    lambda t: quality.union_reports([quality.primary_key(t.raw(n), n, k) for n, k in _KEYS]),
+    lambda t: union_all([quality.primary_key(t.raw(n), n, k) for n, k in _KEYS]),
     _lines(
         *[
             _line(
@@ -122,7 +123,7 @@ def _orphans(table: str, column: str, parent: str, key: str, kept: str = "true")
 register(
     "dq_4_foreign_keys",
     REPORT,
-    lambda t: quality.union_reports(
+    lambda t: union_all(
         [quality.foreign_key(t.raw(n), n, c, t.raw(p).filter(kept), k) for n, c, p, k, kept in _LINKS]
     ),
     _lines(*[_line("foreign_key", n, c, _orphans(n, c, p, k, kept)) for n, c, p, k, kept in _LINKS]),
@@ -142,7 +143,7 @@ _SOURCE_SQL = (
 register(
     "dq_5_accepted_source",
     REPORT,
-    lambda t: quality.union_reports(
+    lambda t: union_all(
         [
             quality.accepted_source(_tagged(t), "orders", null_allowed=True),
             quality.accepted_source(_tagged(t), "orders_strict", null_allowed=False),

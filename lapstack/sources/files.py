@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapstack.functions.scalars import FILE_NULL_TEXT
+from lapstack.operators.groups import union_all
 from lapstack.schemas import BRONZE_COLUMNS, payload_schema
 
 # Texts read as missing when a file follows the wider convention.
@@ -83,7 +83,7 @@ def completeness_report(
         df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("name"), "row_count")
         for name, df in present.items()
     ]
-    actual = reduce(DataFrame.unionAll, counts) if counts else spark.createDataFrame([], schema)
+    actual = union_all(counts) if counts else spark.createDataFrame([], schema)
     report = expected.join(actual, "name", "left").select(
         F.lit("table").alias("check"),
         "name",

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapstack.functions.scalars import FILE_NULL_TEXT
+from lapstack.operators.groups import union_all
 from lapstack.schemas import BRONZE_COLUMNS
 
 # Load modes of the warehouse and the writer modes they stand for.
@@ -77,7 +77,7 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
         df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         for name, df in tables.items()
     ]
-    return reduce(DataFrame.unionAll, parts)
+    return union_all(parts)
 
 
 def validate_load(spark: SparkSession, database: str = "bronze", expected: Sequence[str] = tuple(BRONZE_COLUMNS)) -> DataFrame:
