@@ -113,14 +113,9 @@ def season_overview(drivers: DataFrame, constructors: DataFrame, races: DataFram
         F.max_by("race_name", last).alias("latest_race"),
         F.max_by("winner", last).alias("latest_winner"),
     )
-    # three one-row frames side by side, matched on a constant
-    one = F.lit(1).alias("_row")
-    return (
-        driver.select(one, "*")
-        .join(constructor.select(one, "*"), "_row")
-        .join(race.select(one, "*"), "_row")
-        .drop("_row")
-    )
+    # three one-row frames under each other; each column has one value to keep
+    stacked = driver.unionByName(constructor, allowMissingColumns=True).unionByName(race, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
 def leaders(summary: DataFrame, season, n: int = 10) -> DataFrame:
