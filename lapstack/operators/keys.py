@@ -35,12 +35,15 @@ def resolve_keys(
     wins, whatever it carries.
     """
     fresh = new_keys(known, mentions, keys, order)
-    return dense_ids(fresh, order, id_column, start=max_id(known, id_column))
+    total = [*order, *[F.col(k).asc() for k in keys]]
+    return dense_ids(fresh, total, id_column, start=max_id(known, id_column), unique=True)
 
 
-def append_ids(known: DataFrame, rows: DataFrame, id_column: str, order: Sequence[Column]) -> DataFrame:
+def append_ids(
+    known: DataFrame, rows: DataFrame, id_column: str, order: Sequence[Column], unique: bool = False
+) -> DataFrame:
     """Sequential ids for new fact rows, after those in use."""
-    return dense_ids(rows, order, id_column, start=max_id(known, id_column))
+    return dense_ids(rows, order, id_column, start=max_id(known, id_column), unique=unique)
 
 
 def append_missing(known: DataFrame, rows: DataFrame, key: str) -> DataFrame:

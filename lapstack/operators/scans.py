@@ -107,14 +107,28 @@ def ordered_scan(
     return cool.unionByName(hot.select(*cool.columns))
 
 
-def dense_ids(df: DataFrame, order: Sequence[Column], name: str, start: int = 0) -> DataFrame:
-    """Number the rows ``start + 1, start + 2, ...`` in a total order, without a global window.
+def spread_ties(df: DataFrame) -> DataFrame:
+    """Give every row its own ``_tie``, so that copies of a row can be split by range.
+
+    The frame is checkpointed: a task run again must send its rows to the same ranges.
+    """
+    shared_dir(df.sparkSession)
+    return df.withColumn("_tie", F.monotonically_increasing_id()).checkpoint()
+
+
+def dense_ids(
+    df: DataFrame, order: Sequence[Column], name: str, start: int = 0, unique: bool = False
+) -> DataFrame:
+    """Number the rows ``start + 1, start + 2, ...`` in order, without a global window.
 
     Rows are range-partitioned and sorted; each keeps its partition and its place in it.
     The frame is checkpointed so both passes see the same layout, and the per-partition
-    offsets (one row per partition) are added back.
+    offsets (one row per partition) are added back. ``unique`` states that no two rows
+    share a place in the order; otherwise copies are told apart first.
     """
     shared_dir(df.sparkSession)
+    if not unique:
+        df, order = spread_ties(df), [*order, F.col("_tie").asc()]
     placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -133,7 +147,7 @@ def dense_ids(df: DataFrame, order: Sequence[Column], name: str, start: int = 0)
         placed.withColumn("_chunk", chunk)
         .join(F.broadcast(offsets), "_chunk")
         .withColumn(name, (F.lit(start) + F.col("_before") + position + 1).cast("bigint"))
-        .drop("_chunk", "_before", "_place")
+        .drop("_chunk", "_before", "_place", "_tie")
     )
 
 
@@ -151,10 +165,10 @@ def _local(scan: Scan, window) -> Column:
 
 def _chunked_scan(df, keys, order, scans, profile):
     spark = df.sparkSession
-    shared_dir(spark)
+    rows, columns, order = spread_ties(df), df.columns, [*order, F.col("_tie").asc()]
     parts = max(2, min(max_chunks(spark), math.ceil(2 * profile.hot_rows / profile.limit)))
     chunks = (
-        df.repartitionByRange(parts, *[F.col(k) for k in keys], *order)
+        rows.repartitionByRange(parts, *[F.col(k) for k in keys], *order)
         .withColumn("_chunk", F.spark_partition_id())
         .checkpoint()
     )
@@ -207,4 +221,4 @@ def _chunked_scan(df, keys, order, scans, profile):
             out[name] = F.when(F.col("_at") == 1, carry_in).otherwise(inside)
         else:
             out[name] = carry_in
-    return joined.withColumns(out).select(*df.columns, *scans)
+    return joined.withColumns(out).select(*columns, *scans)

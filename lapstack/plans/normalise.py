@@ -139,7 +139,7 @@ def normalise(
         "circuits",
         _entity_mentions("circuits", [_mention(circuits, "circuits", own), race_circuits], facts),
     )
-    numbered = dense_ids(fresh_races, race_order, "raceId", start=max_id(history["races"], "raceId"))
+    numbered = dense_ids(fresh_races, race_order, "raceId", start=max_id(history["races"], "raceId"), unique=True)
     circuit_ids = bronze["circuits"].select(F.col("circuitRef"), "circuitId")
     api_races = lookup_or_fail(
         numbered.withColumn("circuitRef", F.col("circuit.circuitId")), circuit_ids, ["circuitRef"], "circuitId"
@@ -162,7 +162,7 @@ def normalise(
             if slug in rows.columns:
                 rows = lookup_or_fail(rows, links[slug], [slug], ID_COLUMNS[entity])
         if table in ID_COLUMNS:
-            rows = append_ids(history[table], rows, ID_COLUMNS[table], order)
+            rows = append_ids(history[table], rows, ID_COLUMNS[table], order, unique=True)
         bronze[table] = with_lineage(
             history[table], bronze_layout(rows, BRONZE_COLUMNS[table]).drop("source")
         )

@@ -85,6 +85,15 @@ def test_dense_ids_follow_the_order(spark):
     assert numbered.count() == 1000
 
 
+def test_copies_are_split_over_chunks(spark, tiny_groups):
+    copies = spark.range(60).select(F.lit("k").alias("k"), F.lit(1).alias("o"), F.lit(2).alias("v"))
+    scanned = ordered_scan(copies, ["k"], [F.col("o").asc()], SCANS)
+    assert sorted((r["n"], r["total"]) for r in scanned.collect()) == [(i, 2 * i) for i in range(1, 61)]
+    numbered = dense_ids(copies, [F.col("o").asc()], "row")
+    assert sorted(r["row"] for r in numbered.collect()) == list(range(1, 61))
+    assert numbered.columns == ["k", "o", "v", "row"]
+
+
 def test_dense_ids_of_nothing(spark):
     assert dense_ids(spark.range(0), [F.col("id").asc()], "row").count() == 0
 
