@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +31,11 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once: an expression named inside a lambda is computed for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def bits_of(parts: Sequence[tuple[Column, int]]) -> Column:
     """One long from (value, width) pieces, the first piece highest."""
     out = F.lit(0).cast("bigint")

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapstack.llm.common import ASCII_SPACE, text_of
+from lapstack.llm.common import ASCII_SPACE, let, text_of
 from lapstack.session import stage
 
 # a side of at most so many narrow rows may be broadcast; beyond that the join is a shuffle
@@ -35,26 +35,30 @@ def words_of(column: str = "text") -> Column:
     return F.array_remove(F.split(F.lower(text_of(column)), ASCII_SPACE + "+"), "")
 
 
-def _shingle_at(words: Column, i: Column, width: int) -> Column:
-    return F.array_join(F.slice(words, i + 1, width), " ")
+def _places(words: Column, width: int) -> Column:
+    return F.sequence(F.lit(0), F.greatest(F.size(words) - width, F.lit(0)))
 
 
 def shingles_of(words: Column, width: int) -> Column:
     """The distinct shingles of a word array; fewer words than ``width`` make one shingle, none make none."""
-    places = F.sequence(F.lit(0), F.greatest(F.size(words) - width, F.lit(0)))
-    return F.when(F.size(words) > 0, F.array_distinct(F.transform(places, lambda i: _shingle_at(words, i, width)))).otherwise(
-        F.array().cast("array<string>")
-    )
+    none = F.array().cast("array<string>")
+
+    def made(w: Column) -> Column:
+        each = F.transform(_places(w, width), lambda i: F.array_join(F.slice(w, i + 1, width), " "))
+        return F.when(F.size(w) > 0, F.array_distinct(each)).otherwise(none)
 
+    return let(words, made)
 
-def _hash_at(words: Column, i: Column, width: int) -> Column:
-    """xxhash64 over the words of a shingle; places beyond the last word are NULL and leave the hash as it is."""
-    return F.xxhash64(*[F.get(words, i + k) for k in range(width)])
 
+def hashes_of(words: Column, width: int) -> Column:
+    """xxhash64 over the words of every distinct shingle; words that a short text lacks leave the hash as it is."""
+    none = F.array().cast("array<bigint>")
 
-def _hashes_of(words: Column, width: int) -> Column:
-    places = F.sequence(F.lit(0), F.greatest(F.size(words) - width, F.lit(0)))
-    return F.array_distinct(F.transform(places, lambda i: _hash_at(words, i, width)))
+    def made(w: Column) -> Column:
+        each = F.transform(_places(w, width), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(width)]))
+        return F.when(F.size(w) > 0, F.array_distinct(each)).otherwise(none)
+
+    return let(words, made)
 
 
 def _required(size: Column, settings: Settings) -> Column:
@@ -69,7 +73,7 @@ def item_sketches(items: DataFrame, settings: Settings = Settings()) -> DataFram
     """``item``, ``size``, ``part`` (size partition), ``required`` and one sketch ``hash`` a row; equal items once."""
     sized = (
         items.select("item", "words")
-        .select("item", _hashes_of(F.col("words"), settings.shingle).alias("hashes"))
+        .select("item", hashes_of(F.col("words"), settings.shingle).alias("hashes"))
         .select("item", F.size("hashes").alias("size"), F.slice(F.sort_array("hashes"), 1, settings.sketch).alias("sketch"))
     )
     return sized.select(
@@ -101,13 +105,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings
     items = named.groupBy("item").agg(F.any_value("words").alias("words"))
     sketches = stage(item_sketches(items, settings), "sketches")
 
-    searched = docs.filter("doc_id IS NOT NULL").select("doc_id", words_of().alias("words"))
-    places = F.sequence(F.lit(0), F.greatest(F.size("words") - width, F.lit(0)))
-    probes = (
-        searched.filter(F.size("words") > 0)
-        .select("doc_id", "words", F.explode(places).alias("i"))
-        .select("doc_id", _hash_at(F.col("words"), F.col("i"), width).alias("hash"))
-    )
+    searched = docs.filter("doc_id IS NOT NULL")
+    probes = searched.select("doc_id", F.explode(hashes_of(words_of(), width)).alias("hash"))
     hits = probes.join(_bounded(sketches.select("hash", "item", "required"), sketches.count()), "hash")
     found = (
         hits.groupBy("doc_id", "item", "hash")
