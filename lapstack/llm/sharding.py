@@ -26,7 +26,8 @@ ROW_BYTES = 8
 @dataclass(frozen=True)
 class Settings:
     shards: int = 24
-    rounds: int = 8
+    rounds: int = 10
+    slack: float = 0.02  # over the fullest shard of linked documents
     buckets: int = 256  # atoms that a text's copies may make at most
     slices: int = 16  # of requests of one strength between two shards
     strengths: int = 12  # classes of gain, by powers of two
@@ -99,11 +100,12 @@ def propagate(atoms: DataFrame, quota: float, settings: Settings = Settings()) -
         return atoms.select("group", "bucket", F.lit(0).alias("shard"))
     table = _small_frame(spark, list(first.items()), "s int, shard int")
     labels = stage(atoms.withColumn("s", _slice("fine", settings.fill_slices, 3)).join(table, "s").drop("s"), "labels")
-    quota = max(quota, max(loads))
-    load = dict(enumerate(loads))
+    # where linked documents fill every shard, some slack lets them change places
+    quota = max(quota, max(loads) * (1 + settings.slack))
+    load, closed = dict(enumerate(loads)), set()
     for turn in range(settings.rounds):
-        room = F.array(*[F.lit(load[s] < quota) for s in range(shards)])
-        votes = labels.groupBy("group", "shard").agg(F.sum("rows").alias("votes"))
+        room = F.array(*[F.lit(s not in closed) for s in range(shards)])
+        votes = labels.groupBy("group", "shard").agg(F.sum("rows").alias("votes"), F.sum("bytes").alias("together"))
         open_votes = votes.filter(F.get(room, F.col("shard")))
         # most neighbours first; of equals, one that the group's hash picks
         pick = F.struct(F.col("votes"), F.xxhash64("group", "shard", F.lit(turn)).alias("by"), F.col("shard"))
@@ -118,9 +120,12 @@ def propagate(atoms: DataFrame, quota: float, settings: Settings = Settings()) -
                 # a tie moves the same way for the whole group
                 .when((F.col("best.votes") == F.col("votes")) & (F.col("best.shard") != F.col("shard")), F.lit(0))
                 .alias("gain"),
+                # what is large against the quota may move in parts, else a group's atoms keep together
+                F.when(F.col("together") * settings.slices > quota, F.col("fine")).otherwise(F.col("group")).alias("unit"),
             )
             .withColumn("strength", F.least(F.floor(F.log2(F.col("gain") + 1)), F.lit(settings.strengths - 1)).cast("int"))
-            .withColumn("slice", _slice("group", settings.slices, 5))
+            .withColumn("slice", _slice("unit", settings.slices, 5))
+            .drop("unit")
         )
         asked = stage(asked, "asked")
         requests = (
@@ -129,9 +134,17 @@ def propagate(atoms: DataFrame, quota: float, settings: Settings = Settings()) -
             .agg(F.sum("bytes").alias("bytes"))
             .collect()  # at most shards * shards * strengths * slices rows
         )
+        if not requests:
+            break
+        before = dict(load)
         granted = _granted(requests, load, quota)
+        # a shard that had to turn all away is full, until something leaves it
+        turned_away = {r["dst"] for r in requests} - {dst for _, dst, _, _ in granted}
+        closed = {s for s in closed | turned_away if load[s] >= before[s]}
         if not granted:
-            break
+            if len(closed) == shards:
+                break
+            continue
         moves = _small_frame(spark, sorted(granted), "shard int, dst int, strength int, slice int").withColumn("go", F.lit(True))
         labels = stage(
             asked.join(moves, ["shard", "dst", "strength", "slice"], "left").select(
