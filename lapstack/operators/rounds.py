@@ -78,10 +78,12 @@ def upsert_rounds(stored: DataFrame, fetched: DataFrame, keys: Sequence[str], it
     )
 
 
-def nest_rounds(items: DataFrame, keys: Sequence[str], order: Sequence[Column], payload: Sequence[str]) -> DataFrame:
-    """Pages of at most ``PAGE_ITEMS`` items per round, in item order."""
+def nest_rounds(
+    items: DataFrame, keys: Sequence[str], order: Sequence[Column], payload: Sequence[str], page_items: int = PAGE_ITEMS
+) -> DataFrame:
+    """Pages of at most ``page_items`` items per round, in item order."""
     placed = ordered_scan(items, keys, order, {"_at": row_number()})
-    page = F.expr(f"(_at - 1) div {PAGE_ITEMS}")
+    page = F.expr(f"(_at - 1) div {page_items}")
     return (
         placed.groupBy(*keys, page.alias("page"))
         .agg(F.array_sort(F.collect_list(F.struct("_at", F.struct(*payload).alias("item")))).alias("_sorted"))

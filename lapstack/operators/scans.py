@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapstack.session import group_rows, max_chunks, shared_dir
+from lapstack.session import group_rows, shared_dir
 
 _BROADCAST_KEYS = 100_000
 _POSITION_BITS = 33
@@ -164,9 +164,8 @@ def _local(scan: Scan, window) -> Column:
 
 
 def _chunked_scan(df, keys, order, scans, profile):
-    spark = df.sparkSession
     rows, columns, order = spread_ties(df), df.columns, [*order, F.col("_tie").asc()]
-    parts = max(2, min(max_chunks(spark), math.ceil(2 * profile.hot_rows / profile.limit)))
+    parts = max(2, math.ceil(2 * profile.hot_rows / profile.limit))
     chunks = (
         rows.repartitionByRange(parts, *[F.col(k) for k in keys], *order)
         .withColumn("_chunk", F.spark_partition_id())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lapstack.plans.samples import row_counts, sample
+from lapstack.plans import samples
 from lapstack.plans.silver import classify_status, silver_table
 from lapstack.plans.star_bronze import bronze_tables
 from lapstack.registry.core import register
@@ -147,8 +147,8 @@ def _views(*names: str) -> tuple[str, list[str]]:
     return f"WITH {text} ", [v for n in names for v in TYPED[n][1]]
 
 
-def _sample(name: str, **params):
-    return lambda t: sample(name, bronze_tables(t), **params)
+def _sample(function, *names: str, **params):
+    return lambda t: function(*[bronze_tables(t)[n] for n in names], **params)
 
 
 def _register_sample(key: str, columns: str, plan, tables: list[str], body: str) -> None:
@@ -166,7 +166,7 @@ _SILVER_OF = {bronze: name for name, (bronze, _) in SILVER_FIELDS.items()}
 _register_sample(
     "smp_1_row_counts",
     "table_name:text row_count",
-    lambda t: row_counts(bronze_tables(t)),
+    lambda t: samples.row_counts(bronze_tables(t)),
     list(TYPED),
     " UNION ALL ".join(
         f"SELECT '{b}' AS table_name, count(*) AS row_count FROM {_SILVER_OF[b]}" for b in BRONZE_COLUMNS
@@ -175,27 +175,21 @@ _register_sample(
 _register_sample(
     "smp_2_lineage",
     "source:text row_count",
-    _sample("lineage"),
+    _sample(samples.lineage, "drivers"),
     ["dim_drivers"],
     "SELECT source, count(*) AS row_count FROM dim_drivers GROUP BY source",
 )
 _register_sample(
     "smp_3_latest_races",
     "year round name:text date:text source:text",
-    _sample("latest_races"),
+    _sample(samples.latest_races, "races"),
     ["dim_races"],
     "SELECT year, round, name, race_date AS date, source FROM dim_races ORDER BY year DESC, round DESC LIMIT 10",
 )
 _register_sample(
     "smp_4_orphaned_results",
     "orphaned_results",
-    lambda t: sample(
-        "orphaned_results",
-        {
-            "results": bronze_tables(t)["results"],
-            "races": bronze_tables(t)["races"].filter("round <> '7'"),
-        },
-    ),
+    lambda t: samples.orphaned_results(bronze_tables(t)["results"], bronze_tables(t)["races"].filter("round <> '7'")),
     ["fact_results", "dim_races"],
     "SELECT count(*) AS orphaned_results FROM fact_results r WHERE r.race_id IS NOT NULL AND NOT EXISTS "
     "(SELECT 1 FROM dim_races x WHERE x.race_id = r.race_id AND x.round <> 7)",
@@ -203,7 +197,7 @@ _register_sample(
 _register_sample(
     "smp_5_driver_statistics",
     "driverId forename:text surname:text nationality:text races wins podiums",
-    _sample("driver_statistics", source="api"),
+    _sample(samples.driver_statistics, "drivers", "results", source="api"),
     ["dim_drivers", "fact_results"],
     "SELECT d.driver_id AS driverId, forename, surname, nationality, count(result_id) AS races, "
     "count(*) FILTER (finish_position = 1) AS wins, count(*) FILTER (finish_position <= 3) AS podiums "
@@ -213,7 +207,7 @@ _register_sample(
 _register_sample(
     "smp_6_latest_season_entries",
     "year round race_name:text circuit_name:text finishers",
-    _sample("latest_season_entries"),
+    _sample(samples.season_entries, "races", "circuits", "results"),
     ["dim_races", "dim_circuits", "fact_results"],
     "SELECT r.year, r.round, r.name AS race_name, c.name AS circuit_name, count(*) AS finishers FROM dim_races r "
     "JOIN dim_circuits c ON c.circuit_id = r.circuit_id LEFT JOIN fact_results e ON e.race_id = r.race_id "
@@ -222,7 +216,7 @@ _register_sample(
 _register_sample(
     "smp_7_constructor_performance",
     "constructorId name:text races wins avg_points:double",
-    _sample("constructor_performance"),
+    _sample(samples.constructor_performance, "constructors", "results", "races"),
     ["dim_constructors", "fact_results", "dim_races"],
     "SELECT k.constructor_id AS constructorId, k.name, count(result_id) AS races, "
     "count(*) FILTER (finish_position = 1) AS wins, "
@@ -233,7 +227,7 @@ _register_sample(
 _register_sample(
     "smp_8_stop_comparison",
     "year round name:text driver:text pit_stops fastest_stop_ms slowest_stop_ms",
-    _sample("stop_comparison"),
+    _sample(samples.stop_comparison, "pit_stops", "drivers", "races"),
     ["fact_pit_stops", "dim_drivers", "dim_races"],
     "SELECT r.year, r.round, r.name, forename || ' ' || surname AS driver, count(stop_number) AS pit_stops, "
     "min(stop_milliseconds) AS fastest_stop_ms, max(stop_milliseconds) AS slowest_stop_ms FROM fact_pit_stops s "
@@ -243,7 +237,7 @@ _register_sample(
 _register_sample(
     "smp_9_lap_listing",
     "driver:text lap time:text milliseconds position",
-    _sample("lap_listing", round=1),
+    _sample(samples.lap_listing, "lap_times", "drivers", "races", round=1),
     ["fact_lap_times", "dim_drivers", "dim_races"],
     "SELECT forename || ' ' || surname AS driver, lap_number AS lap, lap_time AS time, "
     "lap_milliseconds AS milliseconds, lap_position AS position FROM fact_lap_times t "
@@ -253,7 +247,7 @@ _register_sample(
 _register_sample(
     "smp_10_qualifying_listing",
     "year round driver:text quali_pos grid_pos race_pos points:double",
-    lambda t: sample("qualifying_listing", _loaded(bronze_tables(t), "qualifying", "drivers", "races", "results")),
+    lambda t: samples.qualifying_listing(*_loaded(bronze_tables(t), "qualifying", "drivers", "races", "results").values()),
     ["fact_qualifying", "dim_drivers", "dim_races", "fact_results"],
     "SELECT r.year, r.round, forename || ' ' || surname AS driver, qualifying_position AS quali_pos, "
     "grid_position AS grid_pos, finish_position AS race_pos, points FROM fact_qualifying q "

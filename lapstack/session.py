@@ -8,10 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 GROUP_ROWS = "spark.lapstack.groupRows"
-MAX_CHUNKS = "spark.lapstack.maxChunks"
 
 _DEFAULT_GROUP_ROWS = 2_000_000
-_DEFAULT_MAX_CHUNKS = 10_000
 
 _SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -92,7 +90,3 @@ def group_rows(spark: SparkSession) -> int:
     """Rows one task may sort as a single window group."""
     return int(spark.conf.get(GROUP_ROWS, str(_DEFAULT_GROUP_ROWS)))
 
-
-def max_chunks(spark: SparkSession) -> int:
-    """Upper limit on the partitions a hot group is cut into."""
-    return int(spark.conf.get(MAX_CHUNKS, str(_DEFAULT_MAX_CHUNKS)))

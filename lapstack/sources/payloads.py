@@ -27,9 +27,12 @@ SESSIONS = {
 def explode_entries(payloads: DataFrame, endpoint: str) -> DataFrame:
     """``year``, position and struct of every entry of the payload's top array.
 
-    ``_offset`` is the place of a page's first item in the whole list (0 for merged files).
+    ``_offset`` is the place of a page's first item in the whole list; only an absent one (merged files) is 0, and
+    one that is no number fails the query.
     """
-    offset = F.coalesce(F.col("MRData.offset").try_cast("int"), F.lit(0)).alias("_offset")
+    given = F.col("MRData.offset")
+    wrong = F.raise_error(F.concat(F.lit("not a page offset: "), given)).cast("bigint")
+    offset = F.when(given.isNull(), F.lit(0)).otherwise(F.coalesce(given.try_cast("bigint"), wrong)).alias("_offset")
     return payloads.select("year", offset, F.posexplode(payload_path(endpoint)).alias("_entry", "e"))
 
 

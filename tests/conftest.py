@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from lapstack.session import GROUP_ROWS, MAX_CHUNKS, local_session  # noqa: E402
+from lapstack.session import GROUP_ROWS, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -21,10 +21,8 @@ def spark(tmp_path_factory):
 def tiny_groups(spark):
     """Window groups above three rows count as hot."""
     spark.conf.set(GROUP_ROWS, "3")
-    spark.conf.set(MAX_CHUNKS, "5")
     yield
     spark.conf.unset(GROUP_ROWS)
-    spark.conf.unset(MAX_CHUNKS)
 
 
 def rows(df, *columns):
