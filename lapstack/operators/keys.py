@@ -51,9 +51,20 @@ def append_missing(known: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     return rows.join(known.select(key).distinct(), key, "left_anti")
 
 
-def lookup_or_fail(rows: DataFrame, keys_table: DataFrame, keys: Sequence[str], id_column: str) -> DataFrame:
-    """Attach an id that must exist; a row without one fails the query."""
-    pairs = keys_table.select(*keys, id_column)
+def last_per_key(table: DataFrame, keys: Sequence[str], id_column: str, place: str | None = None) -> DataFrame:
+    """One id for each key: that of its last row by ``place``, else the highest; a partial aggregation."""
+    by = F.col(place) if place else F.col(id_column).cast("bigint")
+    return table.groupBy(*keys).agg(F.max_by(id_column, by).alias(id_column))
+
+
+def lookup_or_fail(
+    rows: DataFrame, keys_table: DataFrame, keys: Sequence[str], id_column: str, place: str | None = None
+) -> DataFrame:
+    """Attach an id that must exist; a row without one fails the query.
+
+    A key that the table has more than once gives its last id, and rows are never multiplied.
+    """
+    pairs = last_per_key(keys_table, keys, id_column, place)
     message = F.concat(F.lit("no row registered for ("), F.concat_ws(", ", *keys), F.lit(")"))
     found = F.coalesce(F.col(id_column), F.raise_error(message).cast(dict(pairs.dtypes)[id_column]))
     return rows.join(pairs, list(keys), "left").withColumn(id_column, found)

@@ -140,27 +140,29 @@ def normalise(
         _entity_mentions("circuits", [_mention(circuits, "circuits", own), race_circuits], facts),
     )
     numbered = dense_ids(fresh_races, race_order, "raceId", start=max_id(history["races"], "raceId"), unique=True)
-    circuit_ids = bronze["circuits"].select(F.col("circuitRef"), "circuitId")
+    # history comes first in every bronze table, so these places follow the order of the files
+    place = F.monotonically_increasing_id().alias("_place")
+    circuit_ids = bronze["circuits"].select(F.col("circuitRef"), "circuitId", place)
     api_races = lookup_or_fail(
-        numbered.withColumn("circuitRef", F.col("circuit.circuitId")), circuit_ids, ["circuitRef"], "circuitId"
+        numbered.withColumn("circuitRef", F.col("circuit.circuitId")), circuit_ids, ["circuitRef"], "circuitId", "_place"
     ).withColumn("year", F.col("season").cast("string"))
     bronze["races"] = with_lineage(
         history["races"], bronze_layout(api_races, BRONZE_COLUMNS["races"]).drop("source")
     )
 
     race_ids = bronze["races"].select(
-        F.col("year").cast("int").alias("season"), F.col("round").cast("int").alias("round"), "raceId"
+        F.col("year").cast("int").alias("season"), F.col("round").cast("int").alias("round"), "raceId", place
     )
     links = {
-        slug: bronze[table].select(F.col(NATURAL_KEYS[table]).alias(slug), ID_COLUMNS[table])
+        slug: bronze[table].select(F.col(NATURAL_KEYS[table]).alias(slug), ID_COLUMNS[table], place)
         for table, slug in _SLUGS.items()
     }
     order = [F.col(c).asc() for c in p.ORDINALS]
     for endpoint, table in _FACT_TABLES.items():
-        rows = lookup_or_fail(facts[endpoint], race_ids, ["season", "round"], "raceId")
+        rows = lookup_or_fail(facts[endpoint], race_ids, ["season", "round"], "raceId", "_place")
         for entity, slug in _SLUGS.items():
             if slug in rows.columns:
-                rows = lookup_or_fail(rows, links[slug], [slug], ID_COLUMNS[entity])
+                rows = lookup_or_fail(rows, links[slug], [slug], ID_COLUMNS[entity], "_place")
         if table in ID_COLUMNS:
             rows = append_ids(history[table], rows, ID_COLUMNS[table], order, unique=True)
         bronze[table] = with_lineage(

@@ -1,4 +1,4 @@
-"""Registered streaming ingestion: rounds landed by two fetches, taken in as they arrive."""
+"""Registered streaming ingestion: rounds landed by three fetches, taken in as they arrive."""
 
 from __future__ import annotations
 
@@ -12,15 +12,15 @@ from lapstack.streaming.rounds import current_items, run_available
 _ROUND = ["season", "round"]
 
 
-def _land(t, path: str, fetch: int) -> None:
-    """Entries of a month as a round; the second fetch has even rounds, every other one empty."""
+def _land(t, path: str, fetch: int, copy: str = "") -> None:
+    """Entries of a month as a round: the second fetch has even rounds, every other one empty, the third every third."""
     item = F.concat_ws(":", F.col("driver_id").cast("string"), F.lit(str(fetch)))
     rows = t["entries"].select(*_ROUND, "grid_position", item.alias("item"))
     if fetch > 1:
-        rows = rows.filter("round % 2 = 0")
+        rows = rows.filter(F.col("round") % fetch == 0)
     pages = nest_rounds(rows, _ROUND, [F.col("grid_position").asc()], ["item"])
     items = F.transform("items", lambda i: i["item"])
-    if fetch > 1:
+    if fetch == 2:
         items = F.when(F.col("round") % 4 != 0, items).otherwise(F.array().cast("array<string>"))
     pages.select(
         *_ROUND,
@@ -28,14 +28,18 @@ def _land(t, path: str, fetch: int) -> None:
         F.lit(fetch).alias("fetch"),
         (F.col("page") * PAGE_ITEMS).alias("offset"),
         items.alias("items"),
-    ).write.json(f"{path}/fetch_{fetch}")
+    ).write.json(f"{path}/fetch_{fetch}{copy}")
 
 
 def _streamed(t):
-    landing, store, progress = (scratch_path(t.spark, n) for n in ("landing", "rounds", "progress"))
+    """Two fetches by one query; a third and the first one's pages once more by a query with its own checkpoint."""
+    landing, store, progress, other = (scratch_path(t.spark, n) for n in ("landing", "rounds", "progress", "progress"))
     for fetch in (1, 2):
         _land(t, landing, fetch)
         run_available(t.spark, f"{landing}/*", store, progress)
+    _land(t, landing, 3)
+    _land(t, landing, 1, "_again")
+    run_available(t.spark, f"{landing}/*", store, other)
     return current_items(t.spark, store)
 
 
@@ -43,7 +47,7 @@ register(
     "str_1_rounds_by_arrival",
     "season round endpoint:text ordinal item:text",
     _streamed,
-    "SELECT season, round, 'results' AS endpoint, grid_position AS ordinal, driver_id || CASE WHEN round % 2 = 0 AND "
-    "round % 4 <> 0 THEN ':2' ELSE ':1' END AS item FROM entries",
+    "SELECT season, round, 'results' AS endpoint, grid_position AS ordinal, driver_id || CASE WHEN round % 3 = 0 THEN ':3' "
+    "WHEN round % 2 = 0 AND round % 4 <> 0 THEN ':2' ELSE ':1' END AS item FROM entries",
     ["entries"],
 )

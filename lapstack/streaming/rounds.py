@@ -1,9 +1,9 @@
-"""Rounds re-fetched by file arrival: landed round files upsert a versioned store.
+"""Rounds re-fetched by file arrival: landed pages are kept as they come, the newest fetch of a round counts.
 
-The store keeps one immutable folder per micro-batch (``version=<batch>``) with the whole
-state of the seasons that batch touched. A season's current state is its newest version;
-replaying a batch rewrites its own version from older ones only, so a lost executor or a
-restarted query leads to the same state. Nothing is read and overwritten in one plan.
+The store holds landed items under ``season=/batch=``; a batch is named by its query and number, so a replayed batch
+rewrites its own folders and another query, also one with a new checkpoint folder, never touches them. Nothing stored
+is read to take a batch in. The current state is worked out on reading: per round the newest fetch that brought any
+items, one item per ordinal. ``drop_superseded`` removes folders that hold nothing current any more.
 """
 
 from __future__ import annotations
@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapstack.operators.rounds import upsert_items
 from lapstack.session import tune
 
 ROUND_KEYS = ["season", "round", "endpoint"]
 # one landed line is a page of a round: its fetch number, the place of its first item, its items
 LANDED = "season int, round int, endpoint string, fetch bigint, `offset` bigint, items array<string>"
-STORED = "season int, round int, endpoint string, fetch bigint, ordinal bigint, item string"
+STORED = "round int, endpoint string, fetch bigint, ordinal bigint, item string, season int, batch string"
+_QUERY_ID = "sql.streaming.queryId"
 
 
 def explode_landed(landed: DataFrame) -> DataFrame:
@@ -33,43 +33,68 @@ def newest_fetch(items: DataFrame) -> DataFrame:
     return items.join(newest, [*ROUND_KEYS, "fetch"], "left_semi")
 
 
-def current_items(spark: SparkSession, store: str, before: int | None = None) -> DataFrame:
-    """Items of every season's newest version (older than ``before``, if given)."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(store)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+def _hadoop_path(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def stored_items(spark: SparkSession, store: str, seasons: list[int] | None = None) -> DataFrame:
+    """All landed items, of the given seasons (only their folders are read)."""
+    files, path = _hadoop_path(spark, store)
+    if not files.exists(path):
         return spark.createDataFrame([], STORED)
-    rows = spark.read.schema(f"{STORED}, version bigint").parquet(store)
-    if before is not None:
-        rows = rows.filter(F.col("version") < before)
-    newest = rows.groupBy("season").agg(F.max("version").alias("version"))
-    return rows.join(newest, ["season", "version"], "left_semi").drop("version")
-
-
-def apply_batch(spark: SparkSession, store: str, landed: DataFrame, batch_id: int) -> None:
-    """Upsert one micro-batch and write the touched seasons as the batch's version."""
-    fetched = explode_landed(landed)
-    stored = current_items(spark, store, before=batch_id).join(
-        fetched.select("season").distinct(), "season", "left_semi"
-    )
-    touched = stored.join(fetched.select(*ROUND_KEYS).distinct(), ROUND_KEYS, "left_semi")
-    merged = upsert_items(stored, newest_fetch(touched.unionByName(fetched)), ROUND_KEYS)
+    rows = spark.read.schema(STORED).parquet(store)
+    return rows if seasons is None else rows.filter(F.col("season").isin(seasons))
+
+
+def current_items(spark: SparkSession, store: str, seasons: list[int] | None = None) -> DataFrame:
+    """One item per round and ordinal, from the newest fetch; of a page landed twice with other items, the largest."""
+    kept = newest_fetch(stored_items(spark, store, seasons))
+    return kept.groupBy(*ROUND_KEYS, "fetch", "ordinal").agg(F.max("item").alias("item"))
+
+
+def apply_batch(spark: SparkSession, store: str, landed: DataFrame, batch_id: int, query: str = "batch") -> None:
+    """Store the items of one micro-batch; running it again replaces what it stored."""
     (
-        merged.withColumn("version", F.lit(batch_id).cast("bigint"))
+        explode_landed(landed)
+        .withColumn("batch", F.lit(f"{query}-{batch_id}"))
         .hint("rebalance", "season")
         .write.mode("overwrite")
-        .partitionBy("version", "season")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("season", "batch")
         .parquet(store)
     )
 
 
+def drop_superseded(spark: SparkSession, store: str) -> int:
+    """Delete the season and batch folders without a current item; how many. For times when no batch is written.
+
+    Only the names of folders come to the driver. A batch that is replayed later stores its items again, and they are
+    superseded again.
+    """
+    rows = stored_items(spark, store)
+    newest = rows.groupBy(*ROUND_KEYS).agg(F.max("fetch").alias("fetch"))
+    live = rows.join(newest, [*ROUND_KEYS, "fetch"], "left_semi").select("season", "batch")
+    old = rows.select("season", "batch").distinct().join(live.distinct(), ["season", "batch"], "left_anti").collect()
+    for r in old:
+        files, path = _hadoop_path(spark, f"{store}/season={r['season']}/batch={r['batch']}")
+        files.delete(path, True)
+    return len(old)
+
+
 def run_available(spark: SparkSession, landing: str, store: str, checkpoint: str, files_per_batch: int = 1000) -> None:
     """Take in all files landed so far, then stop."""
     tune(spark)
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        own = batch.sparkSession
+        apply_batch(own, store, batch, batch_id, own.sparkContext.getLocalProperty(_QUERY_ID))
+
     query = (
         spark.readStream.schema(LANDED)
         .option("maxFilesPerTrigger", files_per_batch)
         .json(landing)
-        .writeStream.foreachBatch(lambda batch, batch_id: apply_batch(spark, store, batch, batch_id))
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

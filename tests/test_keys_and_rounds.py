@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lapstack.operators import keys, rounds
-from lapstack.streaming.rounds import apply_batch, current_items, run_available
+from lapstack.streaming.rounds import apply_batch, current_items, drop_superseded, run_available
 
 from conftest import rows
 
@@ -38,6 +38,17 @@ def test_a_reference_must_exist(spark):
         keys.lookup_or_fail(bad, races, ["season", "round"], "raceId").collect()
 
 
+def test_a_repeated_key_gives_its_last_id_once(spark):
+    races = spark.createDataFrame([(1, "20", 0), (1, "9", 1), (2, "7", 2)], "round int, raceId string, at int")
+    facts = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "round int, who string")
+    assert rows(keys.lookup_or_fail(facts, races, ["round"], "raceId", "at"), "who", "raceId") == [
+        ("a", "9"),
+        ("b", "9"),
+        ("c", "7"),
+    ]
+    assert rows(keys.lookup_or_fail(facts, races, ["round"], "raceId"), "who", "raceId")[0] == ("a", "20")
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_laps_split_over_pages_are_joined_in_page_order(spark, request, hot):
     if hot:
@@ -136,3 +147,40 @@ def test_replaying_a_batch_changes_nothing(spark, tmp_path):
     apply_batch(spark, store, second, 1)
     assert rows(current_items(spark, store)) == once
     assert [r[-1] for r in once] == ["y", "z", "q"]
+
+
+def test_batches_stay_apart_in_static_overwrite_mode(spark, tmp_path):
+    store, setting = str(tmp_path / "store"), "spark.sql.sources.partitionOverwriteMode"
+    schema = "season int, round int, endpoint string, fetch bigint, `offset` bigint, items array<string>"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "static")
+    try:
+        apply_batch(spark, store, spark.createDataFrame([(31, 1, "laps", 1, 0, ["x"])], schema), 0)
+        apply_batch(spark, store, spark.createDataFrame([(32, 1, "laps", 1, 0, ["y"])], schema), 1)
+    finally:
+        spark.conf.set(setting, before)
+    assert rows(current_items(spark, store), "season", "item") == [(31, "x"), (32, "y")]
+    assert rows(current_items(spark, store, [32]), "season", "item") == [(32, "y")]
+
+
+def test_a_new_checkpoint_adds_to_the_store_and_copies_count_once(spark, tmp_path):
+    landing, store = tmp_path / "landing", str(tmp_path / "store")
+    _land(landing, "a", page(1, 1, ["a1", "a2"]), page(2, 2, ["b1"]))
+    run_available(spark, str(landing), store, str(tmp_path / "one"))
+    _land(landing, "b", page(1, 3, ["a3"]), page(2, 2, ["b1"]))
+    run_available(spark, str(landing), store, str(tmp_path / "two"))
+    want = [(1, 1, "a3"), (2, 1, "b1")]
+    assert rows(current_items(spark, store), "round", "ordinal", "item") == want
+    assert drop_superseded(spark, store) == 0
+
+
+def test_superseded_folders_go(spark, tmp_path):
+    store = str(tmp_path / "store")
+    schema = "season int, round int, endpoint string, fetch bigint, `offset` bigint, items array<string>"
+    for fetch in (1, 2, 3):
+        rounds_ = [1] if fetch < 3 else [1, 2]
+        landed = spark.createDataFrame([(31, r, "laps", fetch, 0, [f"x{fetch}"]) for r in rounds_], schema)
+        apply_batch(spark, store, landed, fetch)
+    once = rows(current_items(spark, store))
+    assert drop_superseded(spark, store) == 2
+    assert rows(current_items(spark, store)) == once and len(once) == 2
