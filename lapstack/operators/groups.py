@@ -29,9 +29,14 @@ def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     return df.withColumn("_best", F.row_number().over(window)).filter(F.col("_best") == 1).drop("_best")
 
 
-def with_group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column]) -> DataFrame:
-    """Whole-group statistics on every row: partial aggregation first, then a join back."""
+def with_group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column], nulls: bool = True) -> DataFrame:
+    """Whole-group statistics on every row: partial aggregation first, then a join back.
+
+    ``nulls=False`` states that no key is NULL; plain equality then reuses the aggregation's partitioning.
+    """
     found = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
+    if not nulls:
+        return df.join(found, list(keys), "inner")
     found = found.select(*[F.col(k).alias(f"{k}_g") for k in keys], *stats)
     return df.join(found, same_keys(df, found, keys, "_g"), "inner").drop(*[f"{k}_g" for k in keys])
 
@@ -77,15 +82,15 @@ def pivot_matrix(
 FIVE_NUMBERS = {"lowest": 0.0, "quartile_1": 0.25, "median": 0.5, "quartile_3": 0.75, "highest": 1.0}
 
 
-def five_numbers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Minimum, quartiles and maximum per group, exact and interpolated.
+def five_numbers(df: DataFrame, keys: Sequence[str], value: str, nulls: bool = True) -> DataFrame:
+    """Minimum, quartiles and maximum per group, exact and interpolated; ``nulls=False``: no key is NULL.
 
     Equal values are counted first; the running count over the distinct values tells which
     of them hold the wanted places, so no group's values meet in one buffer.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
     upto = ordered_scan(counts, keys, [F.col(value).asc()], {"_upto": running_sum("_c")})
-    placed = with_group_stats(upto, keys, {"_n": F.sum("_c")})
+    placed = with_group_stats(upto, keys, {"_n": F.sum("_c")}, nulls)
     at = {name: F.lit(q) * (F.col("_n") - 1) for name, q in FIVE_NUMBERS.items()}
 
     def holds(place: Column) -> Column:

@@ -8,7 +8,7 @@ id, which settles ties the original orderings leave open.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapstack.functions.scalars import (
@@ -19,10 +19,9 @@ from lapstack.functions.scalars import (
     full_name,
     surrogate_key,
 )
-from lapstack.operators.groups import best_per_key, distinct_list, rank_with_gap, record_holder
+from lapstack.operators.groups import best_per_key, distinct_list, rank_with_gap, record_holder, with_group_stats
 from lapstack.operators.scans import ordered_scan, previous, profile_groups, row_number, running_sum
 from lapstack.schemas import STATUS_FINISHED
-from lapstack.session import settle
 
 # A lap this much slower than the one before may hold a stop; a stop this
 # much slower than the one before is slow; the rank of a result without a position.
@@ -565,6 +564,20 @@ def _with_results(facts: DataFrame, results: DataFrame) -> DataFrame:
     return facts.select(*ENTRY).join(results.select(*ENTRY), ENTRY)
 
 
+def _entry_keys(results: DataFrame, parents: list[tuple[DataFrame, str]]) -> DataFrame:
+    """The keys of results whose race, driver and so on are known."""
+    keys = results.select(*ENTRY, "result_id", "constructor_id")
+    for parent, key in parents:
+        keys = keys.join(parent.select(key), key, "left_semi")
+    return keys.select(*ENTRY, "result_id")
+
+
+def _with_totals(rows: DataFrame, totals: dict[str, Column]) -> DataFrame:
+    """Totals of an entry on each of its rows, where no entry has more rows than a task may hold."""
+    window = Window.partitionBy(*ENTRY)
+    return rows.withColumns({name: total.over(window) for name, total in totals.items()})
+
+
 def lap_time_analysis(
     lap_times: DataFrame,
     races: DataFrame,
@@ -574,22 +587,26 @@ def lap_time_analysis(
     constructors: DataFrame,
 ) -> DataFrame:
     """Every lap against the best of its race, the best of its lap number, and the lap before."""
-    # all dimensions hang on the entry, so they join the results, and the laps join once
+    # statistics and scans see keys and times only; the dimensions hang on the entry and join once, last
+    venues, known_drivers = _venue_columns(races, circuits), _driver_columns(drivers, F.col("code").alias("driver_code"))
     entry = (
         results.select(*ENTRY, "result_id", "constructor_id")
-        .join(_venue_columns(races, circuits), "race_id")
-        .join(_driver_columns(drivers, F.col("code").alias("driver_code")), "driver_id")
+        .join(venues, "race_id")
+        .join(known_drivers, "driver_id")
         .join(_constructor_columns(constructors), "constructor_id", "left")
+        .drop("constructor_id")
+    )
+    keys = _entry_keys(results, [(venues, "race_id"), (known_drivers, "driver_id")])
+    timed = lap_times.select(
+        *ENTRY, "lap_number", "lap_position", "lap_time", F.col("lap_milliseconds").alias("lap_ms"), "source"
     )
-    laps = lap_times.withColumnRenamed("lap_milliseconds", "lap_ms").join(entry, ENTRY)
+    laps = timed.join(keys, ENTRY)
 
     # statistics per lap number first; the race's best lap follows from those few rows
-    per_lap = settle(
-        laps.groupBy("race_id", "lap_number").agg(
-            F.min("lap_ms").alias("leader_lap_ms"),
-            exact_avg("lap_ms", 38, 6).alias("lap_avg_ms"),
-            F.count(F.lit(1)).alias("drivers_on_lap"),
-        )
+    per_lap = laps.groupBy("race_id", "lap_number").agg(
+        F.min("lap_ms").alias("leader_lap_ms"),
+        exact_avg("lap_ms", 38, 6).alias("lap_avg_ms"),
+        F.count(F.lit(1)).alias("drivers_on_lap"),
     )
     per_race = per_lap.groupBy("race_id").agg(F.min("leader_lap_ms").alias("race_best_lap_ms"))
 
@@ -598,7 +615,7 @@ def lap_time_analysis(
     by_time = [F.col(c).asc_nulls_last() for c in ("lap_ms", "lap_number", "result_id")]
     scanned = ordered_scan(laps, ENTRY, by_number, {"lap_seq": row_number(), "_before": previous("lap_ms")}, profile)
     scanned = ordered_scan(scanned, ENTRY, by_time, {"driver_lap_rank": row_number()}, profile)
-    joined = scanned.join(per_lap.join(per_race, "race_id"), ["race_id", "lap_number"])
+    joined = scanned.join(per_lap.join(per_race, "race_id"), ["race_id", "lap_number"]).join(entry, [*ENTRY, "result_id"])
     lap = F.col("lap_ms")
     return joined.select(
         surrogate_key([*ENTRY, "lap_number"]).alias("lap_analysis_key"),
@@ -641,23 +658,31 @@ def pit_stop_analysis(
     circuits: DataFrame,
 ) -> DataFrame:
     """Every stop against the others of its number, and against the driver's stop before."""
+    # as for laps: keys and times are counted and scanned, the dimensions join last
+    venues, known_drivers = _venue_columns(races, circuits), _driver_columns(drivers, F.col("code").alias("driver_code"))
+    teams = _constructor_columns(constructors)
     entry = (
         results.select(*ENTRY, "result_id", "constructor_id", "grid_position", "finish_position")
-        .join(_venue_columns(races, circuits), "race_id")
-        .join(_driver_columns(drivers, F.col("code").alias("driver_code")), "driver_id")
-        .join(_constructor_columns(constructors), "constructor_id")
+        .join(venues, "race_id")
+        .join(known_drivers, "driver_id")
+        .join(teams, "constructor_id")
+        .drop("constructor_id")
     )
-    stops = pit_stops.withColumnRenamed("stop_milliseconds", "stop_ms").join(entry, ENTRY)
+    keys = _entry_keys(results, [(venues, "race_id"), (known_drivers, "driver_id"), (teams, "constructor_id")])
+    timed = pit_stops.select(
+        *ENTRY, "stop_number", "lap_number", "stop_time", "stop_duration", F.col("stop_milliseconds").alias("stop_ms"), "source"
+    )
+    stops = timed.join(keys, ENTRY)
     per_stop = stops.groupBy("race_id", "stop_number").agg(
         exact_avg("stop_ms", 38, 6).alias("_avg"), F.min("stop_ms").alias("_best"), F.max("stop_ms").alias("_worst")
     )
-    per_entry = stops.groupBy(*ENTRY).agg(
-        F.sum("stop_ms").alias("total_pit_ms"), F.count(F.lit(1)).alias("total_stops")
-    )
+    # the scan's own partitioning serves the entry's totals, so no third pass over the stops is made
+    totals = {"total_pit_ms": F.sum("stop_ms"), "total_stops": F.count(F.lit(1))}
     order = [F.col(c).asc_nulls_last() for c in ("stop_number", "stop_ms", "result_id")]
     profile = profile_groups(stops, ENTRY, within=_with_results(pit_stops, results))
     scanned = ordered_scan(stops, ENTRY, order, {"stop_seq": row_number(), "_before": previous("stop_ms")}, profile)
-    joined = scanned.join(per_entry, ENTRY).join(per_stop, ["race_id", "stop_number"])
+    counted = with_group_stats(scanned, ENTRY, totals, nulls=False) if profile.hot_groups else _with_totals(scanned, totals)
+    joined = counted.join(per_stop, ["race_id", "stop_number"]).join(entry, [*ENTRY, "result_id"])
     stop = F.col("stop_ms")
     return joined.select(
         surrogate_key([*ENTRY, "stop_number"]).alias("pit_analysis_key"),

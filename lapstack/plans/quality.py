@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,16 +147,18 @@ def hub_orphans(
 ) -> DataFrame:
     """Keys of hub rows that lack a driver, constructor, circuit or race."""
     checked = hub.select("race_driver_key", "driver_id", "constructor_id", "circuit_id", "race_id")
+    lost = F.lit(False)
     for parent, key in (
         (drivers, "driver_id"),
         (constructors, "constructor_id"),
         (circuits, "circuit_id"),
         (races, "race_id"),
     ):
-        known = parent.select(key).distinct().withColumn(f"_has_{key}", F.lit(True))
-        checked = checked.join(known, key, "left")
-    flags = [F.col(f"_has_{k}").isNull() for k in ("driver_id", "constructor_id", "circuit_id", "race_id")]
-    return checked.filter(reduce(lambda a, b: a | b, flags)).select("race_driver_key")
+        # the distinct keys meet the parent; the hub only meets the few without one
+        unknown = hub.select(key).distinct().join(parent.select(key), key, "left_anti")
+        checked = checked.join(unknown.withColumn(f"_lost_{key}", F.lit(True)), key, "left")
+        lost = lost | F.col(key).isNull() | F.col(f"_lost_{key}").isNotNull()
+    return checked.filter(lost).select("race_driver_key")
 
 
 def size_and_lineage(df: DataFrame, table: str, minimum: int = 0) -> DataFrame:

@@ -17,6 +17,7 @@ from lapstack.operators.groups import (
 from lapstack.operators.scans import ordered_scan, previous, row_number, running_sum
 from lapstack.plans import marts, serve
 from lapstack.plans.quality import foreign_key
+from lapstack.plans.star import RAW
 from lapstack.registry.core import register
 from lapstack.registry.sql import LINE_ORDER, half_up_avg
 from lapstack.sources.files import missing_names
@@ -399,7 +400,7 @@ register(
 register(
     "agg_14_five_numbers",
     "constructor_id lowest:double quartile_1:double median:double quartile_3:double highest:double",
-    lambda t: five_numbers(t["entries"], ["constructor_id"], "grid_position"),
+    lambda t: five_numbers(t["entries"], ["constructor_id"], "grid_position", nulls=False),
     "SELECT constructor_id, "
     + ", ".join(
         f"quantile_cont(grid_position, {q}) AS {n}"
@@ -468,8 +469,9 @@ def _lap_deltas(t):
             "lap_avg": exact_avg("lap_ms", 20, 2),
             "on_lap": F.count(F.lit(1)),
         },
+        nulls=False,
     )
-    return with_group_stats(by_lap, ["race_id"], {"race_best": F.min("lap_ms")}).withColumn(
+    return with_group_stats(by_lap, ["race_id"], {"race_best": F.min("lap_ms")}, nulls=False).withColumn(
         "to_race_best", F.col("lap_ms") - F.col("race_best")
     )
 
@@ -534,9 +536,11 @@ register(
             t["fact_pit_stops"],
             ["race_id", "stop_number"],
             {"stop_best": F.min("stop_milliseconds"), "stop_worst": F.max("stop_milliseconds")},
+            nulls=False,
         ),
         ["race_id", "driver_id"],
         {"total_ms": F.sum("stop_milliseconds"), "total_stops": F.count(F.lit(1))},
+        nulls=False,
     ),
     "SELECT race_id, driver_id, stop_number, min(stop_milliseconds) OVER (PARTITION BY race_id, stop_number) AS "
     "stop_best, max(stop_milliseconds) OVER (PARTITION BY race_id, stop_number) AS stop_worst, "
@@ -607,7 +611,7 @@ register(
 
 # ---- set operations ---------------------------------------------------------------------
 
-_COUNTED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+_COUNTED = list(RAW)
 register(
     "set_1_union_of_counts",
     "table_name:text row_count",

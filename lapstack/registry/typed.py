@@ -10,6 +10,9 @@ from lapstack.plans.star_bronze import bronze_tables
 from lapstack.registry.core import register
 from lapstack.registry.sql import half_up
 from lapstack.schemas import BRONZE_COLUMNS, SILVER_FIELDS, STATUS_DEFAULT, STATUS_RULES
+from lapstack.session import scratch_path
+from lapstack.sources.files import read_text_csv
+from lapstack.sources.sinks import create_layers, export_bundle, load_warehouse, validate_load, write_bronze
 
 _KINDS = {
     "bigint": "long",
@@ -163,15 +166,35 @@ def _loaded(tables, *names: str):
 
 _LATEST = "(SELECT max(year) FROM dim_races)"
 _SILVER_OF = {bronze: name for name, (bronze, _) in SILVER_FIELDS.items()}
-_register_sample(
-    "smp_1_row_counts",
-    "table_name:text row_count",
-    lambda t: samples.row_counts(bronze_tables(t)),
-    list(TYPED),
-    " UNION ALL ".join(
-        f"SELECT '{b}' AS table_name, count(*) AS row_count FROM {_SILVER_OF[b]}" for b in BRONZE_COLUMNS
-    ),
+
+
+def _validated(t):
+    """All bronze tables loaded from their files into a fresh database and counted there."""
+    root = scratch_path(t.spark, "warehouse")
+    bronze = "bronze_" + root.rsplit("-", 1)[1][:12]
+    create_layers(t.spark, [bronze], root)
+    for name, columns in BRONZE_COLUMNS.items():
+        write_bronze(bronze_tables(t)[name], f"{root}/files/{name}", columns)
+    load_warehouse(t.spark, f"{root}/files", bronze)
+    return validate_load(t.spark, bronze)
+
+
+def _bundled(t):
+    """All bronze tables bundled as CSV folders, each read back and counted."""
+    root = scratch_path(t.spark, "bundle")
+    export_bundle(bronze_tables(t), root)
+    return samples.row_counts({n: read_text_csv(t.spark, f"{root}/{n}", [*c, "source"]) for n, c in BRONZE_COLUMNS.items()})
+
+
+_ROW_COUNTS = " UNION ALL ".join(
+    f"SELECT '{b}' AS table_name, count(*) AS row_count FROM {_SILVER_OF[b]}" for b in BRONZE_COLUMNS
 )
+for _name, _plan in (
+    ("smp_1_row_counts", lambda t: samples.row_counts(bronze_tables(t))),
+    ("snk_3_load_validation", _validated),
+    ("snk_5_bundle_counts", _bundled),
+):
+    _register_sample(_name, "table_name:text row_count", _plan, list(TYPED), _ROW_COUNTS)
 _register_sample(
     "smp_2_lineage",
     "source:text row_count",
