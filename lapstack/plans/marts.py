@@ -19,7 +19,7 @@ from lapstack.functions.scalars import (
     full_name,
     surrogate_key,
 )
-from lapstack.operators.groups import best_per_key, distinct_list, rank_with_gap, record_holder, with_group_stats
+from lapstack.operators.groups import best_per_key, distinct_list, rank_with_gap, with_group_stats
 from lapstack.operators.scans import ordered_scan, previous, profile_groups, row_number, running_sum
 from lapstack.schemas import STATUS_FINISHED
 
@@ -415,13 +415,8 @@ def circuit_stats(
     ms_average: tuple[int, int] = (10, 2),
 ) -> DataFrame:
     """Totals, record holders and the latest race of every circuit."""
+    # the hub is read three times: for sums, per driver and team, and per race
     totals = hub.groupBy("circuit_id").agg(
-        F.count_distinct("season").alias("seasons_hosted"),
-        F.count_distinct("race_id").alias("races_hosted"),
-        F.min("season").alias("first_season"),
-        F.max("season").alias("last_season"),
-        F.count_distinct("driver_id").alias("unique_drivers"),
-        F.count_distinct("constructor_id").alias("unique_constructors"),
         count_where(F.col("is_win")).alias("total_wins"),
         count_where(F.col("is_podium")).alias("total_podiums"),
         count_where(F.col("is_dnf")).alias("total_dnfs"),
@@ -439,36 +434,53 @@ def circuit_stats(
         "longitude",
         "altitude",
     )
-    poles = qualifying.filter(F.col("qualifying_position") == 1).select(*ENTRY)
-    by_count = [F.col("_rows").desc(), F.col("driver_id").asc()]
+    poles = qualifying.filter(F.col("qualifying_position") == 1).groupBy(*ENTRY).agg(F.count(F.lit(1)).alias("_poles"))
+    starts = hub.select("circuit_id", *ENTRY, "driver_name", "constructor_id", "is_win", "is_podium").join(poles, ENTRY, "left")
+    per_team = starts.groupBy("circuit_id", "driver_id", "driver_name", "constructor_id").agg(
+        count_where(F.col("is_win")).alias("wins"), count_where(F.col("is_podium")).alias("podiums"), F.sum("_poles").alias("poles")
+    )
+    per_driver = per_team.groupBy("circuit_id", "driver_id", "driver_name").agg(
+        F.sum("wins").alias("wins"),
+        F.sum("podiums").alias("podiums"),
+        F.sum("poles").alias("poles"),
+    )
 
-    def holder(rows: DataFrame, name: str) -> DataFrame:
-        return record_holder(rows, ["circuit_id"], ["driver_id"], by_count, "driver_name", name)
+    def holder(count: str) -> Column:
+        """Of the driver with most, and of those the smallest id."""
+        best = F.struct(F.col(count), -F.col("driver_id"))
+        return F.max_by("driver_name", F.when(F.col(count) > 0, best))
 
-    latest_first = [top("season"), top("round"), top("race_date")]
-    latest = best_per_key(
-        hub.select("circuit_id", "season", "round", "race_name", "race_date", "race_id"),
-        ["circuit_id"],
-        [*latest_first, F.col("race_id").asc()],
-    ).select(
-        "circuit_id",
-        F.col("season").alias("latest_season"),
-        F.col("race_name").alias("latest_race_name"),
-        F.col("race_date").alias("latest_race_date"),
-    )
-    winner = best_per_key(
-        hub.filter("is_win").select("circuit_id", "season", "round", "race_date", "driver_id", "driver_name"),
-        ["circuit_id"],
-        [*latest_first, F.col("driver_id").asc()],
-    ).select("circuit_id", F.col("driver_name").alias("latest_winner"))
-    joined = (
-        totals.join(place, "circuit_id")
-        .join(holder(hub.filter("is_win"), "most_wins_driver"), "circuit_id", "left")
-        .join(holder(hub.filter("is_podium"), "most_podiums_driver"), "circuit_id", "left")
-        .join(holder(hub.join(poles, ENTRY), "most_poles_driver"), "circuit_id", "left")
-        .join(latest, "circuit_id", "left")
-        .join(winner, "circuit_id", "left")
+    people = per_driver.groupBy("circuit_id").agg(
+        F.count_distinct("driver_id").alias("unique_drivers"),
+        holder("wins").alias("most_wins_driver"),
+        holder("podiums").alias("most_podiums_driver"),
+        holder("poles").alias("most_poles_driver"),
     )
+    teams = per_team.groupBy("circuit_id").agg(F.count_distinct("constructor_id").alias("unique_constructors"))
+
+    winner = F.min(F.when(F.col("is_win"), F.struct("driver_id", "driver_name")))
+    per_race = hub.groupBy("circuit_id", "season", "round", "race_date", "race_id", "race_name").agg(winner.alias("winner"))
+    # a NULL counts as the latest, as in ``top``
+    when = [part for c in ("season", "round", "race_date") for part in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]
+    races = per_race.groupBy("circuit_id").agg(
+        F.count_distinct("season").alias("seasons_hosted"),
+        F.count_distinct("race_id").alias("races_hosted"),
+        F.min("season").alias("first_season"),
+        F.max("season").alias("last_season"),
+        F.max_by(F.struct("season", "race_name", "race_date"), F.struct(*when, -F.col("race_id"))).alias("latest"),
+        F.max_by("winner.driver_name", F.when(F.col("winner").isNotNull(), F.struct(*when, -F.col("winner.driver_id")))).alias(
+            "latest_winner"
+        ),
+    )
+    races = races.select(
+        "*",
+        F.col("latest.season").alias("latest_season"),
+        F.col("latest.race_name").alias("latest_race_name"),
+        F.col("latest.race_date").alias("latest_race_date"),
+    ).drop("latest")
+    joined = totals.join(place, "circuit_id")
+    for part in (races, people, teams):
+        joined = joined.join(part, "circuit_id", "left")
     return joined.select(
         "circuit_id",
         "circuit_name",
