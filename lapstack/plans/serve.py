@@ -90,12 +90,17 @@ def races_with_detail(analysis: DataFrame, season) -> DataFrame:
     )
 
 
-def laps_of(laps: DataFrame, race_id) -> DataFrame:
-    return where_equal(laps, race_id=race_id).orderBy(*_asc("lap_number", "driver_name"))
+def of_race(df: DataFrame, race_id, season=None) -> DataFrame:
+    """Rows of one race; the race's season, where the caller knows it, leaves one partition to read."""
+    return where_equal(df, race_id=race_id) if season is None else where_equal(df, season=season, race_id=race_id)
 
 
-def stops_of(stops: DataFrame, race_id) -> DataFrame:
-    return where_equal(stops, race_id=race_id).orderBy(*_asc("stop_number", "constructor_name", "driver_name"))
+def laps_of(laps: DataFrame, race_id, season=None) -> DataFrame:
+    return of_race(laps, race_id, season).orderBy(*_asc("lap_number", "driver_name"))
+
+
+def stops_of(stops: DataFrame, race_id, season=None) -> DataFrame:
+    return of_race(stops, race_id, season).orderBy(*_asc("stop_number", "constructor_name", "driver_name"))
 
 
 def season_overview(drivers: DataFrame, constructors: DataFrame, races: DataFrame, season) -> DataFrame:
@@ -268,9 +273,9 @@ def career_leaders(career: DataFrame, metric: str, entity: str, n: int = 15) ->
     return career.orderBy(F.col(metric).desc_nulls_last(), F.col(entity).asc()).limit(n)
 
 
-def race_pace(laps: DataFrame, race_id) -> DataFrame:
+def race_pace(laps: DataFrame, race_id, season=None) -> DataFrame:
     return (
-        where_equal(laps, race_id=race_id)
+        of_race(laps, race_id, season)
         .groupBy("driver_name", "constructor_name")
         .agg(
             exact_avg("delta_to_race_best_ms", 20, 4).alias("avg_delta_ms"), F.count("lap_number").alias("laps")
@@ -279,14 +284,14 @@ def race_pace(laps: DataFrame, race_id) -> DataFrame:
     )
 
 
-def most_laps(laps: DataFrame, race_id, n: int = 6) -> DataFrame:
-    counts = where_equal(laps, race_id=race_id).groupBy("driver_name").agg(F.count("lap_number").alias("laps"))
+def most_laps(laps: DataFrame, race_id, n: int = 6, season=None) -> DataFrame:
+    counts = of_race(laps, race_id, season).groupBy("driver_name").agg(F.count("lap_number").alias("laps"))
     return counts.orderBy(F.col("laps").desc(), *_asc("driver_name")).limit(n)
 
 
-def lap_cards(laps: DataFrame, race_id) -> DataFrame:
+def lap_cards(laps: DataFrame, race_id, season=None) -> DataFrame:
     """Fastest lap, who drove it, and the average, in seconds."""
-    rows = where_equal(laps, race_id=race_id)
+    rows = of_race(laps, race_id, season)
     order = F.struct("lap_ms", "driver_id", "lap_number")
     return rows.agg(
         (F.min("lap_ms") / 1000).alias("fastest_seconds"),
@@ -295,8 +300,8 @@ def lap_cards(laps: DataFrame, race_id) -> DataFrame:
     )
 
 
-def stop_cards(stops: DataFrame, race_id) -> DataFrame:
-    return where_equal(stops, race_id=race_id).agg(
+def stop_cards(stops: DataFrame, race_id, season=None) -> DataFrame:
+    return of_race(stops, race_id, season).agg(
         F.count(F.lit(1)).alias("total_stops"),
         (exact_avg("stop_ms", 20, 4).cast("double") / 1000).alias("average_seconds"),
         (F.min("stop_ms") / 1000).alias("fastest_seconds"),
@@ -304,12 +309,12 @@ def stop_cards(stops: DataFrame, race_id) -> DataFrame:
     )
 
 
-def slowest_stops(stops: DataFrame, race_id, n: int = 20) -> DataFrame:
-    rows = where_equal(stops, race_id=race_id)
+def slowest_stops(stops: DataFrame, race_id, n: int = 20, season=None) -> DataFrame:
+    rows = of_race(stops, race_id, season)
     order = [F.col("stop_ms").desc_nulls_last(), *_asc("driver_id", "stop_number")]
     return rows.orderBy(*order).limit(n).withColumn("duration_seconds", F.col("stop_ms") / 1000)
 
 
-def stop_distribution(stops: DataFrame, race_id) -> DataFrame:
+def stop_distribution(stops: DataFrame, race_id, season=None) -> DataFrame:
     """Five-number summary of stop times per team, in milliseconds."""
-    return five_numbers(where_equal(stops, race_id=race_id), ["constructor_name"], "stop_ms")
+    return five_numbers(of_race(stops, race_id, season), ["constructor_name"], "stop_ms")

@@ -102,14 +102,14 @@ register(
 register(
     "srv_7_laps_of_race",
     m.LAP_ANALYSIS,
-    lambda t: serve.laps_of(t["lap_time_analysis"], RACE),
+    lambda t: serve.laps_of(t["lap_time_analysis"], RACE, season=SEASON),
     f"SELECT * FROM lap_analysis WHERE race_id = {RACE}",
     ["lap_analysis"],
 )
 register(
     "srv_7_stops_of_race",
     m.PIT_ANALYSIS,
-    lambda t: serve.stops_of(t["pit_stop_analysis"], RACE),
+    lambda t: serve.stops_of(t["pit_stop_analysis"], RACE, season=SEASON),
     f"SELECT * FROM pit_analysis WHERE race_id = {RACE}",
     ["pit_analysis"],
 )
@@ -226,16 +226,34 @@ _RECORD_SQL = (
     f"count(*) FILTER (is_dnf) AS dnfs, coalesce({half_up_avg('finish_position', 4)}, 0) AS avg_finish "
     "FROM hub GROUP BY ALL)"
 )
-register(
-    "srv_14_head_to_head",
-    f"season constructor_name:text first_driver:text second_driver:text {_SIDES}",
-    lambda t: serve.compare_pairs(serve.driver_record(t["race_results_detail"]), _neighbours(t)),
+_PAIRS_SQL = (
     "SELECT p.season, p.constructor_name, p.first_driver, p.second_driver, "
     + ", ".join(f"{a}.{c} AS {side}_{c}" for side, a in (("first", "a"), ("second", "b")) for c in serve.HEAD_TO_HEAD)
     + f" FROM {_NEIGHBOURS_SQL} p JOIN {_RECORD_SQL} a ON a.season = p.season AND "
     "a.constructor_name = p.constructor_name AND a.driver_name = p.first_driver "
     f"JOIN {_RECORD_SQL} b ON b.season = p.season AND b.constructor_name = p.constructor_name "
-    "AND b.driver_name = p.second_driver",
+    "AND b.driver_name = p.second_driver"
+)
+register(
+    "srv_14_head_to_head",
+    f"season constructor_name:text first_driver:text second_driver:text {_SIDES}",
+    lambda t: serve.compare_pairs(serve.driver_record(t["race_results_detail"]), _neighbours(t)),
+    _PAIRS_SQL,
+    ["hub"],
+)
+
+
+def _selected(t):
+    """The first pair by name of a season, chosen as a reader of the page would."""
+    pair = _neighbours(t).filter(f"season = {SEASON}").orderBy("constructor_name", "first_driver").first()
+    return serve.head_to_head(t["race_results_detail"], SEASON, pair["constructor_name"], pair["first_driver"], pair["second_driver"])
+
+
+register(
+    "srv_14_selected_pair",
+    f"season constructor_name:text first_driver:text second_driver:text {_SIDES}",
+    _selected,
+    f"SELECT * FROM ({_PAIRS_SQL}) WHERE season = {SEASON} ORDER BY constructor_name, first_driver LIMIT 1",
     ["hub"],
 )
 for _metric in serve.CAREER_METRICS:
@@ -249,7 +267,7 @@ for _metric in serve.CAREER_METRICS:
 register(
     "srv_16_race_pace",
     "driver_name:text constructor_name:text avg_delta_ms:double laps",
-    lambda t: serve.race_pace(t["lap_time_analysis"], RACE),
+    lambda t: serve.race_pace(t["lap_time_analysis"], RACE, season=SEASON),
     f"SELECT driver_name, constructor_name, {half_up_avg('delta_to_race_best_ms', 4)} AS avg_delta_ms, "
     f"count(lap_number) AS laps FROM lap_analysis WHERE race_id = {RACE} GROUP BY ALL",
     ["lap_analysis"],
@@ -257,7 +275,7 @@ register(
 register(
     "srv_16_most_laps",
     "driver_name:text laps",
-    lambda t: serve.most_laps(t["lap_time_analysis"], RACE),
+    lambda t: serve.most_laps(t["lap_time_analysis"], RACE, season=SEASON),
     f"SELECT driver_name, count(lap_number) AS laps FROM lap_analysis WHERE race_id = {RACE} GROUP BY driver_name "
     "ORDER BY laps DESC, driver_name LIMIT 6",
     ["lap_analysis"],
@@ -265,7 +283,7 @@ register(
 register(
     "srv_16_lap_cards",
     "fastest_seconds:double fastest_driver:text average_seconds:double",
-    lambda t: serve.lap_cards(t["lap_time_analysis"], RACE),
+    lambda t: serve.lap_cards(t["lap_time_analysis"], RACE, season=SEASON),
     "SELECT min(lap_ms) / 1000 AS fastest_seconds, arg_min(driver_name, (lap_ms, driver_id, lap_number)) AS "
     f"fastest_driver, CAST({half_up_avg('lap_ms', 4)} AS DOUBLE) / 1000 AS average_seconds FROM lap_analysis "
     f"WHERE race_id = {RACE}",
@@ -274,7 +292,7 @@ register(
 register(
     "srv_17_stop_cards",
     "total_stops average_seconds:double fastest_seconds:double slowest_seconds:double",
-    lambda t: serve.stop_cards(t["pit_stop_analysis"], RACE),
+    lambda t: serve.stop_cards(t["pit_stop_analysis"], RACE, season=SEASON),
     f"SELECT count(*) AS total_stops, CAST({half_up_avg('stop_ms', 4)} AS DOUBLE) / 1000 AS average_seconds, "
     "min(stop_ms) / 1000 AS fastest_seconds, max(stop_ms) / 1000 AS slowest_seconds FROM pit_analysis "
     f"WHERE race_id = {RACE}",
@@ -283,7 +301,7 @@ register(
 register(
     "srv_17_slowest_stops",
     "driver_name:text constructor_name:text stop_number lap_number duration_seconds:double",
-    lambda t: serve.slowest_stops(t["pit_stop_analysis"], RACE),
+    lambda t: serve.slowest_stops(t["pit_stop_analysis"], RACE, season=SEASON),
     "SELECT driver_name, constructor_name, stop_number, lap_number, stop_ms / 1000 AS duration_seconds "
     f"FROM pit_analysis WHERE race_id = {RACE} ORDER BY stop_ms DESC NULLS LAST, driver_id, stop_number LIMIT 20",
     ["pit_analysis"],
@@ -291,7 +309,7 @@ register(
 register(
     "srv_17_stop_distribution",
     "constructor_name:text " + " ".join(f"{n}:double" for n in FIVE_NUMBERS),
-    lambda t: serve.stop_distribution(t["pit_stop_analysis"], RACE),
+    lambda t: serve.stop_distribution(t["pit_stop_analysis"], RACE, season=SEASON),
     "SELECT constructor_name, "
     + ", ".join(f"quantile_cont(stop_ms, {q}) AS {n}" for n, q in FIVE_NUMBERS.items())
     + f" FROM pit_analysis WHERE race_id = {RACE} AND stop_ms IS NOT NULL GROUP BY constructor_name",
