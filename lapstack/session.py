@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 GROUP_ROWS = "spark.lapstack.groupRows"
+_TUNED = "spark.lapstack.tuned"
 
 _DEFAULT_GROUP_ROWS = 2_000_000
 
@@ -25,10 +26,12 @@ _SQL_SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings the plans rely on; all of them may be set at run time."""
-    for key, value in _SQL_SETTINGS.items():
-        if spark.conf.get(key, None) != value:
-            spark.conf.set(key, value)
+    """Apply the settings the plans rely on, once per session; what a caller sets afterwards stays."""
+    if spark.conf.get(_TUNED, None) is None:
+        for key, value in _SQL_SETTINGS.items():
+            if spark.conf.get(key, None) != value:
+                spark.conf.set(key, value)
+        spark.conf.set(_TUNED, "true")
     return spark
 
 
