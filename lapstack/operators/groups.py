@@ -49,9 +49,10 @@ def rank_with_gap(
     rank: str = "championship_position",
     lead: str = "leader_points",
     gap: str = "points_behind_leader",
+    limit: int | None = None,
 ) -> DataFrame:
     """Position in the group, the leader's value, and the distance to it."""
-    ranked = ordered_scan(df, keys, order, {rank: row_number(), lead: leading(value)})
+    ranked = ordered_scan(df, keys, order, {rank: row_number(), lead: leading(value)}, limit=limit)
     return ranked.withColumn(gap, F.col(lead) - F.col(value))
 
 

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapstack.session import group_rows, shared_dir
+from lapstack.session import group_rows, shared_dir, stage
 
 _BROADCAST_KEYS = 100_000
 _POSITION_BITS = 33
@@ -51,17 +51,19 @@ class GroupProfile:
     hot_rows: int
 
 
-def profile_groups(df: DataFrame, keys: Sequence[str], within: DataFrame | None = None) -> GroupProfile:
+def profile_groups(
+    df: DataFrame, keys: Sequence[str], within: DataFrame | None = None, limit: int | None = None
+) -> GroupProfile:
     """How many groups exceed the row limit of a task: one aggregation, one row back.
 
     ``within`` may name a cheaper frame whose groups are at least as large; when none of
-    those is too large, ``df`` itself is not counted.
+    those is too large, ``df`` itself is not counted. ``limit`` stands in for the session's row limit.
     """
     if within is not None:
-        outer = profile_groups(within, keys)
+        outer = profile_groups(within, keys, limit=limit)
         if outer.hot_groups == 0:
             return outer
-    limit = group_rows(df.sparkSession)
+    limit = limit or group_rows(df.sparkSession)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = F.col("_n") > limit
     found = sizes.agg(
@@ -88,21 +90,25 @@ def ordered_scan(
     order: Sequence[Column],
     scans: Mapping[str, Scan],
     profile: GroupProfile | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """Add one column per scan, each over the rows of a group in a total order.
 
-    ``profile`` may come from a narrower frame with the same (or larger) groups.
+    ``profile`` may come from a narrower frame with the same (or larger) groups; ``limit`` stands in for the session's
+    row limit of a group. With a hot group the input is written to the shared folder first, so that it is evaluated once however many branches read it.
     """
-    profile = profile or profile_groups(df, keys)
+    profile = profile or profile_groups(df, keys, limit=limit)
     if profile.hot_groups == 0:
         return bounded_scan(df, keys, order, scans)
 
+    columns = df.columns
+    df = stage(df.withColumn("_tie", F.monotonically_increasing_id()), "scan")
     hot_keys = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > profile.limit).select(*keys)
     hot_keys = hot_keys.toDF(*[f"{k}_hot" for k in keys])
     if profile.hot_groups <= _BROADCAST_KEYS:
         hot_keys = F.broadcast(hot_keys)
     match = same_keys(df, hot_keys, keys, "_hot")
-    cool = bounded_scan(df.join(hot_keys, match, "left_anti"), keys, order, scans)
+    cool = bounded_scan(df.join(hot_keys, match, "left_anti").select(*columns), keys, order, scans)
     hot = _chunked_scan(df.join(hot_keys, match, "left_semi"), keys, order, scans, profile)
     return cool.unionByName(hot.select(*cool.columns))
 
@@ -163,8 +169,9 @@ def _local(scan: Scan, window) -> Column:
     raise ValueError(f"unknown scan {scan.kind}")
 
 
-def _chunked_scan(df, keys, order, scans, profile):
-    rows, columns, order = spread_ties(df), df.columns, [*order, F.col("_tie").asc()]
+def _chunked_scan(rows, keys, order, scans, profile):
+    """The scans of hot groups; ``rows`` have their own ``_tie`` and are stored, so a task run again sees the same."""
+    columns, order = [c for c in rows.columns if c != "_tie"], [*order, F.col("_tie").asc()]
     parts = max(2, math.ceil(2 * profile.hot_rows / profile.limit))
     chunks = (
         rows.repartitionByRange(parts, *[F.col(k) for k in keys], *order)

@@ -197,8 +197,11 @@ def _outcome_flags():
     ]
 
 
-def championship_standings(hub: DataFrame) -> DataFrame:
-    """Points, wins and podiums after every round, with the place and the gap to the leader."""
+def championship_standings(hub: DataFrame, limit: int | None = None) -> DataFrame:
+    """Points, wins and podiums after every round, with the place and the gap to the leader.
+
+    ``limit`` stands in for the session's row limit of a group.
+    """
     rows = hub.select(
         "driver_id",
         "race_id",
@@ -220,9 +223,10 @@ def championship_standings(hub: DataFrame) -> DataFrame:
             "wins_so_far": running_sum("_win"),
             "podiums_so_far": running_sum("_podium"),
         },
+        limit=limit,
     ).drop("_points", "_win", "_podium")
     order = [top("cumulative_points"), top("wins_so_far"), top("podiums_so_far"), F.col("driver_id").asc()]
-    ranked = rank_with_gap(totals, ["season", "round"], order, "cumulative_points")
+    ranked = rank_with_gap(totals, ["season", "round"], order, "cumulative_points", limit=limit)
     return ranked.select(
         composite_text_key("driver_id", "race_id").alias("driver_race_key"),
         "driver_id",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lapstack.plans.marts import championship_standings
 from lapstack.registry.core import register
 
 HUB = (
@@ -85,3 +86,11 @@ def _mart(name: str):
 
 for _number, (_name, _view, _columns) in enumerate(MARTS, 1):
     register(f"mart_{_number}_{_name}", _columns, _mart(_name), f"SELECT * FROM {_view}", [_view])
+register(
+    "mart_2_hot_groups",
+    STANDINGS,
+    # groups above a hundred rows count as hot: those of a round do
+    lambda t: championship_standings(t["race_results_detail"], limit=100),
+    "SELECT * FROM standings",
+    ["standings"],
+)

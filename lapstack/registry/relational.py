@@ -426,6 +426,20 @@ register(
     "WINDOW w AS (PARTITION BY driver_id, season ORDER BY round ROWS UNBOUNDED PRECEDING)",
     ["entries"],
 )
+register(
+    "win_1_hot_groups",
+    "season round driver_id total:double place",
+    lambda t: ordered_scan(
+        t["entries"],
+        ["season"],
+        [F.col("round").asc(), F.col("driver_id").asc()],
+        {"total": running_sum("points"), "place": row_number()},
+        limit=1000,
+    ),
+    "SELECT season, round, driver_id, sum(points) OVER w AS total, row_number() OVER w AS place FROM entries "
+    "WINDOW w AS (PARTITION BY season ORDER BY round, driver_id ROWS UNBOUNDED PRECEDING)",
+    ["entries"],
+)
 register(
     "win_2_ranking",
     "race_id driver_id place",
