@@ -21,6 +21,8 @@ from lapstack.llm.common import bounded_batches, text_of
 from lapstack.session import stage
 
 _WORD = re.compile(r"[^\W_]+")
+_SHARES = 1_000_003
+_COUNTERS = np.uint64(40)  # leading 24 bits of a feature pick its counter
 _KINDS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
@@ -72,6 +74,12 @@ def features(words: np.ndarray) -> np.ndarray:
 
 def learn(rows: list[tuple[np.ndarray, int]], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """FTRL-proximal over (features, label) rows: the features with a weight, and the weights; feature 0 is the bias."""
+    # most features are in one row only; small counters find them before the rest is gathered
+    seen = np.zeros(1 << 24, np.uint8)
+    for f, _ in rows:
+        at = f >> _COUNTERS
+        seen[at] = np.minimum(seen[at], 254) + 1
+    rows = [(f[seen[f >> _COUNTERS] >= settings.min_docs], y) for f, y in rows]
     sizes = np.array([len(f) for f, _ in rows], np.int64)
     labels = np.array([y for _, y in rows], np.float64)
     keys, index, count = np.unique(np.concatenate([f for f, _ in rows]), return_inverse=True, return_counts=True)
@@ -141,17 +149,15 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     spark = labelled.sparkSession
     bounded_batches(spark)
     rows = labelled.filter("label IS NOT NULL").select(
-        F.xxhash64(F.col("doc_id").cast("string")).alias("_order"), text_of().alias("text"), F.col("label").cast("int").alias("label")
+        F.xxhash64(F.col("doc_id").cast("string")).alias("_order"), "doc_id", text_of().alias("text"), F.col("label").cast("int").alias("label")
     )
-    narrow = rows.select("_order", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("ones")).first()
-    n, ones = narrow["n"], narrow["ones"] or 0
-    if n > settings.max_rows:
-        share = settings.max_rows / n * 0.95
-        rows = rows.filter(F.pmod(F.xxhash64("_order"), F.lit(1_000_003)) < int(share * 1_000_003))
+    rows = stage(_sampled(rows, rows.count(), settings.max_rows).drop("doc_id"), "sample")
+    counted = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("ones")).first()
+    n, ones = counted["n"], counted["ones"] or 0
     if not n or ones in (0, n):
         p = min(max(ones / n if n else 0.0, 1e-6), 1 - 1e-6)
         return Model(np.empty(0, np.uint64), np.empty(0), float(np.log(p / (1 - p))))
-    learners = max(1, min(settings.learners, min(n, settings.max_rows) // settings.learner_rows))
+    learners = max(1, min(settings.learners, n // settings.learner_rows))
     sample = rows.withColumn("learner", F.pmod(F.xxhash64("_order", F.lit(1)), F.lit(learners)).cast("int"))
     weights = (
         sample.groupBy("learner")
@@ -192,10 +198,23 @@ def held_out(column: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(5)) == 0
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts with their label, without the held-out fifth; one label per document (the larger when they differ)."""
+def labelled_rows(docs: DataFrame, labels: DataFrame, max_rows: int = Settings.max_rows) -> DataFrame:
+    """``doc_id``, ``text`` and ``label`` of labelled documents, without the held-out fifth.
+
+    Documents with the smallest hashes of their id are taken where more than ``max_rows`` are labelled, so the ids are
+    bounded and broadcast, and no text is shuffled that is not learnt from. One label and one text per document (the
+    larger ones where they differ).
+    """
     marks = labels.filter(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("label")).filter("label IS NOT NULL")
-    return docs.select("doc_id", "text").join(marks, "doc_id")
+    marks = stage(_sampled(marks, marks.count(), max_rows), "marks")
+    chosen = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(marks), "doc_id")
+    return chosen.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("label").alias("label"))
+
+
+def _sampled(rows: DataFrame, n: int, max_rows: int) -> DataFrame:
+    """A share of the rows by a hash of ``doc_id``, a little under ``max_rows`` of ``n``."""
+    share = int(0.95 * max_rows / max(n, 1) * _SHARES)
+    return rows if n <= max_rows else rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(_SHARES)) < share)
 
 
 def with_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -204,6 +223,6 @@ def with_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Setting
     Every row is scored over its whole text, NULL as empty; labels of documents that are missing are left out; a
     column of the documents named ``score`` or ``predicted`` is replaced.
     """
-    model = train(labelled_rows(docs, labels), settings)
+    model = train(labelled_rows(docs, labels, settings.max_rows), settings)
     scored = docs.drop("score", "predicted").withColumn("score", score_column(text_of(), model))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
