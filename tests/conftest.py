@@ -12,7 +12,11 @@ from lapstack.session import GROUP_ROWS, local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8, 2, "6g", **{"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
+    folders = {
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+    }
+    session = local_session(8, 2, "6g", **folders)
     yield session
     session.stop()
 
