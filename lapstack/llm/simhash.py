@@ -285,7 +285,8 @@ def one_per_class(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataF
     classes = simhash_classes(docs, shingle, max_bits)
     stays = classes.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id")
     stays = stage(stays.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")), "stays")
-    kept = docs.join(stays, "doc_id", "inner").select(*docs.columns, "_rows")
+    # as many ids as documents stay, so they are shuffled at every size
+    kept = docs.join(stays.hint("merge"), "doc_id", "inner").select(*docs.columns, "_rows")
     once = kept.filter("_rows = 1").drop("_rows")
     again = kept.filter("_rows > 1").drop("_rows").dropDuplicates(["doc_id"])
     return once.unionByName(again).unionByName(docs.filter("doc_id IS NULL"))
