@@ -119,9 +119,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings
     pairs = stage(found, "candidates")
 
     exact_items = items.select("item", shingles_of(F.col("words"), width).alias("item_set"))
-    asked = pairs.join(_bounded(exact_items, items.count()), "item")
     texts = docs.filter("doc_id IS NOT NULL").select("doc_id", text_of().alias("text"))
-    near = texts.join(_bounded(asked, pairs.count()), "doc_id")
+    # the pairs are two numbers a row, the items' shingles are counted as rows
+    n_shingles = items.agg(F.sum(F.size("words"))).first()[0] or 0
+    near = texts.join(_bounded(pairs, pairs.count()), "doc_id").join(_bounded(exact_items, n_shingles), "item")
     shared = (
         near.select(
             "doc_id",
