@@ -22,6 +22,7 @@ from lapstack.session import stage
 
 _WORD = re.compile(r"[^\W_]+")
 _SHARES = 1_000_003
+_WORDS_KEPT = 100_000  # whose hashes a task keeps
 _COUNTERS = np.uint64(40)  # leading 24 bits of a feature pick its counter
 _KINDS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
@@ -57,7 +58,7 @@ def word_hashes(text: str, known: dict[str, int]) -> np.ndarray:
     for i, w in enumerate(words):
         h = known.get(w)
         if h is None:
-            if len(known) > 500_000:
+            if len(known) > _WORDS_KEPT:
                 known.clear()
             h = known[w] = xxhash.xxh64_intdigest(w)
         out[i] = h
