@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +13,7 @@ from lapstack.session import stage
 
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SPARK_DEFAULT_BATCH = "10000"
+_CACHE = "lapstack_worker_cache"
 
 # The six ASCII white space characters as a Java character class.
 ASCII_SPACE = r"[ \t\n\u000B\f\r]"
@@ -26,6 +29,14 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(_BATCH_ROWS, str(rows))
 
 
+def worker_cache() -> dict:
+    """A dictionary that lives as long as a worker process, so that tasks after the first find what it has loaded.
+
+    Functions are sent by value and bring their own module globals with each task; this is kept apart from them.
+    """
+    return sys.modules.setdefault(_CACHE, types.ModuleType(_CACHE)).__dict__
+
+
 def text_of(column: str = "text") -> Column:
     """A text column with NULL as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -20,13 +20,15 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapstack.llm.common import bounded_batches, text_of
+from lapstack.llm.common import bounded_batches, text_of, worker_cache
 
 _SPACE = "▁"
 _BASE = 0x9E3779B97F4A7C15  # odd multiplier of the rolling hash
-_WORDS_KEPT = 400_000
-_PAIRS_KEPT = 2_000_000
+_WORDS_KEPT = 100_000  # in each of two generations
+_PAIRS_KEPT = 400_000
+_MIX = 0xD6E8FEB86659FD93
 _LEADING = np.uint64(44)
+_PAIR_BITS = np.uint64(44)  # 2^20 slots for judged pairs
 _CODE = 2_000_000  # above every id and code point
 
 
@@ -48,7 +50,11 @@ class Pieces:
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(plain, np.int64)[order]
         self.leading = np.zeros(1 << 20, bool)
-        self.leading[self.keys >> _LEADING] = True
+        lead = self.keys >> _LEADING
+        self.leading[lead] = True
+        # where each leading part begins among the sorted hashes, and how many share one at most
+        self.first = np.searchsorted(lead, np.arange(1 << 20, dtype=np.uint64)).astype(np.int32)
+        self.crowd = int(np.unique(lead, return_counts=True)[1].max())
         if (self.keys[1:] == self.keys[:-1]).any():
             raise ValueError("two pieces share a hash")
         self.merging = merging = {c for p in self.rank if len(p) > 1 for c in p} - {_SPACE}
@@ -61,14 +67,17 @@ class Pieces:
         ]
         self.raw[self.unknown] = " ⁇ ".encode()
         self.words: dict[str, bytes] = {}
-        self.codes, self.passes = np.array([-1], np.int64), np.array([False])
+        self.older: dict[str, bytes] = {}
+        self.judged: dict[int, bool] = {}
+        self.codes = np.full(1 << (64 - int(_PAIR_BITS)), -1, np.int64)
+        self.passes = np.zeros(len(self.codes), bool)
 
     @staticmethod
     def _hash(s: str) -> int:
         h = 0
         for c in s:
             h = (h * _BASE + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
-        return h ^ (len(s) << 58)
+        return (h ^ (len(s) << 58)) * _MIX & 0xFFFFFFFFFFFFFFFF
 
     def merged(self, text: str) -> list[str]:
         """Byte-pair merging, best score first, leftmost of equals: the definition that pairs are judged by."""
@@ -88,20 +97,42 @@ class Pieces:
         return self.name[token] if token < self.size else chr(token - self.size)
 
     def may_follow(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether each right token may follow the left one: a table of judged pairs, a slot for each hash."""
         codes = left * _CODE + right
-        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        missing = np.unique(codes[self.codes[at] != codes])
-        if len(missing):
-            if len(self.codes) > _PAIRS_KEPT:
-                self.codes, self.passes = self.codes[:1], self.passes[:1]
-                missing = np.unique(codes)
-            spelled = [(self.string(c // _CODE), self.string(c % _CODE)) for c in missing.tolist()]
-            passes = np.array([self.merged(x + y) == [x, y] for x, y in spelled])
-            codes_now = np.concatenate([self.codes, missing])
-            order = np.argsort(codes_now, kind="stable")
-            self.codes, self.passes = codes_now[order], np.concatenate([self.passes, passes])[order]
-            at = np.searchsorted(self.codes, codes)
-        return self.passes[at]
+        slot = (codes.astype(np.uint64) * np.uint64(_BASE)) >> _PAIR_BITS
+        missing = np.unique(codes[self.codes[slot] != codes])
+        if not len(missing):
+            return self.passes[slot]
+        # new pairs, and those that another pair has driven out of its slot
+        if len(self.judged) > _PAIRS_KEPT:
+            self.judged.clear()
+        passes = np.empty(len(missing), bool)
+        for i, code in enumerate(missing.tolist()):
+            known = self.judged.get(code)
+            if known is None:
+                x, y = self.string(code // _CODE), self.string(code % _CODE)
+                known = self.judged[code] = self.merged(x + y) == [x, y]
+            passes[i] = known
+        out = self.passes[slot]
+        wrong = np.flatnonzero(self.codes[slot] != codes)
+        out[wrong] = passes[np.searchsorted(missing, codes[wrong])]
+        slot = (missing.astype(np.uint64) * np.uint64(_BASE)) >> _PAIR_BITS
+        # of new pairs with one slot the last is written, so code and verdict are written for the same one
+        _, last = np.unique(slot[::-1], return_index=True)
+        last = len(slot) - 1 - last
+        self.codes[slot[last]], self.passes[slot[last]] = missing[last], passes[last]
+        return out
+
+    def piece_of(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are a piece's, and its place among the sorted ones: hashes of one leading part lie together."""
+        lead = key >> _LEADING
+        owner = np.flatnonzero(self.leading[lead])
+        at = self.first[lead[owner]]
+        hit = self.keys[at] == key[owner]
+        for _ in range(self.crowd - 1):
+            at = np.where(hit, at, np.minimum(at + 1, len(self.keys) - 1))
+            hit = self.keys[at] == key[owner]
+        return owner[hit], at[hit]
 
     def encode_equal(self, words: list[str]) -> list[bytes]:
         """The ids (int32, little endian) of words with one number of characters."""
@@ -121,11 +152,9 @@ class Pieces:
             for length in range(1, min(end, self.longest) + 1):
                 start = end - length
                 key = (hashes[end] - hashes[start] * np.uint64(powers[length])) ^ np.uint64(length << 58)
-                # most substrings are no piece, and a bitmap of leading hash bits shows it
-                owner = np.flatnonzero(self.leading[key >> _LEADING])
-                at = np.minimum(np.searchsorted(self.keys, key[owner]), len(self.keys) - 1)
-                hit = self.keys[at] == key[owner]
-                owner, piece = owner[hit], self.ids[at[hit]]
+                key = key * np.uint64(_MIX)  # short strings have small hashes; this spreads their leading bits
+                owner, at = self.piece_of(key)
+                piece = self.ids[at]
                 if length == 1:
                     single = self.size + points[:, start].astype(np.int64)
                     single[owner] = piece
@@ -176,10 +205,12 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.word.findall(_SPACE + t.replace(" ", _SPACE)) if t else [] for t in texts]
         if len(self.words) > _WORDS_KEPT:
-            self.words.clear()
+            self.older, self.words = self.words, {}
         new: dict[int, list[str]] = {}
         for w in {w for words in split for w in words}.difference(self.words):
-            if w[0] == _SPACE or w[0] in self.merging:
+            if w in self.older:
+                self.words[w] = self.older[w]
+            elif w[0] == _SPACE or w[0] in self.merging:
                 new.setdefault(len(w), []).append(w)
             else:
                 self.words[w] = self._bytes([self.id.get(c, self.size + ord(c)) for c in w])
@@ -196,14 +227,12 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
 
-_LOADED: dict[str, Pieces] = {}
-
-
 def load(path: str) -> Pieces:
     """The model of a path, loaded once in each worker."""
-    if path not in _LOADED:
-        _LOADED[path] = Pieces(path)
-    return _LOADED[path]
+    cache, key = worker_cache(), f"Pieces {path}"
+    if key not in cache:
+        cache[key] = Pieces(path)
+    return cache[key]
 
 
 def encode_column(column: Column, path: str) -> Column:

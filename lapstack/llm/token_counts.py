@@ -21,10 +21,10 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapstack.llm.common import bounded_batches, text_of
+from lapstack.llm.common import bounded_batches, text_of, worker_cache
 
-_UNITS_KEPT = 500_000
-_PAIRS_KEPT = 2_000_000
+_UNITS_KEPT = 200_000  # in each of two generations
+_PAIRS_KEPT = 500_000
 # white space as the pre-tokenizer sees it, and its units: contractions, or letters, digits, other characters
 _GAP = r"\p{White_Space}"
 _LEADING_GAP = regex.compile(rf"{_GAP}*")
@@ -63,6 +63,8 @@ class Counter:
         self.cut = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
         self.units: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.previous: tuple[bytes, list[int], list[bytes]] = (b"", [0], [b""])
 
     def merged(self, raw: bytes) -> list[bytes]:
         """Merging by rank, leftmost first: the definition that neighbours are judged by."""
@@ -91,20 +93,30 @@ class Counter:
         return known
 
     def prefixes(self, raw: bytes) -> list[int]:
-        """The token count of every byte prefix of one pre-tokenizer piece; the dynamic program."""
-        counts, last = [0], [b""]
+        """The token count of every byte prefix of one pre-tokenizer piece; the dynamic program.
+
+        It goes on from the prefix that the piece shares with the one before, which sorted units make long.
+        """
+        before, counts, last = self.previous
+        shared = 0
+        for a, b in zip(before, raw):
+            if a != b:
+                break
+            shared += 1
+        counts, last = counts[: shared + 1], last[: shared + 1]
         token, pairs, longest = self.token, self.pairs, self.longest
-        for end in range(1, len(raw) + 1):
+        for end in range(shared + 1, len(raw) + 1):
             for start in range(end - longest if end > longest else 0, end):
                 piece = raw[start:end]
                 if piece in token:
-                    before = last[start]
-                    if not start or (pairs[before, piece] if (before, piece) in pairs else self.may_follow(before, piece)):
+                    left = last[start]
+                    if not start or (pairs[left, piece] if (left, piece) in pairs else self.may_follow(left, piece)):
                         counts.append(counts[start] + 1)
                         last.append(piece)
                         break
             else:
                 raise ValueError("a byte has no token")
+        self.previous = raw, counts, last
         return counts
 
     def _char_counts(self, text: str) -> list[int]:
@@ -118,8 +130,6 @@ class Counter:
     def unit_steps(self, unit: str) -> bytes:
         known = self.units.get(unit)
         if known is None:
-            if len(self.units) > _UNITS_KEPT:
-                self.units.clear()
             counts = self.unit_counts(unit)
             known = self.units[unit] = array("h", [b - a for a, b in zip(counts, counts[1:])]).tobytes()
         return known
@@ -144,13 +154,32 @@ class Counter:
             return inside + [split + c for c in alone] + [split + self._char_counts(core)[-1]]
         return inside + [split + c for c in self._char_counts(core)[1:]]
 
+    def batch_steps(self, texts: list[str]) -> list[np.ndarray]:
+        """The steps of many texts; new units are counted in order, so that neighbours share their beginnings."""
+        if len(self.units) > _UNITS_KEPT:
+            self.older, self.units = self.units, {}
+        older, known = self.older, self.units
+        split = [None if self._has_special(t) else _UNIT.findall(t) for t in texts]
+        for unit in sorted({u for units in split if units for u in units}.difference(known)):
+            if unit in older:
+                known[unit] = older[unit]
+            else:
+                self.unit_steps(unit)
+        return [
+            self.steps(t) if units is None else np.frombuffer(b"".join([known[u] for u in units]), "<i2")
+            for t, units in zip(texts, split)
+        ]
+
+    def _has_special(self, text: str) -> bool:
+        return any(s in text for s in self.special)
+
     def _plain(self, text: str) -> list[bytes]:
         known = self.units
         return [known.get(u) or self.unit_steps(u) for u in _UNIT.findall(text)]
 
     def steps(self, text: str) -> np.ndarray:
         """How the token count changes with each code point of the text."""
-        if self.cut is None or not any(s in text for s in self.special):
+        if not self._has_special(text):
             return np.frombuffer(b"".join(self._plain(text)), "<i2")
         # an added token's string is one token; cut short, it is text that goes with what is before it
         out, at = [], 0
@@ -170,24 +199,23 @@ class Counter:
         return int(np.frombuffer(b"".join(self._plain(text)), "<i2").sum()) if text else 0
 
 
-_LOADED: dict[str, Counter] = {}
-
-
 def load(path: str) -> Counter:
     """The tokenizer of a path, loaded once in each worker."""
-    if path not in _LOADED:
-        _LOADED[path] = Counter(path)
-    return _LOADED[path]
+    cache, key = worker_cache(), f"Counter {path}"
+    if key not in cache:
+        cache[key] = Counter(path)
+    return cache[key]
 
 
-def prefix_steps(column: Column, path: str) -> Column:
-    """The steps of every text as binary (little endian, 16 bits a code point)."""
+def counted(column: Column, path: str) -> Column:
+    """``steps`` of every text as binary (little endian, 16 bits a code point) and ``n_tokens`` of all of it."""
 
-    @F.pandas_udf("binary")
-    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("steps binary, n_tokens bigint")
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         counter = load(path)
         for batch in texts:
-            yield pd.Series([counter.steps(t).tobytes() for t in batch])
+            steps = counter.batch_steps(batch.tolist())
+            yield pd.DataFrame({"steps": [s.tobytes() for s in steps], "n_tokens": [int(s.sum(dtype=np.int64)) for s in steps]})
 
     return run(column)
 
@@ -229,5 +257,5 @@ def with_prefix_counts(docs: DataFrame, path: str) -> DataFrame:
     empty texts have no tokens. Columns of those names are replaced, all others kept.
     """
     bounded_batches(docs.sparkSession)
-    out = docs.drop("prefix_steps", "n_tokens").withColumn("prefix_steps", prefix_steps(text_of(), path))
-    return out.withColumn("n_tokens", tokens_in_prefix(F.col("prefix_steps"), F.lit(2**31 - 1)))
+    out = docs.drop("prefix_steps", "n_tokens", "_counted").withColumn("_counted", counted(text_of(), path))
+    return out.withColumns({"prefix_steps": F.col("_counted.steps"), "n_tokens": F.col("_counted.n_tokens")}).drop("_counted")

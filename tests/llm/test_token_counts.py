@@ -68,5 +68,7 @@ def test_query_counts_whole_texts(spark, library):
 def test_counter_forgets_but_stays_right(counter, library, monkeypatch):
     monkeypatch.setattr(token_counts, "_UNITS_KEPT", 3)
     monkeypatch.setattr(token_counts, "_PAIRS_KEPT", 3)
-    text = "one two three four five six seven eight nine ten"
-    assert int(token_counts.Counter(PATH).steps(text).sum()) == library([text])[0]
+    texts = ["one two three four five six", "", "seven eight<|endoftext|>", "one nine ten two", "one"]
+    forgetful = token_counts.Counter(PATH)
+    for _ in range(3):
+        assert [int(s.sum()) for s in forgetful.batch_steps(texts)] == library(texts)
