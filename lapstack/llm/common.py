@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
     """Fewer rows per Arrow batch, so that a batch of long texts fits a worker; a caller's own value stays."""
     if spark.conf.get(_BATCH_ROWS, _SPARK_DEFAULT_BATCH) == _SPARK_DEFAULT_BATCH:
         spark.conf.set(_BATCH_ROWS, str(rows))

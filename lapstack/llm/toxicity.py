@@ -7,6 +7,7 @@ compact list of weights, bounded by a parameter of the learners, which goes to e
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -45,9 +46,8 @@ class Settings:
     epochs: int = 4
     refit_alpha: float = 1.0
     refit_epochs: int = 15  # over the features that L1 has left, without L1
-    learners: int = 6  # at most
-    learner_rows: int = 8_000  # a learner more from so many rows on
-    max_rows: int = 24_000  # labelled rows that are learnt from, chosen by a hash of doc_id
+    learner_rows: int = 8_000  # of one learner, at most
+    max_rows: int = 16_000  # labelled rows that are learnt from, chosen by a hash of doc_id
     min_docs: int = 3  # rows of a learner that must hold a feature
     max_weights: int = 200_000  # of one learner, the largest
 
@@ -75,18 +75,15 @@ def features(words: np.ndarray) -> np.ndarray:
 
 def learn(rows: list[tuple[np.ndarray, int]], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """FTRL-proximal over (features, label) rows: the features with a weight, and the weights; feature 0 is the bias."""
-    # most features are in one row only; small counters find them before the rest is gathered
-    seen = np.zeros(1 << 24, np.uint8)
-    for f, _ in rows:
-        at = f >> _COUNTERS
-        seen[at] = np.minimum(seen[at], 254) + 1
-    rows = [(f[seen[f >> _COUNTERS] >= settings.min_docs], y) for f, y in rows]
     sizes = np.array([len(f) for f, _ in rows], np.int64)
     labels = np.array([y for _, y in rows], np.float64)
-    keys, index, count = np.unique(np.concatenate([f for f, _ in rows]), return_inverse=True, return_counts=True)
+    flat = np.concatenate([f for f, _ in rows])
+    rows.clear()  # the caller's list is not needed any more, and is large
+    keys, index, count = np.unique(flat, return_inverse=True, return_counts=True)
+    del flat
     often = count >= settings.min_docs
     slot = np.where(often, np.cumsum(often), 0)  # slot 0 is the bias; rare features are left out
-    index = slot[index]
+    index = slot[index].astype(np.int32)
     at = [x[x > 0] for x in np.split(index, np.cumsum(sizes)[:-1])]
     l1 = min(5.0, max(2.0, settings.l1 * np.sqrt(labels.sum())))
     weights = _descend(at, labels, int(often.sum()) + 1, l1, settings.alpha, settings.epochs, settings)
@@ -132,8 +129,17 @@ def _descend(
 def _learner(settings: Settings):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         known: dict[str, int] = {}
-        pdf = pdf.sort_values(["_order", "text"], kind="stable")
-        rows = [(features(word_hashes(t, known)), int(y)) for t, y in zip(pdf["text"], pdf["label"])]
+        texts, labels = pdf["text"].tolist(), pdf["label"].tolist()
+        order = sorted(range(len(texts)), key=list(zip(pdf["_order"].tolist(), texts)).__getitem__)
+        # most features are in one row only; small counters find them before any are gathered
+        seen = np.zeros(1 << 24, np.uint8)
+        for t in texts:
+            at = features(word_hashes(t, known)) >> _COUNTERS
+            seen[at] = np.minimum(seen[at], 254) + 1
+        rows = []
+        for i in order:
+            f = features(word_hashes(texts[i], known))
+            rows.append((f[seen[f >> _COUNTERS] >= settings.min_docs], int(labels[i])))
         keys, weights = learn(rows, settings)
         return pd.DataFrame({"key": keys.view(np.int64), "weight": weights})
 
@@ -158,7 +164,7 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     if not n or ones in (0, n):
         p = min(max(ones / n if n else 0.0, 1e-6), 1 - 1e-6)
         return Model(np.empty(0, np.uint64), np.empty(0), float(np.log(p / (1 - p))))
-    learners = max(1, min(settings.learners, n // settings.learner_rows))
+    learners = max(1, math.ceil(n / settings.learner_rows))
     sample = rows.withColumn("learner", F.pmod(F.xxhash64("_order", F.lit(1)), F.lit(learners)).cast("int"))
     weights = (
         sample.groupBy("learner")
