@@ -55,18 +55,30 @@ def _comparable(a: Column, b: Column, settings: Settings) -> tuple[Column, Colum
     return cut(a, b), cut(b, a)
 
 
+def _identical(a: Column, b: Column) -> Column:
+    return (a["whole"] == b["whole"]) & (a["kept"] == b["kept"])
+
+
 def resemblance(a: Column, b: Column, settings: Settings = Settings()) -> Column:
-    """The share of common hashes among all of two sketches, 0 to 1; 1 for two empty texts."""
+    """The share of common hashes among all of two sketches, 0 to 1; 1 for identical sketches, also empty ones.
+
+    NULL where neither sketch has a hash below the fraction, so that nothing can be said.
+    """
     x, y = _comparable(a, b, settings)
     common, union = F.size(F.array_intersect(x, y)), F.size(F.array_union(x, y))
-    nothing = F.when((F.size(a["kept"]) == 0) & (F.size(b["kept"]) == 0) & a["whole"] & b["whole"], 1.0).otherwise(0.0)
-    return F.when(union > 0, common / union).otherwise(nothing)
+    return F.when(_identical(a, b), 1.0).when(union > 0, common / union)
 
 
 def containment(a: Column, b: Column, settings: Settings = Settings()) -> Column:
-    """The estimated share of the first text's shingles that the second has, 0 to 1; 0 where the first has none."""
+    """The estimated share of the first text's shingles that the second has, 0 to 1; 0 where the first has none.
+
+    NULL where the first has shingles but none of their hashes is below the fraction, so that nothing can be said;
+    1 for identical sketches of texts with shingles.
+    """
     x, y = _comparable(a, b, settings)
-    return F.when(F.size(x) > 0, F.size(F.array_intersect(x, y)) / F.size(x)).otherwise(0.0)
+    none = a["whole"] & (F.size(a["kept"]) == 0)
+    share = F.when(F.size(x) > 0, F.size(F.array_intersect(x, y)) / F.size(x))
+    return F.when(none, 0.0).when(_identical(a, b), 1.0).otherwise(share)
 
 
 def merged(sketch: Column, settings: Settings = Settings()) -> Column:
@@ -144,17 +156,18 @@ def edit_fingerprints(docs: DataFrame, settings: Settings = Settings()) -> DataF
     """``doc_id``, ``n_chars``, ``edited_sha256``, the fingerprints of a text and of its edited form, and their likeness.
 
     ``near_edited`` and ``near_next`` compare the text's fingerprint with those of the edited and the next text;
-    ``part_of_edited`` is the estimated share of its shingles that the edited text still has. NULL texts are empty, rows
-    of one ``doc_id`` follow each other by text, a NULL ``doc_id`` comes with the smallest; a table of one row is its
-    own next. Equal texts have equal fingerprints. An empty table gives no rows.
+    ``part_of_edited`` is the estimated share of its shingles that the edited text still has; they are NULL where the
+    sketches say nothing (see ``resemblance``, ``containment``). NULL texts are empty, rows of one ``doc_id`` follow
+    each other by text, a NULL ``doc_id`` comes with the smallest; a table of one row is its own next. Equal texts have
+    equal fingerprints. An empty table gives no rows.
     """
-    texts = docs.select("doc_id", text_of().alias("text"))
-    sketched = with_fingerprint(texts, settings)
-    led = with_next(sketched, ["text", "sketch"], settings)
+    # only texts are shuffled: a sketch is made from them faster than it is stored
+    led = with_next(docs.select("doc_id", text_of().alias("text")), ["text"], settings)
     made = led.withColumn("edit", edited(F.col("text"), F.col("next.text")))
-    made = made.withColumn("_hashes", hashes_of(F.col("edit"), settings.shingle))
-    made = made.withColumn("edit_sketch", sketch_of(F.col("_hashes"), settings))
-    own, changed, following = F.col("sketch"), F.col("edit_sketch"), F.col("next.sketch")
+    for name, text in (("sketch", "text"), ("edit_sketch", "edit"), ("next_sketch", "next.text")):
+        made = made.withColumn("_hashes", hashes_of(F.col(text), settings.shingle))
+        made = made.withColumn(name, sketch_of(F.col("_hashes"), settings)).drop("_hashes")
+    own, changed, following = F.col("sketch"), F.col("edit_sketch"), F.col("next_sketch")
     return made.select(
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),

@@ -26,6 +26,7 @@ PII_KEY = b"pseudonyms of the registered queries"
 PIECES = "piece_bpe_32k.model"
 BYTE_BPE = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
+FINGERPRINTS = fingerprints.Settings(fraction=2)  # texts just over the whole limit still keep some 32 hashes
 
 
 def op1_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +84,7 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_scaled_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.edit_fingerprints(table(spark, sf_dir, "documents"))
+    return fingerprints.edit_fingerprints(table(spark, sf_dir, "documents"), FINGERPRINTS)
 
 
 def op8_consensus_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,3 +102,33 @@ def test_merged_sketches_estimate_containment(spark, docs_of):
 def test_query_has_no_python(spark, capsys):
     queries.op7_scaled_fingerprints(spark, "/root/testdata/sf0.001").explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def test_query_is_near_the_exact_likeness(spark, docs_of, monkeypatch):
+    rng = random.Random(11)
+    made = [" ".join(f"v{rng.randrange(10**6)}" for _ in range(rng.randrange(24, 155))) for _ in range(300)]
+    docs = docs_of(made)
+    monkeypatch.setattr(queries, "table", lambda spark, sf_dir, name: docs)
+    rows = {r.doc_id: r for r in queries.op7_scaled_fingerprints(spark, "").collect()}
+    for i, t in enumerate(made):
+        half = len(t) // 2
+        a, b = hashes(t), hashes(t[: len(t) - half] + made[(i + 1) % len(made)][:half])
+        assert abs(rows[i].near_edited - len(a & b) / len(a | b)) < 0.25, i
+        assert len(a & b) / len(a | b) <= 0.2 or rows[i].near_edited > 0, i
+        assert abs(rows[i].part_of_edited - len(a & b) / len(a)) < 0.35, i
+
+
+def test_nothing_left_after_thinning_says_nothing(spark, docs_of):
+    """A short text none of whose hashes is below the fraction, whole in a long one."""
+    settings = fingerprints.Settings()
+    short = next(t for t in (f"a b c d e{i} f" for i in range(100)) if not any(h < LOW for h in hashes(t)))
+    long = short + " " + " ".join(f"z{i}" for i in range(100))
+    pair = spark.createDataFrame([(short, long, long[:0])], "a string, b string, c string")
+    made = pair.select(*[fingerprints.sketch_of(fingerprints.hashes_of(F.col(c)), settings).alias(c) for c in "abc"])
+    bare = F.struct(F.lit(False).alias("whole"), F.array().cast("array<bigint>").alias("kept"))
+    a, b, c = map(F.col, "abc")
+    row = made.select(
+        fingerprints.containment(a, b), fingerprints.containment(a, a), fingerprints.containment(c, b),
+        fingerprints.resemblance(a, bare), fingerprints.resemblance(bare, bare), fingerprints.resemblance(c, c),
+    ).first()
+    assert tuple(row) == (None, 1.0, 0.0, None, 1.0, 1.0)
