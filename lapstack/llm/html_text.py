@@ -1,9 +1,10 @@
 """HTML main text by host consensus: pages score their containers, hosts vote, winning paths are extracted.
 
 A page is read into blocks of text, each with the path of its containers; an element of a path is its tag with its
-classes, digits generalised. Every page scores its containers by the text they hold and gives one vote to the best
-path. Votes are added up per host in Spark; the paths with a tenth of a host's votes win, so there are at most ten for
-a host. Each page is then read again and the text below its host's winning path is taken.
+classes, digits generalised. Words of a class or id are evidence against an element, weighed by the text below it.
+Every page scores its containers by the text they hold and gives one vote to the best path. Votes are added up per host
+in Spark; the paths with a tenth of a host's votes win, so there are at most ten for a host. Each page is then read
+again and the text below its host's winning path is taken.
 """
 
 from __future__ import annotations
@@ -56,6 +57,32 @@ class Block:
     text: str
     path: tuple[str, ...]
     link_chars: int
+    doubt: bool = False  # below an element that a word of its class or id speaks against
+    title: bool = False  # an h1
+
+
+class _Mark:
+    """What speaks against an element (its ``kind``: ``tag``, ``word`` or ``part``), and what the page has below it."""
+
+    __slots__ = ("kind", "chars", "links", "keys", "main", "h1", "dropped", "doubt")
+
+    def __init__(self, kind: str) -> None:
+        self.kind, self.chars, self.links, self.keys = kind, 0, 0, 0
+        self.main = self.h1 = self.dropped = self.doubt = False
+
+    def judge(self, chars: int, keys: int) -> None:
+        """Tags and roles are a verdict. A class or id that is no other word than a listed one drops the element too, but
+        never one that holds the article, main, an h1 or most of the page's text; a listed word among others drops only
+        what is mostly links. What is kept against a word remains in doubt unless it holds article, main or most text.
+        """
+        most = self.main or (chars > 0 and self.chars >= (0.8 if keys > self.keys else 0.5) * chars)
+        if self.kind == "tag":
+            self.dropped = True
+        elif not most and not self.h1:
+            self.dropped = self.kind == "word" or self.links > self.chars
+            self.doubt = True
+        else:
+            self.doubt = not most and self.kind == "word"
 
 
 def _name(tag: str, attributes: dict[str, str]) -> str:
@@ -67,21 +94,31 @@ def _name(tag: str, attributes: dict[str, str]) -> str:
     return tag + "#" + re.sub(r"[0-9]+", "0", own) if own else tag
 
 
-def _is_boilerplate(tag: str, attributes: dict[str, str], inside: list) -> bool:
+def _against(tag: str, attributes: dict[str, str], inside: list) -> str | None:
+    """What speaks against an element: its ``tag`` or role, a ``word`` (a class or the id as a whole) or ``part`` of one."""
     if tag in _NOT_TEXT or attributes.get("role", "").lower() in _ROLES:
-        return True
+        return "tag"
     if tag == "header":
-        return not any(e[0] in ("article", "main") for e in inside)
-    if tag in ("html", "body", "main", "article"):
-        return False
-    words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{attributes.get('class', '')} {attributes.get('id', '')}").lower())
-    return any(w in _BOILERPLATE for w in words)
-
-
-def blocks_of(page: str) -> list[Block]:
-    """The blocks of a page in order, without those in menus, notices, adverts, forms, comments and the like."""
-    out: list[Block] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, generalised name, boilerplate so far
+        return None if any(e[0] in ("article", "main") for e in inside) else "tag"
+    if tag in ("html", "body", "main", "article") or tag in _HEADINGS:
+        return None
+    found = None
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+        listed = sum(w in _BOILERPLATE for w in words)
+        if listed and listed == len(words):
+            return "word"
+        found = "part" if listed else found
+    return found
+
+
+def _read(page: str) -> tuple[list[Block], list[Block]]:
+    """The blocks of a page in order, and those in menus, notices, adverts, forms, comments and the like."""
+    raw: list[tuple[str, tuple[str, ...], int, tuple[_Mark, ...], bool]] = []
+    stack: list[tuple[str, str, tuple[_Mark, ...], list | None]] = []  # tag, generalised name, marks and article so far
+    marks: list[_Mark] = []
+    articles: list[list] = []  # characters and marks of each
+    keys = 0  # article, main and h1 elements
     parts: list[str] = []
     links, in_link = 0, False
 
@@ -90,8 +127,16 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             text = _SPACES.sub(" ", "".join(parts)).strip()
             parts.clear()
-            if text and not (stack and stack[-1][2]):
-                out.append(Block(text, tuple(e[1] for e in stack if e[0] in _CONTAINERS), links))
+            if text:
+                above, article = (stack[-1][2], stack[-1][3]) if stack else ((), None)
+                own = max(0, len(text) - links)
+                for m in above:
+                    m.chars += own
+                    m.links += links
+                if article is not None:
+                    article[0] += own
+                title = bool(stack) and stack[-1][0] == "h1"
+                raw.append((text, tuple(e[1] for e in stack if e[0] in _CONTAINERS), links, above, title))
         links = 0
 
     at, size = 0, len(page)
@@ -145,17 +190,48 @@ def blocks_of(page: str) -> list[Block]:
                         del stack[i:]
                         break
             found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(rest)} if rest.strip() else {}
-            below = bool(stack and stack[-1][2])
-            stack.append((tag, _name(tag, found), below or _is_boilerplate(tag, found, stack)))
+            above, article = (stack[-1][2], stack[-1][3]) if stack else ((), None)
+            if tag in ("article", "main", "h1") and not any(m.kind == "tag" for m in above):
+                keys += 1
+                for m in above:
+                    m.keys += 1
+                    m.main |= tag == "main"
+                    m.h1 |= tag == "h1"
+                if tag == "article" and article is None:
+                    article = [0, above]
+                    articles.append(article)
+            kind = _against(tag, found, stack)
+            if kind:
+                marks.append(_Mark(kind))
+                above = (*above, marks[-1])
+            stack.append((tag, _name(tag, found), above, article))
     flush()
-    return out
+    if not marks:
+        return [Block(t, path, n, False, h1) for t, path, n, _, h1 in raw], []
+    if articles:
+        for m in max(articles, key=lambda a: a[0])[1]:
+            m.main = True
+    chars = sum(max(0, len(t) - n) for t, _, n, above, _ in raw if not any(m.kind == "tag" for m in above))
+    for m in marks:
+        m.judge(chars, keys)
+    kept: list[Block] = []
+    dropped: list[Block] = []
+    for t, path, n, above, h1 in raw:
+        out = dropped if any(m.dropped for m in above) else kept
+        out.append(Block(t, path, n, any(m.doubt for m in above), h1))
+    return kept, dropped
+
+
+def blocks_of(page: str) -> list[Block]:
+    """The blocks of a page in order, without those in menus, notices, adverts, forms, comments and the like."""
+    return _read(page)[0]
 
 
 def best_path(blocks: list[Block]) -> tuple[str, ...] | None:
     """The container that holds most text: a block counts in full for its own, half for the next one up, and so on."""
     scores: dict[tuple[str, ...], float] = defaultdict(float)
     for b in blocks:
-        worth = max(0.0, len(b.text) * (1 - 2 * b.link_chars / max(1, len(b.text)))) + 1e-6 * len(b.text)
+        worth = (0 if b.doubt else max(0, len(b.text) - 2 * b.link_chars)) + 1e-6 * len(b.text)
         for up in range(min(len(b.path), 5)):
             path = b.path[: len(b.path) - up]
             main = path[-1].startswith(("article", "main"))

@@ -70,3 +70,27 @@ def test_query_on_the_given_pages(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     rows = queries.op8_consensus_html(spark, sf_dir).collect()
     assert {r.page_id: r.text for r in rows} == {i: plain_article(h) for i, h in pages.items()}
+
+
+ARTICLE = "<h1>Title of it</h1><p>" + "A sentence of the article. " * 20 + "</p>"
+FRAME = "<body><header>Site</header><nav><a href=/>Home</a></nav>%s<footer>Imprint</footer></body>"
+
+
+@pytest.mark.parametrize(
+    "start", ['<div class="page has-sidebar">', '<div id="page" class="nav-open">', '<section class="post comments-open">', "<div class=widget>"]
+)
+def test_a_word_on_the_wrapper_drops_no_article(start):
+    end = "</section>" if start.startswith("<section") else "</div>"
+    page = FRAME % (start + ARTICLE + "<div class=ad>Buy things</div>" + end)
+    text = html_text.extract(page, [])
+    assert text.startswith("Title of it\n\nA sentence") and text.endswith("the article.")
+
+
+def test_words_inside_an_article_are_evidence_only():
+    page = FRAME % (
+        '<article><div class="article-header"><h1>Title</h1><p>By me</p></div><h2 class="section-header">Part</h2>'
+        f'{ARTICLE[24:]}<div id="side-effects"><p>Sleep.</p></div><div class="share-price">12.30</div>'
+        '<div class="post-nav"><a href=/1>Older</a> <a href=/2>Newer</a></div><div class="comments"><p>First!</p></div></article>'
+    )
+    text = html_text.extract(page, [])
+    assert [t for t in text.split("\n\n") if len(t) < 30] == ["Title", "By me", "Part", "Sleep.", "12.30"]
