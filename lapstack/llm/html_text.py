@@ -4,7 +4,7 @@ A page is read into blocks of text, each with the path of its containers; an ele
 classes, digits generalised. Words of a class or id are evidence against an element, weighed by the text below it.
 Every page scores its containers by the text they hold and gives one vote to the best path. Votes are added up per host
 in Spark; the paths with a tenth of a host's votes win, so there are at most ten for a host. Each page is then read
-again and the text below its host's winning path is taken.
+again and the text below the winning path that holds most of it is taken, with the title and lead around it.
 """
 
 from __future__ import annotations
@@ -227,30 +227,95 @@ def blocks_of(page: str) -> list[Block]:
     return _read(page)[0]
 
 
-def best_path(blocks: list[Block]) -> tuple[str, ...] | None:
-    """The container that holds most text: a block counts in full for its own, half for the next one up, and so on."""
+def _is_text(b: Block) -> bool:
+    return not b.doubt and 2 * b.link_chars <= len(b.text)
+
+
+def _worth(b: Block) -> float:
+    """The characters of a block less twice those of its links; next to nothing where it is in doubt."""
+    return (0 if b.doubt else max(0, len(b.text) - 2 * b.link_chars)) + 1e-6 * len(b.text)
+
+
+def _climbs(at: tuple[str, ...], up: tuple[str, ...], blocks: list[Block], dropped: list[Block]) -> bool:
+    """Whether the container above adds text, and no more boilerplate than text; an article need only add text."""
+    n, k = len(up), len(at)
+    more = [b for b in blocks if b.path[:n] == up and b.path[:k] != at]
+    if not more:
+        return False
+    if re.split("[.#]", up[-1], maxsplit=1)[0] == "article":
+        return any(2 * b.link_chars <= len(b.text) for b in more)
+    gain = sum(len(b.text) - b.link_chars for b in more if _is_text(b))
+    cost = sum(b.link_chars if _is_text(b) else len(b.text) for b in more)
+    cost += sum(len(b.text) for b in dropped if b.path[:n] == up and b.path[:k] != at)
+    return gain > 0 and gain >= cost
+
+
+def best_path(blocks: list[Block], dropped: list[Block] | None = None) -> tuple[str, ...] | None:
+    """The container of the article.
+
+    The search starts where most text is: a block counts in full for its own container, half for the next one up, and
+    so on. It climbs, below ``body``, while a container above adds text against the boilerplate it would add.
+    """
     scores: dict[tuple[str, ...], float] = defaultdict(float)
     for b in blocks:
-        worth = (0 if b.doubt else max(0, len(b.text) - 2 * b.link_chars)) + 1e-6 * len(b.text)
+        worth = _worth(b)
         for up in range(min(len(b.path), 5)):
             path = b.path[: len(b.path) - up]
             main = path[-1].startswith(("article", "main"))
             scores[path] += worth * 0.5**up * (1.5 if main else 1.0)
     if not scores:
         return None
-    return max(scores, key=lambda p: (scores[p], len(p), p))
+    at = best = max(scores, key=lambda p: (scores[p], len(p), p))
+    for n in range(len(best) - 1, 0, -1):
+        up = best[:n]
+        if re.split("[.#]", up[-1], maxsplit=1)[0] in ("html", "body"):
+            break
+        if _climbs(at, up, blocks, dropped or []):
+            at = up
+    return at
+
+
+def _chosen(blocks: list[Block], dropped: list[Block], winners: list[str]) -> list[tuple[str, ...]]:
+    """Of the winning paths that hold text, the one that holds most on this page, and others with half as much.
+
+    Of paths inside each other the inner one counts, unless the outer one has more votes or adds text against the
+    boilerplate it would add. A page that has no winning path has its own best one.
+    """
+    order = [tuple(w.split(">")) for w in winners]
+    held = {p: sum(_worth(b) for b in blocks if b.path[: len(p)] == p) for p in order}
+    held = {p: w for p, w in held.items() if w > 0}
+    if not held:
+        return [best_path(blocks, dropped) or ()]
+    ends: list[tuple[str, ...]] = []
+    for p in held:
+        if any(len(q) > len(p) and q[: len(p)] == p for q in held):
+            continue
+        at = p
+        for up in sorted((q for q in held if len(q) < len(p) and p[: len(q)] == q), key=len, reverse=True):
+            if order.index(up) < order.index(at) or _climbs(at, up, blocks, dropped):
+                at = up
+        ends.append(at)
+    most = max(held[p] for p in ends)
+    return [p for p in ends if 2 * held[p] >= most]
 
 
 def extract(page: str, winners: list[str]) -> str:
-    """The text below the first winning path that the page has text under, else below its own best one."""
-    blocks = blocks_of(page)
+    """The text below the winning paths that the page has most text under, else below its own best one.
+
+    With it comes text that lies directly in the containers around it, and the page's only h1, wherever it is; a title
+    that a word speaks against only from inside such a container, as one beside them is the site's.
+    """
+    blocks, dropped = _read(page)
     if not blocks:
         return ""
-    for path in [*(tuple(w.split(">")) for w in winners), best_path(blocks) or ()]:
-        taken = [b.text for b in blocks if b.path[: len(path)] == path]
-        if taken:
-            return "\n\n".join(taken)
-    return ""
+    paths = _chosen(blocks, dropped, winners)
+    taken = [any(b.path[: len(p)] == p or (_is_text(b) and p[: len(b.path)] == b.path) for p in paths) for b in blocks]
+    titles = [i for i, b in enumerate(blocks) if b.title]
+    if len(titles) == 1:
+        b = blocks[titles[0]]
+        inside = [e for e in b.path if re.split("[.#]", e, maxsplit=1)[0] not in ("html", "body")]
+        taken[titles[0]] |= not b.doubt or len(inside) > 1
+    return "\n\n".join(b.text for b, t in zip(blocks, taken) if t)
 
 
 def host_of(url: Column) -> Column:
@@ -264,7 +329,7 @@ def path_votes(pages: DataFrame) -> DataFrame:
     @F.pandas_udf("string")
     def vote(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            found = [best_path(blocks_of(p)) for p in batch]
+            found = [best_path(*_read(p)) for p in batch]
             yield pd.Series([">".join(p) if p else None for p in found], dtype=object)
 
     voted = pages.select(host_of(F.col("url")).alias("host"), vote(F.coalesce("html", F.lit(""))).alias("path"))

@@ -94,3 +94,24 @@ def test_words_inside_an_article_are_evidence_only():
     )
     text = html_text.extract(page, [])
     assert [t for t in text.split("\n\n") if len(t) < 30] == ["Title", "By me", "Part", "Sleep.", "12.30"]
+
+
+def test_sections_title_and_lead_are_whole():
+    a, b, c = "x " * 200 + "a", "x " * 1600 + "b", "x " * 200 + "c"
+    sections = f"<section class=intro><p>{a}</p></section><section class=body><p>{b}</p></section><section class=end><p>{c}</p></section>"
+    for wrapped in (
+        f"<article><header><h1>T</h1></header>{sections}</article>",
+        f"<div class=post><div class=top><h1>T</h1></div>{sections}</div>",
+        f"<div class=title><h1>T</h1></div><div class=post>{sections}</div>",
+        f"<div class=post><h1>T</h1><p>{a}</p><div class=text><p>{b}</p></div><p>{c}</p></div>",
+    ):
+        assert html_text.extract(FRAME % wrapped, []) == "\n\n".join(["T", a, b, c])
+    path = html_text.best_path(html_text.blocks_of(FRAME % f"<article>{sections}</article>"))
+    assert path == ("body", "article")
+
+
+def test_second_layout_and_nested_winners():
+    page = "<body><div class=x><p>teaser</p></div><div class=y><p>%s</p><div class=z><p>%s</p></div></div></body>" % ("y " * 30, "z " * 90)
+    y, z = ("y " * 30).strip(), ("z " * 90).strip()
+    assert html_text.extract(page, ["body>div.x", "body>div.y"]) == f"{y}\n\n{z}"
+    assert html_text.extract(page, ["body>div.y>div.z", "body>div.y"]) == f"{y}\n\n{z}"
