@@ -5,6 +5,11 @@ mapped to a number within the domain of its format, permuted there by a Feistel
 in the domain again, and written back in the same format with valid check digits. The permutation depends on key, kind
 and format alone: equal values get equal pseudonyms in every document, different values different ones, and the owner
 of the key can undo it.
+
+The longest match of a pattern is tried first. Where its check fails, an IBAN is tried at the fixed length of its
+country and a phone number with fewer groups; else the search goes on one token after the start. A value found inside a
+span that failed the check of another one cannot be told from it by ``undo`` if its pseudonym makes that span valid
+(one in ten for a card after four further digits); everywhere else ``undo`` is exact.
 """
 
 from __future__ import annotations
@@ -38,6 +43,19 @@ _PATTERN = re.compile(
 )
 _HINT = re.compile(r"[0-9@]|(?i:passw|token|secret|api)")
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_PHONE = re.compile(r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}")
+_FIRST_TOKEN = re.compile(r"[^A-Za-z0-9]*[A-Za-z0-9]+")
+# The length of an IBAN by country.
+_IBAN_LENGTHS = {
+    country: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 _FIRST_DAY, _DAYS = datetime.date(1900, 1, 1).toordinal(), 73_049  # to the end of 2099
 
 
@@ -131,7 +149,8 @@ def _iban_check(country: str, rest: str) -> str:
 def _iban(s: str, key: bytes, undo: bool) -> str | None:
     flat = s.replace(" ", "")
     country, rest = flat[:2], flat[4:]
-    if not 15 <= len(flat) <= 34 or _iban_check(country, rest) != flat[2:4]:
+    fixed = _IBAN_LENGTHS.get(country)
+    if not 15 <= len(flat) <= 34 or len(flat) != (fixed or len(flat)) or _iban_check(country, rest) != flat[2:4]:
         return None
     rest = _chars(rest, key, "iban" + country, undo)
     it = iter(country + _iban_check(country, rest) + rest)
@@ -230,21 +249,43 @@ _MAKERS = {
 }
 
 
+def _shorter(kind: str, s: str) -> Iterator[str]:
+    """The shorter candidates of a match whose check failed, longest first; which ones there are depends on format alone."""
+    if kind == "iban":
+        size = _IBAN_LENGTHS.get(s[:2], 0)
+        for at, c in enumerate(s):
+            if c == " " and at - s.count(" ", 0, at) == size:
+                yield s[:at]
+    elif kind == "phone":
+        for at in range(len(s) - 1, 0, -1):
+            if s[at] in " .-" and _PHONE.fullmatch(s, 0, at):
+                yield s[:at]
+
+
 def pseudonyms(text: str, key: bytes, undo: bool = False) -> tuple[str, dict[str, int]]:
     """The text with every validated value replaced, and how many of each kind; ``undo`` restores the values."""
     counts = dict.fromkeys(KINDS, 0)
     if not _HINT.search(text):
         return text, counts
 
-    def replaced(m: re.Match) -> str:
-        kind = next(k for k in KINDS if m.group(k) is not None)
-        new = _MAKERS[kind](m.group(), key, undo)
+    out, done, at = [], 0, 0
+    while m := _PATTERN.search(text, at):
+        kind, start = next(k for k in KINDS if m.group(k) is not None), m.start()
+        found = m.group()
+        new = _MAKERS[kind](found, key, undo)
         if new is None:
-            return m.group()
+            for found in _shorter(kind, m.group()):
+                new = _MAKERS[kind](found, key, undo)
+                if new is not None:
+                    break
+        if new is None:
+            at = _FIRST_TOKEN.match(text, start).end()
+            continue
         counts[kind] += 1
-        return new
-
-    return _PATTERN.sub(replaced, text), counts
+        at = start + len(found)
+        out += text[done:start], new
+        done = at
+    return "".join([*out, text[done:]]), counts
 
 
 def pseudonym_column(column: Column, key: bytes) -> Column:

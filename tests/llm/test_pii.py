@@ -92,3 +92,28 @@ def test_documents(spark, docs_of):
     assert pii.pseudonymise(docs.limit(0), KEY).count() == 0
     with pytest.raises(ValueError):
         pii.pseudonymise(docs, b"short")
+
+
+@pytest.mark.parametrize(
+    "kind,value,after",
+    [
+        ("iban", "ES91 2100 0418 4502 0005 1332", " EUR 1200 paid"),
+        ("iban", "BE68 5390 0754 7034", " DUE NOW"),
+        ("iban", "GB82 WEST 1234 5698 7654 32", " 2024"),
+        ("phone", "+44 20 7946 0958", " 2024 call"),
+        ("phone", "+44 (20) 7946-0958", " 2024 1234"),
+    ],
+)
+def test_values_before_numbers_and_capital_words(kind, value, after):
+    done, counts = pii.pseudonyms(f"see {value}{after}", KEY)
+    assert counts == dict.fromkeys(pii.KINDS, 0) | {kind: 1}
+    assert done == f"see {pii.pseudonyms(value, KEY)[0]}{after}" and value not in done  # linked with the value alone
+    assert pii.pseudonyms(done, KEY, undo=True)[0] == f"see {value}{after}"
+
+
+@pytest.mark.parametrize(
+    "before,value,kind", [("AB12 ", "4111 1111 1111 1111", "card"), ("1234 ", "4111 1111 1111 1111", "card"), ("REF AB12 ", "ES91 2100 0418 4502 0005 1332", "iban")]
+)
+def test_search_goes_on_inside_a_failed_span(before, value, kind):
+    done, counts = pii.pseudonyms(before + value, KEY)
+    assert counts[kind] == 1 and done == before + pii.pseudonyms(value, KEY)[0] != before + value
