@@ -6,6 +6,10 @@ in the domain again, and written back in the same format with valid check digits
 and format alone: equal values get equal pseudonyms in every document, different values different ones, and the owner
 of the key can undo it.
 
+A secret is an AWS key id, or what follows ``password``, ``passwd``, ``token``, ``secret`` or ``api_key`` with ``=`` or
+``:``: eight or more letters and digits, however many. Where a letter is among them, ``_ - . ~ + /`` between them
+belong to the secret and stay in place; so do ``_`` and ``-`` before the first. Other secrets are not recognised.
+
 The longest match of a pattern is tried first. Where its check fails, an IBAN is tried at the fixed length of its
 country and a phone number with fewer groups; else the search goes on one token after the start. A value found inside a
 span that failed the check of another one cannot be told from it by ``undo`` if its pseudonym makes that span valid
@@ -39,7 +43,10 @@ _PATTERN = re.compile(
     r"|(?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"
     r"|(?P<card>(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\10[0-9]{4}\10[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\11[0-9]{5})(?![0-9]))"
     r"|(?P<secret>(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
-    r"|(?i:password|passwd|token|secret|api_?key)[ ]?[=:][ ]?[\"']?[0-9A-Za-z]{8,128}(?![0-9A-Za-z]))"
+    r"|(?i:password|passwd|token|secret|api_?key)[ ]?[=:][ ]?[\"']?"
+    # letters and digits with separators, but no address and no number, which have kinds of their own
+    r"(?:(?=[0-9_.~+/-]*[A-Za-z])(?=[_-]*(?:[0-9A-Za-z][_.~+/-]*){8})[_-]*+[0-9A-Za-z]++(?:[_.~+/-]++[0-9A-Za-z]++)*+(?!@)"
+    r"|[0-9A-Za-z]{8,}+))"
 )
 _HINT = re.compile(r"[0-9@]|(?i:passw|token|secret|api)")
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -226,21 +233,47 @@ def _email(s: str, key: bytes, undo: bool) -> str:
 
 
 _HEX = re.compile(r"[0-9a-f]+\Z")
+_SECRET_NAME = re.compile(r"AKIA(?=[0-9A-Z]{16}\Z)|[A-Za-z_]+ ?[=:] ?[\"']?[_-]*")
+_LONG, _PIECE = 128, 64  # a secret over the one is permuted in pieces of the other
+
+
+def _base36(value: int, size: int) -> str:
+    out = ""
+    for _ in range(size):
+        value, d = divmod(value, 36)
+        out = (_DIGITS + _UPPER)[d] + out
+    return out
+
+
+def _long_secret(value: str, key: bytes, undo: bool) -> str:
+    """The value in pieces, each permuted for its place and the whole length: numbers of any length take squared time."""
+    out, is_hex = [], _HEX.match(value) and not value.isdigit()
+    for at in range(0, len(value), _PIECE):
+        piece, kind = value[at : at + _PIECE], f"secret{at}/{len(value)}"
+        if is_hex:
+            n = len(piece)
+            out.append(f"{permute(int(piece, 16), 16**n, key, f'hex{kind}:{n}', undo):0{n}x}")
+        else:
+            out.append(_chars(piece, key, kind, undo))
+    return "".join(out)
 
 
 def _secret(s: str, key: bytes, undo: bool) -> str:
-    at = 4 if s.startswith("AKIA") else re.search(r"[0-9A-Za-z]+\Z", s).start()
+    at = _SECRET_NAME.match(s).end()
     value = s[at:]
+    if len(value) > _LONG:
+        return s[:at] + _long_secret(value, key, undo)
+    # digits alone stay so, and only they: what belongs to a secret depends on whether it has a letter
+    if value.isdigit():
+        return s[:at] + _chars(value, key, "secret", undo)
     if _HEX.match(value):
-        size = 16 ** len(value)
-        return s[:at] + f"{permute(int(value, 16), size, key, f'hex{len(value)}', undo):0{len(value)}x}"
+        n = len(value)
+        new = _walk(int(value, 16), 16**n, key, f"hex{n}", undo, lambda v: not f"{v:0{n}x}".isdigit())
+        return s[:at] + f"{new:0{n}x}"
     if all(c in _DIGITS or c in _UPPER for c in value):
-        new = permute(int(value, 36), 36 ** len(value), key, f"base36:{len(value)}", undo)
-        out = ""
-        for _ in value:
-            new, d = divmod(new, 36)
-            out = (_DIGITS + _UPPER)[d] + out
-        return s[:at] + out
+        n = len(value)
+        new = _walk(int(value, 36), 36**n, key, f"base36:{n}", undo, lambda v: not _base36(v, n).isdigit())
+        return s[:at] + _base36(new, n)
     return s[:at] + _chars(value, key, "secret", undo, lambda x: not _HEX.match(x))
 
 
