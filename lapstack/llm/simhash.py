@@ -246,15 +246,8 @@ def near_links(prints: DataFrame, budget: int = 4) -> DataFrame:
     return spark_links
 
 
-def simhash_classes(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` of every document row.
-
-    Components join documents whose fingerprints differ in at most ``max_bits`` bits, directly or through others;
-    the id is the smallest ``doc_id`` reachable. Equal fingerprints are one node, however many documents have them.
-    NULL texts count as empty; texts without words share the fingerprint zero; repeated rows stay, each with the same
-    class; rows with a NULL ``doc_id`` take part but never name a class (a class of such rows alone has NULL). An
-    empty table gives an empty result. Other columns are not read.
-    """
+def _rows_with_class(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """``doc_id``, ``fp``, ``root`` (one fingerprint of the class, the same for all of it) and ``component_id`` of every row."""
     spark = docs.sparkSession
     bounded_batches(spark)
     prints = stage(docs.select("doc_id", fingerprint_column(text_of(), shingle).alias("fp")), "simhash")
@@ -267,26 +260,53 @@ def simhash_classes(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
     )
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     # only classes that are not a lone document have to be looked up
-    lookup = rooted.join(lowest, "root").filter((F.col("n") > 1) | ~F.col("component_id").eqNullSafe(F.col("low")))
-    lookup = stage(lookup.select("fp", "n", "component_id"), "lookup")
+    several = (F.col("n") > 1) | (F.col("root") != F.col("fp")) | ~F.col("component_id").eqNullSafe(F.col("low"))
+    lookup = stage(rooted.join(lowest, "root").filter(several).select("fp", "n", "root", "component_id"), "lookup")
     found = with_value_by_key(prints, lookup, "fp", "n", max(total, 1))
     return found.select(
         "doc_id",
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "fp",
+        F.coalesce("root", "fp").alias("root"),
         F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
 
 
+def simhash_classes(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` of every document row.
+
+    Components join documents whose fingerprints differ in at most ``max_bits`` bits, directly or through others;
+    the id is the smallest ``doc_id`` reachable. Equal fingerprints are one node, however many documents have them.
+    NULL texts count as empty; texts without words share the fingerprint zero; repeated rows stay, each with the same
+    class; rows with a NULL ``doc_id`` take part but never name a class (a class of such rows alone has NULL). An
+    empty table gives an empty result. Other columns are not read.
+    """
+    rows = _rows_with_class(docs, shingle, max_bits)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def one_per_class(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """The document with the smallest ``doc_id`` of every class, with all its columns.
 
-    Rows that share that ``doc_id`` count as copies; one of them stays. Classes without any ``doc_id`` stay whole.
+    Rows that share that ``doc_id`` count as copies within a class; one of them stays. Rows of one ``doc_id`` in several
+    classes are judged in each of them. Classes without any ``doc_id`` stay whole; a row without one goes where its
+    class has a document with one.
     """
-    classes = simhash_classes(docs, shingle, max_bits)
-    stays = classes.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id")
-    stays = stage(stays.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")), "stays")
+    rows = _rows_with_class(docs, shingle, max_bits)
+    naming = rows.filter("component_id = doc_id")
+    ids = rows.filter("doc_id IS NOT NULL").groupBy("doc_id")
+    stays = ids.agg(F.count(F.lit(1)).alias("_rows"), F.max(F.col("component_id") == F.col("doc_id")).alias("_names"))
+    stays = stage(stays.filter("_names").select("doc_id", "_rows"), "stays")
     # as many ids as documents stay, so they are shuffled at every size
     kept = docs.join(stays.hint("merge"), "doc_id", "inner").select(*docs.columns, "_rows")
-    once = kept.filter("_rows = 1").drop("_rows")
-    again = kept.filter("_rows > 1").drop("_rows").dropDuplicates(["doc_id"])
-    return once.unionByName(again).unionByName(docs.filter("doc_id IS NULL"))
+    out = kept.filter("_rows = 1").drop("_rows")
+    prints = fingerprint_column(text_of(), shingle)
+    again = stays.filter("_rows > 1")
+    if not again.isEmpty():
+        named = naming.join(again, "doc_id", "left_semi").select("doc_id", F.col("fp").alias("_fp"), F.col("root").alias("_root"))
+        repeated = kept.filter("_rows > 1").withColumn("_fp", prints).join(stage(named.distinct(), "named"), ["doc_id", "_fp"])
+        out = out.unionByName(repeated.dropDuplicates(["doc_id", "_root"]).select(*docs.columns))
+    without = docs.filter("doc_id IS NULL")
+    if not without.isEmpty():
+        bare = stage(rows.filter("doc_id IS NULL AND component_id IS NULL").select(F.col("fp").alias("_fp")).distinct(), "bare")
+        out = out.unionByName(without.withColumn("_fp", prints).join(bare, "_fp", "left_semi").select(*docs.columns))
+    return out

@@ -116,3 +116,16 @@ def test_classes_and_survivors(spark, docs_of):
     again = docs_of([(1, "same text"), (1, "same text"), (None, "no id at all")])
     assert sorted(str(r.doc_id) for r in simhash.one_per_class(again).collect()) == ["1", "None"]
     assert simhash.simhash_classes(docs.limit(0)).count() == 0
+
+
+def test_one_of_each_class_with_repeated_and_missing_ids(spark, docs_of):
+    a, b, c, d = (" ".join(f"{k}{i}" for i in range(40)) for k in "abcd")
+    rows = [(5, a), (5, b), (5, a), (7, c), (7, d), (6, d), (None, a), (None, "alone here"), (None, "alone here"), (8, c), (9, "e")]
+    got = [(r.doc_id, r.text) for r in simhash.one_per_class(docs_of(rows)).collect()]
+    # 7 names the class of c, but d has 6; a row without an id stays only where its class has none
+    want = [(5, a), (5, b), (7, c), (6, d), (None, "alone here"), (None, "alone here"), (9, "e")]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    near = " ".join(f"n{i}" for i in range(300))
+    bits = lambda t: (simhash.fingerprint(near) ^ simhash.fingerprint(t)).bit_count()
+    other = next(t for t in (f"{near} tail{i}" for i in range(100)) if 0 < bits(t) <= 4)
+    assert simhash.one_per_class(docs_of([(3, near), (3, other), (4, near)])).count() == 1
