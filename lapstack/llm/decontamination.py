@@ -1,10 +1,11 @@
 """Benchmark decontamination: short test items searched in long documents by containment MinHash.
 
 Test items are partitioned by size. An item keeps the smallest ``sketch`` hashes of its five-word shingles (all of
-them in the partitions up to that size); the documents' shingle hashes are probed with those sketches. A document that
+them for items up to that size); the documents' shingle hashes are probed with those sketches. A document that
 holds a share t of an item holds, in expectation, the same share of its sketch, whatever the document's own size; each
-size partition has the number of sketch hits below which a document can be ruled out. What is left is verified on the
-shingles themselves. Everything is DataFrame expressions.
+size partition (the next power of two) has the number of sketch hits below which a document can be ruled out: for
+certain in the partitions up to 128 shingles, six standard deviations below the expected hits beyond. What is left is
+verified on the shingles themselves. Everything is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -61,12 +62,28 @@ def hashes_of(words: Column, width: int) -> Column:
     return let(words, made)
 
 
+def _part(size: Column) -> Column:
+    """The size partition of an item: the exponent of the next power of two."""
+    return F.ceil(F.log2(size)).cast("int")
+
+
 def _required(size: Column, settings: Settings) -> Column:
-    """Sketch hits that a document must have, by the item's size partition (the next power of two)."""
+    """Sketch hits that a document must have, by the item's size partition.
+
+    An item that is sketched whole needs the share itself. A document lacks at most 1 - t of an item's shingles, so in
+    a partition whose largest items may lack fewer than a sketch has, the rest of the sketch must be hit. In partitions
+    of larger items the expected hits less ``deviations`` standard deviations are asked for.
+    """
     t, k = settings.containment, settings.sketch
     slack = settings.deviations * math.sqrt(k * t * (1 - t))
-    whole = F.ceil(size * t - 1e-9)
-    return F.when(size <= k, whole).otherwise(F.lit(max(1, math.floor(k * t - slack)))).cast("int")
+    required = F.when(size <= k, F.ceil(size * t - 1e-9))
+    part = math.ceil(math.log2(k))
+    while (sure := k - math.floor((1 - t) * 2**part + 1e-9)) >= 1:
+        required = required.when(_part(size) <= part, F.lit(sure))
+        part += 1
+        if t >= 1:
+            break
+    return required.otherwise(F.lit(k if t >= 1 else max(1, math.floor(k * t - slack)))).cast("int")
 
 
 def item_sketches(items: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -79,7 +96,7 @@ def item_sketches(items: DataFrame, settings: Settings = Settings()) -> DataFram
     return sized.select(
         "item",
         "size",
-        F.ceil(F.log2("size")).cast("int").alias("part"),
+        _part(F.col("size")).alias("part"),
         _required(F.col("size"), settings).alias("required"),
         F.explode("sketch").alias("hash"),
     )

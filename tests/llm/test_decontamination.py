@@ -80,3 +80,13 @@ def test_sketches_by_size(spark):
     small, large = ([r for r in rows if r.item == k] for k in (1, 2))
     assert len(small) == small[0].size == 16 and small[0].required == 13 and small[0].part == 4
     assert len(large) == 48 and large[0].size == 296 and large[0].part == 9 and 0 < large[0].required < 48
+
+
+def test_required_hits_by_partition(spark):
+    """Up to 128 shingles no document with the asked-for share is ruled out, whichever of its shingles it lacks."""
+    sizes = [1, 5, 48, 49, 64, 65, 100, 128, 129, 1000]
+    items = spark.createDataFrame([(n, [f"u{n}_{i}" for i in range(n + 4)]) for n in sizes], "item bigint, words array<string>")
+    got = {r.item: (r.part, r.required) for r in decontamination.item_sketches(items).select("item", "part", "required").distinct().collect()}
+    assert [got[n][0] for n in sizes] == [0, 3, 6, 6, 6, 7, 7, 7, 8, 10]
+    assert [got[n][1] for n in sizes] == [1, 4, 39, 36, 36, 23, 23, 23, 21, 21]
+    assert all(got[n][1] <= min(n, 48) - n // 5 for n in sizes if n <= 128)
