@@ -19,6 +19,7 @@ from lapstack.llm import (
     simhash,
     token_counts,
     toxicity,
+    vector_codes,
 )
 from lapstack.llm.common import table, text_of
 
@@ -102,6 +103,12 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_classes(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op11_equal_average_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all usable vectors, from codebooks of 16 entries after six rounds."""
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -115,10 +122,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_consensus_html,
         op9_toxicity,
         op10_simhash_near_dedup,
+        op11_equal_average_codes,
     )
 }
 
 SQL = {
     "op2_benchmark_decontamination": decontamination.MATCHES_SQL,
     "op4_prefix_target_chat": chat.DIGESTS_SQL,
+    "op11_equal_average_codes": vector_codes.codes_sql(),
 }
