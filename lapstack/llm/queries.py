@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from lapstack.llm import (
     chat,
+    conversation_trie,
     decontamination,
     fingerprints,
     html_text,
+    language_id,
     pii,
     sentencepieces,
     sharding,
@@ -109,6 +111,18 @@ def op11_equal_average_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
 
 
+def op12_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id.identify(docs)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations that begin with up to three turns of another one."""
+    placed = conversation_trie.placed_turns(table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(*conversation_trie.rebuilt(placed))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -123,6 +137,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_toxicity,
         op10_simhash_near_dedup,
         op11_equal_average_codes,
+        op12_byte_cnn_language,
+        op13_conversation_prefix_trie,
     )
 }
 
@@ -130,4 +146,5 @@ SQL = {
     "op2_benchmark_decontamination": decontamination.MATCHES_SQL,
     "op4_prefix_target_chat": chat.DIGESTS_SQL,
     "op11_equal_average_codes": vector_codes.codes_sql(),
+    "op13_conversation_prefix_trie": conversation_trie.TRIE_SQL,
 }
