@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapstack.session import stage
 
-_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-_SPARK_DEFAULT_BATCH = "10000"
+_BATCH_ROWS, _SPARK_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+_BATCH_BYTES, _SPARK_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 _CACHE = "lapstack_worker_cache"
 
 # The six ASCII white space characters as a Java character class.
@@ -23,10 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Fewer rows per Arrow batch, so that a batch of long texts fits a worker; a caller's own value stays."""
-    if spark.conf.get(_BATCH_ROWS, _SPARK_DEFAULT_BATCH) == _SPARK_DEFAULT_BATCH:
-        spark.conf.set(_BATCH_ROWS, str(rows))
+def bounded_batches(spark: SparkSession, rows: int = 500, megabytes: int = 32) -> None:
+    """Arrow batches of fewer rows and bytes than Spark's defaults, so that long texts fit a worker.
+
+    A value other than the default is the caller's own and stays.
+    """
+    for key, default, own in ((_BATCH_ROWS, _SPARK_ROWS, str(rows)), (_BATCH_BYTES, _SPARK_BYTES, f"{megabytes}m")):
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, own)
+
+
+def free_name(taken: Iterable[str], name: str) -> str:
+    """A column name that none of ``taken`` clashes with (names are compared without case)."""
+    known = {t.lower() for t in taken}
+    while name.lower() in known:
+        name = f"_{name}"
+    return name
 
 
 def worker_cache() -> dict:

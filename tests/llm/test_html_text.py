@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pytest
 
@@ -115,3 +116,97 @@ def test_second_layout_and_nested_winners():
     y, z = ("y " * 30).strip(), ("z " * 90).strip()
     assert html_text.extract(page, ["body>div.x", "body>div.y"]) == f"{y}\n\n{z}"
     assert html_text.extract(page, ["body>div.y>div.z", "body>div.y"]) == f"{y}\n\n{z}"
+
+
+THREAD = "".join(f"<p>Reader {i} says at length what the reader thinks of all this.</p>" for i in range(40))
+BODY = "A sentence of the article. " * 6
+
+
+@pytest.mark.parametrize(
+    "wrapped",
+    [
+        "<form action=/><div class=page>%s</div><input><button>Go</button></form>",
+        "<form id=aspnetForm><fieldset><div class=page>%s</div></fieldset></form>",
+        "<div role=form><div class=page>%s</div></div>",
+    ],
+)
+def test_a_form_around_the_page(wrapped):
+    page = f"<h1>Title</h1><p>{BODY}</p><form class=signup><p>Mail address</p><label>Name</label></form>"
+    assert html_text.extract(FRAME % (wrapped % page), []) == f"Title\n\n{BODY.strip()}"
+    assert html_text.extract(FRAME % "<form><p>Your name</p></form><div class=text><p>%s</p></div>" % BODY, []) == BODY.strip()
+
+
+@pytest.mark.parametrize(
+    "thread",
+    [
+        f"<div id=comments>{THREAD}</div>",
+        f"<section class='comments-area'><ol class=comment-list>{THREAD}</ol></section>",
+        f"<div id=comments><h1>40 replies</h1>{THREAD}</div>",
+        "".join(f"<article class=comment>{p}</p></article>" for p in THREAD.split("</p>")[:-1]),
+        f"<article id='comment-7'>{THREAD}</article>",
+        f"<div id=disqus_thread>{THREAD}</div>",
+    ],
+)
+@pytest.mark.parametrize("post", [f"<div class=post><h1>T</h1><p>{BODY}</p></div>", f"<article><h1>T</h1><p>{BODY}</p></article>"])
+def test_comments_never_win_by_their_length(post, thread):
+    text = f"T\n\n{BODY.strip()}"
+    assert html_text.extract(FRAME % (post + thread), []) == text
+    inside = post.replace("</article>", thread + "</article>").replace("</div>", thread + "</div>")
+    assert html_text.extract(FRAME % inside, []) == text
+    without_title = post.replace("<h1>T</h1>", "")
+    if "<h1>" not in thread:
+        assert html_text.extract(FRAME % (without_title + thread), []) == BODY.strip()
+
+
+def test_a_page_that_says_it_has_comments_is_kept():
+    for start in ('<div class="comments-open">', '<div class="post comments">', '<div id=comment-enabled>'):
+        page = f"{start}<h1>T</h1><p>{BODY}</p><div class=comment-list>{THREAD}</div></div>"
+        assert html_text.extract(FRAME % page, []) == f"T\n\n{BODY.strip()}"
+
+
+def test_labels_and_buttons_are_inline():
+    page = "<article><p>Press the <button>Go</button> button, then <label for=x>tick</label> it.</p><button>Share</button><p>Done.</p></article>"
+    assert html_text.extract(page, []) == "Press the Go button, then tick it.\n\nDone."
+
+
+def test_quoted_values():
+    page = """<article data-x='a > b <p class="nav">' title="x > y"><p class='a"b' id = part-1>One<p>Two <a href=x title='">'>li'nk</a></article>"""
+    assert html_text.extract(page, []) == "One\n\nTwo li'nk"
+
+
+DEEP = 100_000
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class=menu-x><p>" * DEEP,
+        "<div class=comment>" * DEEP + "x",
+        "".join(f"<div class=c><p>text {i}" for i in range(DEEP)),
+        "<div><b>x</div></p></ul>" * DEEP,
+        "<article><h1>x" * (DEEP // 2),
+        "<div>" * DEEP + "</p></span></section>" * DEEP,
+        "<a href=\"x " * DEEP,
+        "<a '>\"'" * DEEP,
+        "<p class='x>" + "a" * 1_000_000,
+        "<a title=\"" * DEEP + ">" * 10,
+        "<select>x" * DEEP,
+        "<svg>" * DEEP + "<!-- " * DEEP,
+        "<? x" * DEEP,
+        "<form><fieldset><label>x" * (DEEP // 2),
+    ],
+)
+def test_time_grows_with_the_page(page):
+    begin = time.process_time()
+    html_text.extract(page, ["body>div.menu-x"])
+    assert time.process_time() - begin < 5
+
+
+def test_clashing_columns(spark):
+    names = ["winners", "host", "salt", "_host", "n_chars"]
+    pages = spark.createDataFrame([(1, "http://a.example", PAGE % 1, None, *names)], SCHEMA + "".join(f", {n} string" for n in names))
+    for limit in (20_000, 0):
+        out = html_text.main_text(pages, broadcast_hosts=limit)
+        row = out.first()
+        assert sorted(out.columns) == sorted(pages.columns) and row.text == TEXT and row.n_chars == len(TEXT)
+        assert [row[n] for n in names[:-1]] == names[:-1]
