@@ -1,27 +1,29 @@
 """Document fingerprints: threshold-scaled sketches of word shingles.
 
-A sketch keeps every shingle hash below a fixed fraction of the hash range, so the sketch of a union is the union of
-the sketches, and shares of sketches estimate containment and resemblance however unequal two documents are. Short
-texts, where a fraction would leave next to nothing, keep all their hashes; such a sketch is thinned to the fraction
-before it is compared with one that was not. Everything is DataFrame expressions.
+A sketch keeps every shingle hash below a fixed fraction of the hash range, whatever the length of the text, so the
+sketch of a union is the union of the sketches, and shares of sketches estimate containment and resemblance however
+unequal two documents are. Everything is DataFrame expressions.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapstack.llm.common import ASCII_SPACE, let, text_of
+from lapstack.llm.common import ASCII_SPACE, free_name, let, text_of
+
+_LOWEST = -(1 << 63)
+_SHARES = 10_000  # id quantiles at most
 
 
 @dataclass(frozen=True)
 class Settings:
     shingle: int = 5
-    fraction: int = 16  # one in so many hashes is kept
-    whole: int = 64  # texts of at most so many distinct shingles keep all
-    bucket_rows: int = 2_000_000  # documents that one task may order by id
+    fraction: float = 1 / 16  # of the hash range that is kept
+    bucket_bytes: int = 64 << 20  # of texts that one task orders by id
 
 
 def hashes_of(text: Column, width: int = 5) -> Column:
@@ -36,114 +38,142 @@ def hashes_of(text: Column, width: int = 5) -> Column:
     return let(F.array_remove(F.split(F.lower(text), ASCII_SPACE + "+"), ""), made)
 
 
-def thinned(hashes: Column, settings: Settings = Settings()) -> Column:
-    """The hashes below the fixed fraction of the range (hashes are signed)."""
-    low = -(1 << 63) + (1 << 64) // settings.fraction
-    return F.filter(hashes, lambda h: h < F.lit(low))
-
-
 def sketch_of(hashes: Column, settings: Settings = Settings()) -> Column:
-    """A struct: ``whole`` (all hashes are there) and ``kept``."""
-    short = F.size(hashes) <= settings.whole
-    return F.struct(short.alias("whole"), F.when(short, hashes).otherwise(thinned(hashes, settings)).alias("kept"))
-
+    """The hashes below the fixed fraction of the range (hashes are signed), in order."""
+    low = _LOWEST + int(settings.fraction * (1 << 64))
+    return F.filter(hashes, lambda h: h < F.lit(low)) if low < 1 << 63 else hashes
 
-def _comparable(a: Column, b: Column, settings: Settings) -> tuple[Column, Column]:
-    def cut(x: Column, y: Column) -> Column:
-        return F.when(x["whole"] & ~y["whole"], thinned(x["kept"], settings)).otherwise(x["kept"])
 
-    return cut(a, b), cut(b, a)
+def resemblance(a: Column, b: Column) -> Column:
+    """The share of common hashes among all of two sketches, 0 to 1; 1 for equal sketches, also empty ones."""
+    common = F.size(F.array_intersect(a, b))
+    return F.when(a == b, 1.0).otherwise(common / (F.size(a) + F.size(b) - common))
 
 
-def _identical(a: Column, b: Column) -> Column:
-    return (a["whole"] == b["whole"]) & (a["kept"] == b["kept"])
+def containment(a: Column, b: Column) -> Column:
+    """The estimated share of the first text's shingles that the second has, 0 to 1.
 
-
-def resemblance(a: Column, b: Column, settings: Settings = Settings()) -> Column:
-    """The share of common hashes among all of two sketches, 0 to 1; 1 for identical sketches, also empty ones.
-
-    NULL where neither sketch has a hash below the fraction, so that nothing can be said.
+    An empty sketch says nothing of its text: its share is 1 of an equal sketch, else 0.
     """
-    x, y = _comparable(a, b, settings)
-    common, union = F.size(F.array_intersect(x, y)), F.size(F.array_union(x, y))
-    return F.when(_identical(a, b), 1.0).when(union > 0, common / union)
-
+    return F.when(a == b, 1.0).when(F.size(a) == 0, 0.0).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
 
-def containment(a: Column, b: Column, settings: Settings = Settings()) -> Column:
-    """The estimated share of the first text's shingles that the second has, 0 to 1; 0 where the first has none.
 
-    NULL where the first has shingles but none of their hashes is below the fraction, so that nothing can be said;
-    1 for identical sketches of texts with shingles.
-    """
-    x, y = _comparable(a, b, settings)
-    none = a["whole"] & (F.size(a["kept"]) == 0)
-    share = F.when(F.size(x) > 0, F.size(F.array_intersect(x, y)) / F.size(x))
-    return F.when(none, 0.0).when(_identical(a, b), 1.0).otherwise(share)
-
-
-def merged(sketch: Column, settings: Settings = Settings()) -> Column:
+def merged(sketch: Column) -> Column:
     """Aggregate: the sketch of all shingles of a group of documents; the hashes kept grow with the distinct text."""
-    kept = F.sort_array(F.array_distinct(F.flatten(F.collect_list(thinned(sketch["kept"], settings)))))
-    return F.struct(F.lit(False).alias("whole"), kept.alias("kept"))
+    return F.sort_array(F.array_distinct(F.flatten(F.collect_list(sketch))))
 
 
 def printed(sketch: Column) -> Column:
-    """The sketch as text: ``a`` (all hashes) or ``f`` (the fraction), a colon, and the hashes in hex, comma-joined."""
-    names = F.transform(sketch["kept"], lambda h: F.lower(F.hex(h)))
-    return F.concat(F.when(sketch["whole"], "a:").otherwise("f:"), F.array_join(names, ","))
+    """The sketch as text: its hashes in hex, comma-joined."""
+    return F.array_join(F.transform(sketch, lambda h: F.lower(F.hex(h))), ",")
 
 
 def with_fingerprint(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents with ``sketch``; NULL texts count as empty."""
-    return docs.withColumn("_hashes", hashes_of(text_of(), settings.shingle)).withColumn(
-        "sketch", sketch_of(F.col("_hashes"), settings)
-    ).drop("_hashes")
+    """The documents with ``sketch`` (a column of that name is replaced); NULL texts count as empty."""
+    return docs.withColumn("sketch", sketch_of(hashes_of(text_of(), settings.shingle), settings))
 
 
-def _bucket_of(column: Column, cuts: list[int]) -> Column:
-    """How many cuts are at most the value, in two steps of about the root of their number."""
+def _known(cuts: list[tuple[int, int]]) -> Column:
+    """Cuts as one constant, however many they are."""
+    return F.from_json(F.lit(json.dumps([{"k": k, "h": h} for k, h in cuts])), "array<struct<k:bigint,h:bigint>>")
+
+
+def _bucket_of(place: Column, cuts: list[tuple[int, int]]) -> Column:
+    """How many cuts are at most the place, in two steps of about the root of their number."""
     if not cuts:
         return F.lit(0)
     step = max(1, int(len(cuts) ** 0.5))
-    coarse = cuts[step - 1 :: step]
-    all_cuts, coarse_cuts = F.array(*map(F.lit, cuts)), F.array(*map(F.lit, coarse))
-    block = F.size(F.filter(coarse_cuts, lambda c: c <= column))
-    rest = F.filter(F.slice(all_cuts, block * step + 1, step), lambda c: c <= column)
+    block = F.size(F.filter(_known(cuts[step - 1 :: step]), lambda c: c <= place))
+    rest = F.filter(F.slice(_known(cuts), block * step + 1, F.lit(step)), lambda c: c <= place)
     return block * step + F.size(rest)
 
 
-def with_next(docs: DataFrame, columns: list[str], settings: Settings = Settings()) -> DataFrame:
-    """Every row with ``next``, a struct of ``columns`` of the row with the next ``doc_id`` (after the last, the first).
+def _firsts(rows: DataFrame, settings: Settings) -> list[tuple[int, int]]:
+    """The places (id, hash) at which ranges of at most about ``bucket_bytes`` begin, each that of a row.
 
-    Rows are dealt to ranges of ``doc_id`` whose bounds are ids of the table. The first rows of a range are dealt to the
-    range before as well, where they only serve as the end, so one shuffle is enough and no task sees all rows.
+    ``rows`` has ``k``, ``h`` and ``bytes``. Quantiles of the ids are weighed by the bytes between them; a range that
+    is still too large is cut evenly by id, or by hash where it has one id.
+    """
+    spark = rows.sparkSession
+    total = rows.agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n")).first()
+    if not total["n"]:
+        return []
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = max(1, min(settings.bucket_bytes, -(-total["bytes"] // least)))
+    shares = min(4 * -(-total["bytes"] // target), _SHARES)
+    ids = rows.agg(F.percentile_approx("k", [i / shares for i in range(shares)], max(10_000, 10 * shares))).first()[0]
+
+    def measured(rows: DataFrame, cuts: list[tuple[int, int]]) -> list:
+        ranges = rows.groupBy(_bucket_of(F.struct("k", "h"), cuts[1:]).alias("b"))
+        sizes = ranges.agg(F.sum("bytes").alias("bytes"), F.min("k").alias("k"), F.max("k").alias("top"), F.min("h").alias("h"))
+        return sizes.orderBy("b").collect()  # a row for each range
+
+    # an id that is several quantiles is a range of its own
+    often = {a for a, b in zip(ids, ids[1:]) if a == b}
+    cuts = [(k, _LOWEST) for k in sorted({*ids, *(k + 1 for k in often)}) if k < 1 << 63]
+    found = measured(rows.withColumn("h", F.lit(_LOWEST)), cuts)
+    if any(r["bytes"] > 2 * target for r in found):
+        cuts = []
+        for r in found:
+            pieces = -(-r["bytes"] // target)
+            if r["k"] == r["top"]:
+                cuts += [(r["k"], _LOWEST + (i << 64) // pieces) for i in range(pieces)]
+            else:
+                cuts += [(r["k"] + (r["top"] - r["k"]) * i // pieces, _LOWEST) for i in range(pieces)]
+        found = measured(rows, sorted(set(cuts)))
+    firsts, held, last = [], 0, None
+    for r in found:
+        # ranges are taken together up to the target; one that begins inside an id begins at its first hash
+        inside = last == r["k"]
+        if not firsts or inside or held + r["bytes"] > target:
+            firsts.append((r["k"], r["h"] if inside else _LOWEST))
+            held = 0
+        held += r["bytes"]
+        last = r["top"]
+    return firsts
+
+
+def _keys(spark, parts: int) -> list[int]:
+    """Numbers that a shuffle over ``parts`` partitions deals to a partition each, in the order of the partitions."""
+    tried = spark.range(40 * parts + 100)
+    dealt = tried.groupBy(F.pmod(F.hash("id"), F.lit(parts)).alias("p")).agg(F.min("id").alias("id")).collect()
+    known = {r["p"]: r["id"] for r in dealt}
+    return [known.get(p, p) for p in range(parts)]
+
+
+def with_next(docs: DataFrame, value: Column, settings: Settings = Settings(), text: str = "text") -> DataFrame:
+    """Every row with ``own``, ``value`` of it, and ``next``, that of the row after it by ``doc_id`` (after the last, the first).
+
+    Rows without an id come with the smallest one; rows of one id by a hash of ``text``, then the text. Rows are dealt
+    to ranges of about ``bucket_bytes`` bytes of text, one to a partition; rows of one id are several ranges if need
+    be. The first rows of a range are dealt to the range before as well, where they only serve as the end, so one
+    shuffle is enough and no task sees all rows.
     """
     spark = docs.sparkSession
-    rows = docs.count()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // settings.bucket_rows + 1)
-    parts = max(1, min(parts, rows))
-    shares = [i / parts for i in range(parts)]
-    found = docs.agg(F.min("doc_id"), F.percentile_approx("doc_id", shares, max(10_000, 10 * parts))).first()
-    firsts = sorted({found[0], *(found[1] or [])} - {None})
-    key = F.coalesce(F.col("doc_id"), F.lit(firsts[0] if firsts else 0))
+    key, hashed, number, to, end = (free_name([*docs.columns, "own", "next"], n) for n in ("key", "hash", "range", "to", "end"))
+    least = docs.agg(F.min("doc_id")).first()[0] or 0
+    keyed = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(least)), hashed: F.xxhash64(text)})
+    firsts = _firsts(keyed.select(F.col(key).alias("k"), F.col(hashed).alias("h"), (F.octet_length(text) + 64).alias("bytes")), settings)
     cuts = firsts[1:]
-    bucket = _bucket_of(F.col("_key"), cuts)
-    is_first = F.array_contains(F.array(*map(F.lit, firsts)), F.col("_key")) if firsts else F.lit(False)
+    place = F.struct(F.col(key).alias("k"), F.col(hashed).alias("h"))
+    # a range that begins inside an id begins at its hash, any other at all rows of its id
+    first = F.get(_known(firsts), F.col(number))
+    begins = (first["k"] == F.col(key)) & ((first["h"] == F.col(hashed)) | (first["h"] == _LOWEST))
+    slot = F.from_json(F.lit(json.dumps(_keys(spark, len(cuts) + 1))), "array<bigint>")
     # the range before; before the first comes the last
-    before = F.pmod(F.col("_bucket") - 1, F.lit(len(cuts) + 1))
-    here = F.struct(F.col("_bucket").alias("b"), F.lit(False).alias("end"))
+    before = F.pmod(F.col(number) - 1, F.lit(len(cuts) + 1))
+    here = F.struct(F.col(number).alias("b"), F.lit(False).alias("end"))
     there = F.struct(before.alias("b"), F.lit(True).alias("end"))
     dealt = (
-        docs.withColumn("_key", key)
-        .withColumn("_bucket", bucket)
-        .withColumn("_to", F.explode(F.when(is_first, F.array(here, there)).otherwise(F.array(here))))
-        .withColumns({"_bucket": F.col("_to.b"), "_end": F.col("_to.end")})
-        .drop("_to")
+        keyed.withColumn(number, _bucket_of(place, cuts))
+        .withColumn(to, F.explode(F.when(begins, F.array(here, there)).otherwise(F.array(here))))
+        .withColumns({number: F.get(slot, F.col(f"{to}.b")), end: F.col(f"{to}.end")})
+        .drop(to)
+        .repartition(len(cuts) + 1, number)
     )
-    order = Window.partitionBy("_bucket").orderBy("_end", "_key", *columns)
-    value = F.struct(*[F.col(c) for c in columns])
-    led = dealt.withColumn("next", F.lead(value).over(order)).filter("NOT _end")
-    return led.drop("_key", "_bucket", "_end")
+    order = Window.partitionBy(number).orderBy(end, key, hashed, text)
+    led = dealt.withColumn("own", value).withColumn("next", F.lead("own").over(order)).filter(~F.col(end))
+    return led.drop(key, hashed, number, end)
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -156,25 +186,23 @@ def edit_fingerprints(docs: DataFrame, settings: Settings = Settings()) -> DataF
     """``doc_id``, ``n_chars``, ``edited_sha256``, the fingerprints of a text and of its edited form, and their likeness.
 
     ``near_edited`` and ``near_next`` compare the text's fingerprint with those of the edited and the next text;
-    ``part_of_edited`` is the estimated share of its shingles that the edited text still has; they are NULL where the
-    sketches say nothing (see ``resemblance``, ``containment``). NULL texts are empty, rows of one ``doc_id`` follow
-    each other by text, a NULL ``doc_id`` comes with the smallest; a table of one row is its own next. Equal texts have
-    equal fingerprints. An empty table gives no rows.
+    ``part_of_edited`` is the estimated share of its shingles that the edited text still has. NULL texts are empty; the
+    next row is that of ``with_next``; a table of one row is its own next. Equal texts have equal fingerprints. Other
+    columns are left out. An empty table gives no rows.
     """
-    # only texts are shuffled: a sketch is made from them faster than it is stored
-    led = with_next(docs.select("doc_id", text_of().alias("text")), ["text"], settings)
-    made = led.withColumn("edit", edited(F.col("text"), F.col("next.text")))
-    for name, text in (("sketch", "text"), ("edit_sketch", "edit"), ("next_sketch", "next.text")):
-        made = made.withColumn("_hashes", hashes_of(F.col(text), settings.shingle))
-        made = made.withColumn(name, sketch_of(F.col("_hashes"), settings)).drop("_hashes")
-    own, changed, following = F.col("sketch"), F.col("edit_sketch"), F.col("next_sketch")
+    rows = docs.select("doc_id", text_of().alias("text"))
+    # only texts are shuffled: a sketch is made from them faster than it is stored, once for a text and the one before
+    own = F.struct(F.col("text"), sketch_of(hashes_of(F.col("text"), settings.shingle), settings).alias("sketch"))
+    made = with_next(rows, own, settings).withColumn("edit", edited(F.col("text"), F.col("next.text")))
+    made = made.withColumn("changed", sketch_of(hashes_of(F.col("edit"), settings.shingle), settings))
+    sketch, changed, following = F.col("own.sketch"), F.col("changed"), F.col("next.sketch")
     return made.select(
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),
         F.sha2(F.col("edit").cast("binary"), 256).alias("edited_sha256"),
-        printed(own).alias("fingerprint"),
+        printed(sketch).alias("fingerprint"),
         printed(changed).alias("edited_fingerprint"),
-        resemblance(own, changed, settings).cast("double").alias("near_edited"),
-        resemblance(own, following, settings).cast("double").alias("near_next"),
-        containment(own, changed, settings).cast("double").alias("part_of_edited"),
+        resemblance(sketch, changed).cast("double").alias("near_edited"),
+        resemblance(sketch, following).cast("double").alias("near_next"),
+        containment(sketch, changed).cast("double").alias("part_of_edited"),
     )

@@ -29,7 +29,7 @@ PII_KEY = b"pseudonyms of the registered queries"
 PIECES = "piece_bpe_32k.model"
 BYTE_BPE = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
-FINGERPRINTS = fingerprints.Settings(fraction=2)  # texts just over the whole limit still keep some 32 hashes
+FINGERPRINTS = fingerprints.Settings(fraction=7 / 8)  # many texts have a few shingles only
 
 
 def op1_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
