@@ -1,8 +1,10 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Labelled rows are hashed and dealt to a fixed number of learners; each runs FTRL-proximal over its rows (a learning
-rate per coordinate, L1 and L2 in the proximal step), and the non-zero weights are averaged in Spark. L1 leaves a
-compact list of weights, bounded by a parameter of the learners, which goes to every scorer.
+Features are words, pairs of neighbours and pairs with one word between; the stems of words (their first characters)
+are features as well, and so is a stem that a text has several times, as many toxic words are forms of one stem. Labelled
+rows are hashed and dealt to learners; each runs FTRL-proximal over its rows (a learning rate per coordinate, L1 and L2
+in the proximal step), and the non-zero weights are averaged in Spark. L1 leaves a compact list of weights, bounded by
+the sample learnt from, which goes to every scorer.
 """
 
 from __future__ import annotations
@@ -28,17 +30,10 @@ _COUNTERS = np.uint64(40)  # leading 24 bits of a feature pick its counter
 _KINDS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
-@dataclass(frozen=True)
-class Model:
-    """Sorted feature hashes with their weights, and the bias."""
-
-    keys: np.ndarray
-    weights: np.ndarray
-    bias: float
-
-
 @dataclass(frozen=True)
 class Settings:
+    stems: tuple[int, ...] = (4, 6)  # leading characters of longer words
+    repeats: tuple[int, ...] = (2, 3, 4, 6)  # a stem that a text has so many times is a feature of its own
     alpha: float = 0.3
     beta: float = 1.0
     l1: float = 0.3  # times the root of a learner's rows with label 1, 2 to 5 in all
@@ -48,29 +43,59 @@ class Settings:
     refit_epochs: int = 15  # over the features that L1 has left, without L1
     learner_rows: int = 8_000  # of one learner, at most
     max_rows: int = 16_000  # labelled rows that are learnt from, chosen by a hash of doc_id
+    max_bytes: int = 128 << 20  # of their texts; a text of over an eighth of it is not learnt from
     min_docs: int = 3  # rows of a learner that must hold a feature
-    max_weights: int = 200_000  # of one learner, the largest
-
+    agree: float = 0.5  # over so large a share of the learners must have a weight for a feature
 
-def word_hashes(text: str, known: dict[str, int]) -> np.ndarray:
-    words = _WORD.findall(text.lower())
-    out = np.empty(len(words), np.uint64)
-    for i, w in enumerate(words):
-        h = known.get(w)
-        if h is None:
-            if len(known) > _WORDS_KEPT:
-                known.clear()
-            h = known[w] = xxhash.xxh64_intdigest(w)
-        out[i] = h
-    return out
 
+@dataclass(frozen=True)
+class Model:
+    """Sorted feature hashes with their weights, and the bias."""
 
-def features(words: np.ndarray) -> np.ndarray:
-    """Hashes of the words, of pairs of neighbours and of pairs with one word between, each once."""
-    one = words * _KINDS[0]
-    two = (words[:-1] * _KINDS[1]) ^ (words[1:] + _KINDS[0])
-    skip = (words[:-2] * _KINDS[2]) ^ (words[2:] + _KINDS[1])
-    return np.unique(np.concatenate([one, two * _KINDS[0], skip * _KINDS[0]]))
+    keys: np.ndarray
+    weights: np.ndarray
+    bias: float
+    settings: Settings = Settings()
+
+
+class Words:
+    """The hashes of words and of their stems, kept for the words met last; a word without a stem has 0 for it."""
+
+    def __init__(self, settings: Settings) -> None:
+        self.stems, self.known = settings.stems, {}
+        self.table = np.empty((1 << 12, 1 + len(self.stems)), np.uint64)
+
+    def hashes(self, text: str) -> np.ndarray:
+        """A row for each word of the text."""
+        words = _WORD.findall(text.lower())
+        if len(self.known) > _WORDS_KEPT:
+            self.known.clear()
+        known = self.known
+        out = np.empty(len(words), np.int64)
+        for i, w in enumerate(words):
+            at = known.get(w)
+            if at is None:
+                at = known[w] = len(known)
+                if at == len(self.table):
+                    self.table = np.concatenate([self.table, np.empty_like(self.table)])
+                self.table[at, 0] = xxhash.xxh64_intdigest(w)
+                for j, n in enumerate(self.stems, 1):
+                    self.table[at, j] = xxhash.xxh64_intdigest(w[:n], seed=n) if len(w) > n else 0
+            out[i] = at
+        return self.table[out]
+
+
+def features(words: np.ndarray, repeats: tuple[int, ...] = Settings.repeats) -> np.ndarray:
+    """Hashes of the words, of pairs of neighbours, of pairs with one word between and of the stems, each once."""
+    w = words[:, 0]
+    two = (w[:-1] * _KINDS[1]) ^ (w[1:] + _KINDS[0])
+    skip = (w[:-2] * _KINDS[2]) ^ (w[2:] + _KINDS[1])
+    found = [w * _KINDS[0], two * _KINDS[0], skip * _KINDS[0]]
+    for stems in words.T[1:]:
+        stem, count = np.unique(stems[stems != 0], return_counts=True)
+        found.append(stem)
+        found += [(stem[count >= r] + np.uint64(r)) * _KINDS[0] for r in repeats]
+    return np.unique(np.concatenate(found))
 
 
 def learn(rows: list[tuple[np.ndarray, int]], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -95,10 +120,7 @@ def learn(rows: list[tuple[np.ndarray, int]], settings: Settings) -> tuple[np.nd
     slot = np.where(chosen, np.cumsum(chosen), 0)
     left = [x[x > 0] for x in (slot[i] for i in at)]
     refit = _descend(left, labels, int(chosen.sum()) + 1, 0.0, settings.refit_alpha, settings.refit_epochs, settings, lift)
-    kept = np.append(np.uint64(0), keys[often][chosen[1:]])
-    some = np.argsort(-np.abs(refit[1:]), kind="stable")[: settings.max_weights] + 1
-    some = np.append(0, some)
-    return kept[some], refit[some]
+    return np.append(np.uint64(0), keys[often][chosen[1:]]), refit
 
 
 def _descend(
@@ -128,17 +150,17 @@ def _descend(
 
 def _learner(settings: Settings):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        known: dict[str, int] = {}
+        words = Words(settings)
         texts, labels = pdf["text"].tolist(), pdf["label"].tolist()
         order = sorted(range(len(texts)), key=list(zip(pdf["_order"].tolist(), texts)).__getitem__)
         # most features are in one row only; small counters find them before any are gathered
         seen = np.zeros(1 << 24, np.uint8)
         for t in texts:
-            at = features(word_hashes(t, known)) >> _COUNTERS
+            at = features(words.hashes(t), settings.repeats) >> _COUNTERS
             seen[at] = np.minimum(seen[at], 254) + 1
         rows = []
         for i in order:
-            f = features(word_hashes(texts[i], known))
+            f = features(words.hashes(texts[i]), settings.repeats)
             rows.append((f[seen[f >> _COUNTERS] >= settings.min_docs], int(labels[i])))
         keys, weights = learn(rows, settings)
         return pd.DataFrame({"key": keys.view(np.int64), "weight": weights})
@@ -149,8 +171,8 @@ def _learner(settings: Settings):
 def train(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     """A model from rows of ``text`` and ``label`` (0 or 1), with any ``doc_id`` as the order of the sample.
 
-    At most ``settings.max_rows`` rows are learnt from, those with the smallest hashes of ``doc_id``; rows with a NULL
-    label are left out, a NULL text counts as empty. Without rows of both labels the model has no features and gives
+    At most ``settings.max_rows`` rows and ``settings.max_bytes`` bytes of text are learnt from, chosen by a hash of
+    ``doc_id``; rows with a NULL label are left out, a NULL text counts as empty. Without rows of both labels the model has no features and gives
     every text the share of label 1 (0 when there are no rows).
     """
     spark = labelled.sparkSession
@@ -158,34 +180,38 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> Model:
     rows = labelled.filter("label IS NOT NULL").select(
         F.xxhash64(F.col("doc_id").cast("string")).alias("_order"), "doc_id", text_of().alias("text"), F.col("label").cast("int").alias("label")
     )
-    rows = stage(_sampled(rows, rows.count(), settings.max_rows).drop("doc_id"), "sample")
+    rows = _sampled(rows, rows.count(), settings.max_rows).withColumn("bytes", F.octet_length("text"))
+    rows = stage(rows.filter(F.col("bytes") <= settings.max_bytes // 8), "sample")
+    total = rows.agg(F.sum("bytes")).first()[0] or 0
+    if total > settings.max_bytes:
+        rows = _sampled(rows, total, settings.max_bytes, 12)
     counted = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("ones")).first()
     n, ones = counted["n"], counted["ones"] or 0
     if not n or ones in (0, n):
         p = min(max(ones / n if n else 0.0, 1e-6), 1 - 1e-6)
-        return Model(np.empty(0, np.uint64), np.empty(0), float(np.log(p / (1 - p))))
+        return Model(np.empty(0, np.uint64), np.empty(0), float(np.log(p / (1 - p))), settings)
     learners = max(1, math.ceil(n / settings.learner_rows))
     sample = rows.withColumn("learner", F.pmod(F.xxhash64("_order", F.lit(1)), F.lit(learners)).cast("int"))
     weights = (
-        sample.groupBy("learner")
+        sample.drop("doc_id", "bytes").groupBy("learner")
         .applyInPandas(_learner(settings), "key bigint, weight double")
         .groupBy("key")
         .agg((F.sum("weight") / learners).alias("weight"), F.count(F.lit(1)).alias("votes"))
         # a feature that few learners agree on is noise
-        .filter((F.col("votes") * 2 > learners) | (F.col("key") == 0))
+        .filter((F.col("votes") > settings.agree * learners) | (F.col("key") == 0))
     )
-    got = weights.toPandas()  # at most learners * max_weights rows
+    got = weights.toPandas()  # features of the bounded sample that L1 has left
     keys = got["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
     keys, values = keys[order], got["weight"].to_numpy()[order]
     bias = float(values[keys == 0].sum())
-    return Model(keys[keys != 0], values[keys != 0], bias)
+    return Model(keys[keys != 0], values[keys != 0], bias, settings)
 
 
 def score_text(words: np.ndarray, model: Model) -> float:
     total = model.bias
     if len(model.keys) and len(words):
-        f = features(words)
+        f = features(words, model.settings.repeats)
         at = np.minimum(np.searchsorted(model.keys, f), len(model.keys) - 1)
         total += float(model.weights[at[model.keys[at] == f]].sum())
     return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
@@ -194,9 +220,9 @@ def score_text(words: np.ndarray, model: Model) -> float:
 def score_column(column: Column, model: Model) -> Column:
     @F.pandas_udf("double")
     def scores(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known: dict[str, int] = {}
+        words = Words(model.settings)
         for batch in texts:
-            yield pd.Series([score_text(word_hashes(t, known), model) for t in batch], dtype="float64")
+            yield pd.Series([score_text(words.hashes(t), model) for t in batch], dtype="float64")
 
     return scores(column)
 
@@ -218,10 +244,10 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, max_rows: int = Settings.m
     return chosen.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("label").alias("label"))
 
 
-def _sampled(rows: DataFrame, n: int, max_rows: int) -> DataFrame:
-    """A share of the rows by a hash of ``doc_id``, a little under ``max_rows`` of ``n``."""
-    share = int(0.95 * max_rows / max(n, 1) * _SHARES)
-    return rows if n <= max_rows else rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(_SHARES)) < share)
+def _sampled(rows: DataFrame, n: int, most: int, seed: int = 11) -> DataFrame:
+    """A share of the rows by a hash of ``doc_id``, a little under ``most`` of ``n``."""
+    share = int(0.95 * most / max(n, 1) * _SHARES)
+    return rows if n <= most else rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(_SHARES)) < share)
 
 
 def with_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:

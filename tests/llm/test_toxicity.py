@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -10,14 +11,90 @@ from lapstack.llm import queries, toxicity
 SF_DIR = "/root/testdata/sf0.01"
 
 
-def test_features_are_words_pairs_and_skips():
-    known = {}
-    a = toxicity.features(toxicity.word_hashes("One two, THREE", known))
-    assert len(a) == 3 + 2 + 1
-    assert len(toxicity.features(toxicity.word_hashes("one", known))) == 1
-    assert len(toxicity.features(toxicity.word_hashes("", known))) == 0
-    assert set(a) == set(toxicity.features(toxicity.word_hashes("one two three", {})))
-    assert set(a) != set(toxicity.features(toxicity.word_hashes("three two one", {})))
+def hashes(text, settings=toxicity.Settings()):
+    return toxicity.Words(settings).hashes(text)
+
+
+def test_features_are_words_pairs_skips_and_stems():
+    a = toxicity.features(hashes("One two, THREE"))
+    assert len(a) == 3 + 2 + 1 + 1  # "thre" is a stem
+    assert len(toxicity.features(hashes("one"))) == 1
+    assert len(toxicity.features(hashes(""))) == 0
+    assert set(a) == set(toxicity.features(hashes("one two three")))
+    assert set(a) != set(toxicity.features(hashes("three two one")))
+    # longest, longer, longish: a stem of four three times, so a mark at 2 and at 3; one of six twice
+    marks = [toxicity.features(hashes("longestly longerly longestish"), r) for r in ((), (2,), (2, 3))]
+    assert [len(m) for m in marks] == [6 + 1 + 2, 6 + 1 + 2 + 2, 6 + 1 + 2 + 3]
+
+
+def test_words_are_kept_and_forgotten(monkeypatch):
+    text = " ".join(f"word{i}" for i in range(9000))
+    whole = hashes(text)
+    monkeypatch.setattr(toxicity, "_WORDS_KEPT", 10)
+    words = toxicity.Words(toxicity.Settings())
+    assert (words.hashes(text) == whole).all() and (words.hashes(text) == whole).all()
+    assert (words.hashes("word1 x word2") == np.stack([whole[1], words.hashes("x")[0], whole[2]])).all()
+
+
+def scalar_ftrl(rows, labels, slots, l1, alpha, epochs, settings, lift):
+    """One coordinate after the other, as published, in dictionaries."""
+    z, n = dict.fromkeys(range(slots), 0.0), dict.fromkeys(range(slots), 0.0)
+
+    def weight(i):
+        bound = l1 if i else 0.0
+        if abs(z[i]) <= bound:
+            return 0.0
+        return -(z[i] - math.copysign(bound, z[i])) / ((settings.beta + math.sqrt(n[i])) / alpha + settings.l2)
+
+    order = np.random.default_rng(7)
+    for _ in range(epochs):
+        for r in order.permutation(len(rows)):
+            w = {i: weight(i) for i in [0, *rows[r]]}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - labels[r]
+            g *= lift if labels[r] else 1.0
+            for i, wi in w.items():
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha
+                z[i] += g - sigma * wi
+                n[i] += g * g
+    return [weight(i) for i in range(slots)]
+
+
+def test_weights_are_those_of_scalar_ftrl():
+    rng = random.Random(3)
+    settings = toxicity.Settings()
+    rows = [sorted(rng.sample(range(1, 40), rng.randint(0, 9))) for _ in range(150)]
+    labels = [int(bool({3, 7, 11} & set(r)) or rng.random() < 0.05) for r in rows]
+    for l1, alpha, lift in ((0.0, 1.0, 1.0), (2.0, 0.3, 1.0), (0.5, 0.3, 2.5)):
+        at = [np.array(r, np.int32) for r in rows]
+        got = toxicity._descend(at, np.array(labels, float), 40, l1, alpha, 3, settings, lift)
+        want = scalar_ftrl(rows, labels, 40, l1, alpha, 3, settings, lift)
+        assert np.abs(got - np.array(want)).max() < 1e-9
+        assert l1 == 0 or 0 < sum(w == 0 for w in want) < 40
+
+
+def test_learnt_bytes_are_bounded(spark):
+    rows = [(i, f"word{i % 7} " * (4000 if i == 5 else 40), i % 2) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    model = toxicity.train(frame, toxicity.Settings(max_bytes=20_000, min_docs=1))
+    assert 0 < len(model.keys) < 200
+
+
+def test_stems_catch_new_forms(spark):
+    """Words of label 1 that share a stem, with endings that were not learnt from."""
+    rng = random.Random(9)
+
+    def form(stem):
+        return stem + "".join(rng.choice("abcdefgh") for _ in range(5))
+
+    def text(label):
+        words = [form(rng.choice(["plain", "quiet", "solid"])) for _ in range(30)]
+        for i in rng.sample(range(30), 4 if label else 0):
+            words[i] = form("grumpel")
+        return " ".join(words)
+
+    train, test = ([(i, text(i % 4 == 0), int(i % 4 == 0)) for i in range(n)] for n in (600, 200))
+    model = toxicity.train(spark.createDataFrame(train, "doc_id bigint, text string, label int"))
+    assert all((toxicity.score_text(hashes(t), model) >= 0.5) == (y == 1) for _, t, y in test)
 
 
 def made(n, seed):
@@ -37,7 +114,7 @@ def test_held_out_accuracy_and_sparse_weights(spark):
     train, test = made(3000, 1), made(800, 2)
     model = toxicity.train(spark.createDataFrame(train, "doc_id bigint, text string, label int"))
     assert 3 <= len(model.keys) < 500
-    scored = [(toxicity.score_text(toxicity.word_hashes(t, {}), model), y) for _, t, y in test]
+    scored = [(toxicity.score_text(hashes(t), model), y) for _, t, y in test]
     assert sum((s >= 0.5) == (y == 1) for s, y in scored) >= 790
     assert all(0 <= s <= 1 for s, _ in scored)
 
@@ -45,9 +122,9 @@ def test_held_out_accuracy_and_sparse_weights(spark):
 def test_model_without_both_labels(spark):
     schema = "doc_id bigint, text string, label int"
     none = toxicity.train(spark.createDataFrame([], schema))
-    assert toxicity.score_text(toxicity.word_hashes("any", {}), none) < 0.5
+    assert toxicity.score_text(hashes("any"), none) < 0.5
     ones = toxicity.train(spark.createDataFrame([(1, "a", 1), (2, None, 1), (3, "b", None)], schema))
-    assert toxicity.score_text(np.empty(0, np.uint64), ones) > 0.5
+    assert toxicity.score_text(hashes(""), ones) > 0.5
 
 
 def test_scores_of_documents(spark, docs_of):
