@@ -17,10 +17,11 @@ from lapstack.operators.keys import (
     with_lineage,
 )
 from lapstack.operators.scans import dense_ids
-from lapstack.schemas import BRONZE_COLUMNS, FIRST_API_YEAR, ID_COLUMNS, NATURAL_KEYS
-from lapstack.session import stage
+from lapstack.schemas import BRONZE_COLUMNS, FIRST_API_YEAR, ID_COLUMNS, NATURAL_KEYS, ROUND_ENDPOINTS
+from lapstack.session import document_bytes, stage
 from lapstack.sources import payloads as p
-from lapstack.sources.files import read_history, read_payload, read_year_payloads
+from lapstack.sources.documents import split_entries, split_items
+from lapstack.sources.files import largest_file, read_history, read_payload, read_year_payloads
 from lapstack.sources.sinks import bronze_layout, write_bronze
 
 SEEN = ["year", "_rank", "_entry", "_item", "_part"]
@@ -49,9 +50,18 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def landed_documents(spark: SparkSession, api_dir: str, endpoint: str, start_year: int) -> DataFrame:
+    """An endpoint's year documents: whole while they are small, else their items or entries, read by many tasks."""
+    path = f"{api_dir}/*/{endpoint}.json"
+    if largest_file(spark, path) <= document_bytes(spark):
+        return read_year_payloads(spark, api_dir, endpoint, start_year)
+    split = split_items if endpoint in ROUND_ENDPOINTS else split_entries
+    return split(spark, path, endpoint, start_year)
+
+
 def _facts(spark: SparkSession, api_dir: str, start_year: int) -> dict[str, DataFrame]:
     def landed(endpoint: str) -> DataFrame:
-        return read_year_payloads(spark, api_dir, endpoint, start_year)
+        return landed_documents(spark, api_dir, endpoint, start_year)
 
     flat = {
         "results": p.results(landed("results")),
@@ -116,7 +126,7 @@ def normalise(
     bronze["status"] = _resolve(history["status"], "status", _entity_mentions("status", [status_mentions], facts))
 
     def landed(endpoint: str) -> DataFrame:
-        return read_year_payloads(spark, api_dir, endpoint, start_year)
+        return landed_documents(spark, api_dir, endpoint, start_year)
 
     for table, flatten in (("drivers", p.drivers), ("constructors", p.constructors)):
         flat = flatten(landed(table))

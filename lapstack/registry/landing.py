@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapstack.operators.rounds import PAGE_ITEMS, nest_rounds
+from lapstack.operators.scans import ordered_scan, row_number
 from lapstack.plans.star import LINE_COLUMNS, StarTables
 from lapstack.schemas import ROUND_ENDPOINTS
+from lapstack.sources.documents import write_documents
 from lapstack.sources.files import read_payload, select_years
 from lapstack.sources.sinks import write_csv
 
@@ -146,6 +148,28 @@ def payloads(t: StarTables, endpoint: str, start_year: int = 0) -> DataFrame:
     return select_years(read_payload(t.spark, f"{path}/year=*", endpoint, multi_line=False), start_year)
 
 
+# texts that look like parts of a document
+HOSTILE_RACE, HOSTILE_DRIVER = 'R"}],"Laps":[{', 'd}"{[\\,'
+
+
+def lap_documents(t: StarTables) -> str:
+    """A document of laps for each year; names of races and drivers hold brackets, quotes and backslashes."""
+
+    def write(t: StarTables, path: str) -> None:
+        timing = F.struct(
+            F.concat(F.lit(HOSTILE_DRIVER), _text("o_custkey")).alias("driverId"),
+            _text("l_suppkey").alias("position"),
+            _seconds(_price_ms()).alias("time"),
+        )
+        item = F.struct(_text("l_linenumber").alias("number"), F.array(timing).alias("Timings"))
+        lines = ordered_scan(race_lines(t), ["l_orderkey"], line_order(), {"ordinal": row_number()})
+        lines = lines.withColumn("raceName", F.concat(F.lit(HOSTILE_RACE), F.col("raceName")))
+        lines = lines.withColumns({c: F.col(c).cast("int") for c in ("season", "round")})
+        write_documents(lines, path, "laps", "season", RACE, "ordinal", item)
+
+    return t.landed("lap_documents", write)
+
+
 def csv_folder(t: StarTables, name: str, df: DataFrame) -> str:
     """A frame written as a CSV folder."""
     return t.landed(f"{name}_csv", lambda _, path: write_csv(df, path))

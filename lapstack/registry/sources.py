@@ -16,6 +16,7 @@ from lapstack.registry.sql import LINE_ORDER
 from lapstack.schemas import BRONZE_COLUMNS
 from lapstack.session import scratch_path
 from lapstack.sources import payloads as p
+from lapstack.sources.documents import split_items
 from lapstack.sources.files import completeness_report, read_text_csv, select_years
 from lapstack.sources.sinks import (
     bronze_layout,
@@ -105,6 +106,31 @@ register(
     "SELECT year(o_orderdate) AS season, month(o_orderdate) AS round, o_custkey AS driver_slug, l_linenumber AS lap, "
     f"l_suppkey AS position, {_SECONDS} AS time, {_PRICE_MS} AS milliseconds {_RACE_LINES}",
 )
+
+def _split_laps(t):
+    """The year documents of laps read in blocks of 256 KB, so that a document is split at every size of the tables."""
+    path = landing.lap_documents(t)
+    items = split_items(t.spark, f"{path}/*", "laps", start_year=0, split_bytes=256 << 10)
+    return p.lap_times(items).withColumn("item", F.col("_item") + 1)
+
+
+_HOSTILE = landing.HOSTILE_DRIVER
+register(
+    "src_5_split_document",
+    "season round item driver_slug:text lap:text position:text time:text milliseconds:text",
+    _split_laps,
+    f"SELECT year(o_orderdate) AS season, month(o_orderdate) AS round, {_ORDINAL} AS item, "
+    f"'{_HOSTILE}' || o_custkey AS driver_slug, l_linenumber AS lap, l_suppkey AS position, {_SECONDS} AS time, "
+    f"{_PRICE_MS} AS milliseconds {_RACE_LINES}",
+)
+register(
+    "src_12_year_documents",
+    "year total",
+    lambda t: select_years(
+        t.spark.read.schema("MRData struct<total: string>").option("multiLine", True).json(f"{landing.lap_documents(t)}/*"), 0
+    ).select("year", F.col("MRData.total").alias("total")),
+    f"SELECT year(o_orderdate) AS year, count(*) AS total {_RACE_LINES} GROUP BY 1",
+)
 register(
     "src_6_flatten_qualifying",
     "season round driver_slug:text constructor_slug:text number:text position:text q1:double q2:double q3:text",

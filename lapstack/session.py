@@ -8,9 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 GROUP_ROWS = "spark.lapstack.groupRows"
+DOCUMENT_BYTES = "spark.lapstack.documentBytes"
 _TUNED = "spark.lapstack.tuned"
 
 _DEFAULT_GROUP_ROWS = 2_000_000
+_DEFAULT_DOCUMENT_BYTES = 64 << 20
 
 _SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -93,3 +95,8 @@ def group_rows(spark: SparkSession) -> int:
     """Rows one task may sort as a single window group."""
     return int(spark.conf.get(GROUP_ROWS, str(_DEFAULT_GROUP_ROWS)))
 
+
+
+def document_bytes(spark: SparkSession) -> int:
+    """Bytes of a nested document that one task may read whole."""
+    return int(spark.conf.get(DOCUMENT_BYTES, str(_DEFAULT_DOCUMENT_BYTES)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapstack.functions.scalars import FILE_NULL_TEXT
@@ -49,15 +49,28 @@ def read_history(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def largest_file(spark: SparkSession, path: str) -> int:
+    """Bytes of the largest file; contents are not read."""
+    return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+
+
 def read_payload(spark: SparkSession, path: str, endpoint: str, multi_line: bool = True) -> DataFrame:
-    """One nested row per payload document: a file each, or (splittable) a line each."""
+    """One nested row per payload document: a file each, or (splittable) a line each.
+
+    A document that is too large for a task is read by ``documents.split_items`` or ``split_entries``.
+    """
     return spark.read.schema(payload_schema(endpoint)).option("multiLine", multi_line).json(path)
 
 
+def year_of(path: Column) -> Column:
+    """The number that names the folder (``2025`` or ``year=2025``) of a file, NULL where it is no number."""
+    folder = F.regexp_extract(path, r"/(?:year=)?([^/]+)/[^/]+$", 1)
+    return F.when(folder.rlike("^[0-9]+$"), folder.cast("int"))
+
+
 def year_from_path(df: DataFrame) -> DataFrame:
-    """Add ``year``: the number that names the folder (``2025`` or ``year=2025``) of a row's file."""
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/(?:year=)?([^/]+)/[^/]+$", 1)
-    return df.select("*", F.when(folder.rlike("^[0-9]+$"), folder.cast("int")).alias("year"))
+    """Add ``year``, that of a row's file."""
+    return df.select("*", year_of(F.col("_metadata.file_path")).alias("year"))
 
 
 def select_years(df: DataFrame, start_year: int) -> DataFrame:

@@ -28,8 +28,10 @@ def explode_entries(payloads: DataFrame, endpoint: str) -> DataFrame:
     """``year``, position and struct of every entry of the payload's top array.
 
     ``_offset`` is the place of a page's first item in the whole list; only an absent one (merged files) is 0, and
-    one that is no number fails the query.
+    one that is no number fails the query. Entries of documents that were split are there already.
     """
+    if "e" in payloads.columns:
+        return payloads
     given = F.col("MRData.offset")
     wrong = F.raise_error(F.concat(F.lit("not a page offset: "), given)).cast("bigint")
     offset = F.when(given.isNull(), F.lit(0)).otherwise(F.coalesce(given.try_cast("bigint"), wrong)).alias("_offset")
@@ -49,6 +51,9 @@ def explode_items(entries: DataFrame, array: str) -> DataFrame:
 
 
 def round_items(payloads: DataFrame, endpoint: str) -> DataFrame:
+    """Items of the entries; those of documents that were split are there already."""
+    if "i" in payloads.columns:
+        return payloads
     return explode_items(explode_entries(payloads, endpoint), ROUND_ENDPOINTS[endpoint])
 
 
