@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from lapstack.operators import rounds
 from lapstack.operators.rounds import PAGE_ITEMS
-from lapstack.plans.models import SILVER_MODELS, Model, build_models
+from lapstack.plans.models import MODELS, SILVER_MODELS, Model, build_models
+from lapstack.plans.rebuild import BY_SEASON, build_changed
 from lapstack.plans.star import RAW
 from lapstack.plans.star_bronze import bronze_tables
 from lapstack.registry import landing
 from lapstack.registry.core import register
 from lapstack.registry.sql import LINE_ORDER
+from lapstack.registry.typed import TYPED
 from lapstack.schemas import BRONZE_COLUMNS
 from lapstack.session import scratch_path
 from lapstack.sources import payloads as p
@@ -23,6 +25,7 @@ from lapstack.sources.sinks import (
     create_layers,
     export_bundle,
     load_table,
+    table_counts,
     write_bronze,
     write_table,
 )
@@ -420,6 +423,55 @@ register(
 )
 
 
+def _changed_seasons(t):
+    """All models built over the bronze tables, then again after the results of one season got other points."""
+    bronze, prefix = _layers(t, "bronze", "layer")
+    tag = prefix + "_"
+    create_layers(t.spark, [f"{tag}silver", f"{tag}marts"], scratch_path(t.spark, "warehouse"))
+    tables = bronze_tables(t)
+    for name in BRONZE_COLUMNS:
+        write_table(tables[name], f"{bronze}.{name}")
+    state = f"{tag}marts.build_inputs"
+    first = build_changed(t.spark, MODELS, bronze, tag, state)
+    season = F.floor(F.col("raceId").cast("bigint") / 100)
+    points = F.when(season == _CHANGED_SEASON, F.lit("1.25")).otherwise(F.col("points"))
+    write_table(tables["results"].withColumn("points", points), f"{bronze}.results")
+    second = build_changed(t.spark, MODELS, bronze, tag, state)
+    said = lambda w: w if isinstance(w, str) else ",".join(map(str, w))
+    runs = [(n, said(first[n]), said(second[n])) for n in MODELS]
+    frame = t.spark.createDataFrame(runs, "table_name string, first string, second string")
+    return frame.join(table_counts({n: t.spark.table(f"{tag}{m.layer}.{n}") for n, m in MODELS.items()}), "table_name")
+
+
+_CHANGED_SEASON = 1995
+_MART_VIEWS = {
+    "race_results_detail": "hub",
+    "championship_standings": "standings",
+    "driver_season_summary": "driver_seasons",
+    "constructor_season_summary": "team_seasons",
+    "driver_career": "driver_careers",
+    "constructor_career": "team_careers",
+    "circuit_stats": "circuit_records",
+    "qualifying_vs_race": "quali_race",
+    "lap_time_analysis": "lap_analysis",
+    "pit_stop_analysis": "pit_analysis",
+}
+_REWRITTEN = {n: str(_CHANGED_SEASON) for n in BY_SEASON} | dict.fromkeys(
+    ("fact_results", "driver_career", "constructor_career", "circuit_stats"), "all"
+)
+register(
+    "snk_4_changed_seasons",
+    "table_name:text first:text second:text row_count",
+    _changed_seasons,
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, 'all' AS first, '{_REWRITTEN.get(n, '')}' AS second, count(*) AS row_count "
+        f"FROM {_MART_VIEWS[n] if n in _MART_VIEWS else '(' + TYPED[n][0] + ')'}"
+        for n in MODELS
+    ),
+    sorted({*_MART_VIEWS.values(), *(v for _, views in TYPED.values() for v in views)}),
+)
+
+
 def _bundle(t):
     """All bronze tables bundled; the qualifying entries read back."""
     root = scratch_path(t.spark, "bundle")
