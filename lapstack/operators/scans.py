@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapstack.session import group_rows, shared_dir, stage
+from lapstack.session import group_rows, stage
 
 _BROADCAST_KEYS = 100_000
 _POSITION_BITS = 33
@@ -116,10 +116,9 @@ def ordered_scan(
 def spread_ties(df: DataFrame) -> DataFrame:
     """Give every row its own ``_tie``, so that copies of a row can be split by range.
 
-    The frame is checkpointed: a task run again must send its rows to the same ranges.
+    The frame is stored: a task run again must send its rows to the same ranges.
     """
-    shared_dir(df.sparkSession)
-    return df.withColumn("_tie", F.monotonically_increasing_id()).checkpoint()
+    return stage(df.withColumn("_tie", F.monotonically_increasing_id()), "ties")
 
 
 def dense_ids(
@@ -128,19 +127,16 @@ def dense_ids(
     """Number the rows ``start + 1, start + 2, ...`` in order, without a global window.
 
     Rows are range-partitioned and sorted; each keeps its partition and its place in it.
-    The frame is checkpointed so both passes see the same layout, and the per-partition
+    The frame is stored so both passes see the same layout, and the per-partition
     offsets (one row per partition) are added back. ``unique`` states that no two rows
     share a place in the order; otherwise copies are told apart first.
     """
-    shared_dir(df.sparkSession)
     if not unique:
         df, order = spread_ties(df), [*order, F.col("_tie").asc()]
     placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id())
-        .checkpoint()
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
     )
+    placed = stage(placed, "places")
     chunk = F.shiftright("_place", _POSITION_BITS)
     position = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     ahead = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -174,10 +170,9 @@ def _chunked_scan(rows, keys, order, scans, profile):
     columns, order = [c for c in rows.columns if c != "_tie"], [*order, F.col("_tie").asc()]
     parts = max(2, math.ceil(2 * profile.hot_rows / profile.limit))
     chunks = (
-        rows.repartitionByRange(parts, *[F.col(k) for k in keys], *order)
-        .withColumn("_chunk", F.spark_partition_id())
-        .checkpoint()
+        rows.repartitionByRange(parts, *[F.col(k) for k in keys], *order).withColumn("_chunk", F.spark_partition_id())
     )
+    chunks = stage(chunks, "chunks")
     within = Window.partitionBy("_chunk", *keys).orderBy(*order)
     work = chunks.withColumns(
         {"_at": F.row_number().over(within)} | {f"_in_{name}": _local(scan, within) for name, scan in scans.items()}

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lapstack.operators.bitmaps import Link, lost_keys, rows_with_lost_keys
 from lapstack.operators.groups import union_all
 from lapstack.schemas import (
     BRONZE_COLUMNS,
@@ -17,6 +18,7 @@ from lapstack.schemas import (
     SOURCE_VALUES,
     UNIQUE_COLUMNS,
 )
+from lapstack.session import stage
 
 REPORT = "check string, table_name string, column_name string, violations bigint, passed boolean"
 
@@ -72,6 +74,20 @@ def foreign_key(df: DataFrame, table: str, column: str, parent: DataFrame, paren
     return _report(orphans.agg(F.sum("_n").alias("violations")), "foreign_key", table, column)
 
 
+def foreign_keys(tables: Mapping[str, DataFrame], links: Sequence[Link]) -> DataFrame:
+    """Rows of every foreign key whose parent is missing, all keys of all tables from one pass over each."""
+    lost = lost_keys(tables, links).groupBy("child", "column").agg(F.sum("n").alias("n"))
+    spark = next(iter(tables.values())).sparkSession
+    named = spark.createDataFrame([(x.child, x.column) for x in links], "child string, column string")
+    return named.join(lost, ["child", "column"], "left").select(
+        F.lit("foreign_key").alias("check"),
+        F.col("child").alias("table_name"),
+        F.col("column").alias("column_name"),
+        F.coalesce("n", F.lit(0)).alias("violations"),
+        F.col("n").isNull().alias("passed"),
+    )
+
+
 def source_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("source").agg(F.count(F.lit(1)).alias("row_count"))
 
@@ -124,6 +140,63 @@ def declared_rules(
     return union_all(parts)
 
 
+def key_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``name``, ``key`` (text) and ``n`` for the non-NULL values of all columns: one pass, one shuffle; stored."""
+    pairs = [F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("string").alias("key")) for c in columns]
+    rows = df.select(F.explode(F.array(*pairs)).alias("x")).select("x.*").filter("key IS NOT NULL")
+    return stage(rows.groupBy("name", "key").agg(F.count(F.lit(1)).alias("n")), "keys")
+
+
+def written_and_checked(
+    tables: Mapping[str, DataFrame],
+    write: Callable[[str, DataFrame], DataFrame],
+    uniques: Mapping[str, Sequence[str]] = UNIQUE_COLUMNS,
+    not_nulls: Mapping[str, Sequence[str]] = NOT_NULL_COLUMNS,
+    relationships: Sequence[tuple[str, str, str]] = RELATIONSHIPS,
+    sources: Sequence[str] = (),
+) -> DataFrame:
+    """The report of all declared rules, and of row counts and known sources, for tables as they are written.
+
+    ``write(name, rows)`` stores a table and gives it back to be read. NULLs, rows and sources are counted while the
+    rows pass to the writer. The keys of a table, its own and those of others, are then counted in one shuffle, and
+    relationships are told from these counts: a table is read once more at most. ``sources`` names the tables whose
+    lineage is checked.
+    """
+    columns: dict[str, set[str]] = {}
+    for t, c in [(t, c) for t, cs in uniques.items() for c in cs] + [x for t, c, p in relationships for x in ((t, c), (p, c))]:
+        if t in tables:
+            columns.setdefault(t, set()).add(c)
+    lines: list[tuple[str, str, str, int]] = []
+    counts: dict[str, DataFrame] = {}
+    for name, df in tables.items():
+        seen = Observation()
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        metrics += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in not_nulls.get(name, ())]
+        if name in sources:
+            metrics.append(F.count_if(F.col("source").isNotNull() & ~F.col("source").isin(*SOURCE_VALUES)).alias("bad_source"))
+        stored = write(name, df.observe(seen, *metrics))
+        found = seen.get
+        lines.append(("row_count", name, "", 0 if found["rows"] else 1))
+        lines += [("not_null", name, c, found[f"null_{c}"]) for c in not_nulls.get(name, ())]
+        if name in sources:
+            lines.append(("accepted_source", name, "source", found["bad_source"]))
+        if name in columns:
+            counts[name] = key_counts(stored, sorted(columns[name]))
+    spark = next(iter(tables.values())).sparkSession
+    told = spark.createDataFrame([(*x, x[3] == 0) for x in lines], REPORT)
+    parts = [told]
+    for t, cs in uniques.items():
+        for c in cs if t in counts else ():
+            repeated = counts[t].filter((F.col("name") == c) & (F.col("n") > 1))
+            parts.append(_report(repeated.agg(F.count(F.lit(1)).alias("violations")), "unique", t, c))
+    for t, c, p in relationships:
+        if t in counts and p in counts:
+            known = counts[p].filter(F.col("name") == c).select("key")
+            lost = counts[t].filter(F.col("name") == c).join(known, "key", "left_anti")
+            parts.append(_report(lost.agg(F.sum("n").alias("violations")), "relationship", t, c))
+    return union_all(parts)
+
+
 def violating(df: DataFrame, invariant: Column) -> DataFrame:
     """Rows for which the invariant is not true; unknown is not a violation."""
     return df.filter(~invariant)
@@ -146,19 +219,9 @@ def hub_orphans(
     hub: DataFrame, drivers: DataFrame, constructors: DataFrame, circuits: DataFrame, races: DataFrame
 ) -> DataFrame:
     """Keys of hub rows that lack a driver, constructor, circuit or race."""
-    checked = hub.select("race_driver_key", "driver_id", "constructor_id", "circuit_id", "race_id")
-    lost = F.lit(False)
-    for parent, key in (
-        (drivers, "driver_id"),
-        (constructors, "constructor_id"),
-        (circuits, "circuit_id"),
-        (races, "race_id"),
-    ):
-        # the distinct keys meet the parent; the hub only meets the few without one
-        unknown = hub.select(key).distinct().join(parent.select(key), key, "left_anti")
-        checked = checked.join(unknown.withColumn(f"_lost_{key}", F.lit(True)), key, "left")
-        lost = lost | F.col(key).isNull() | F.col(f"_lost_{key}").isNotNull()
-    return checked.filter(lost).select("race_driver_key")
+    parents = {"driver_id": drivers, "constructor_id": constructors, "circuit_id": circuits, "race_id": races}
+    keyed = {key: (parent, key) for key, parent in parents.items()}
+    return rows_with_lost_keys(hub.select("race_driver_key", *parents), keyed, null_is_lost=True).select("race_driver_key")
 
 
 def size_and_lineage(df: DataFrame, table: str, minimum: int = 0) -> DataFrame:
@@ -183,7 +246,7 @@ def size_and_lineage(df: DataFrame, table: str, minimum: int = 0) -> DataFrame:
 def bronze_report(
     tables: Mapping[str, DataFrame],
     keys: Mapping[str, str] = ID_COLUMNS,
-    foreign_keys: Sequence[tuple[str, str, str]] = BRONZE_FOREIGN_KEYS,
+    foreign_keys_of: Sequence[tuple[str, str, str]] = BRONZE_FOREIGN_KEYS,
     minimum: int = 0,
 ) -> DataFrame:
     """Row counts, primary keys, foreign keys and lineage of the bronze tables."""
@@ -193,11 +256,11 @@ def bronze_report(
         for t, df in tables.items()
     ]
     parts += [primary_key(tables[t], t, k) for t, k in keys.items() if t in tables]
-    parts += [
-        foreign_key(tables[t], t, c, tables[parent], keys[parent])
-        for t, c, parent in foreign_keys
-        if t in tables and parent in tables
+    links = [
+        Link(t, c, tables[parent], keys[parent]) for t, c, parent in foreign_keys_of if t in tables and parent in tables
     ]
+    if links:
+        parts.append(foreign_keys({t: tables[t] for t in {x.child for x in links}}, links))
     return union_all(parts)
 
 

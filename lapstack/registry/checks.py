@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lapstack.operators.bitmaps import Link
 from lapstack.operators.groups import union_all
 from lapstack.plans import quality
+from lapstack.plans.silver import silver_table
+from lapstack.plans.star import RAW
 from lapstack.plans.star_bronze import bronze_tables
 from lapstack.registry.core import register
 from lapstack.registry.sources import _layers
@@ -18,7 +21,8 @@ from lapstack.schemas import (
     SILVER_FIELDS,
     UNIQUE_COLUMNS,
 )
-from lapstack.sources.sinks import write_table
+from lapstack.session import scratch_path
+from lapstack.sources.sinks import table_counts
 
 REPORT = "check:text table_name:text column_name:text violations passed:flag"
 
@@ -45,22 +49,28 @@ def _lines(*parts: str) -> str:
 
 
 def _exists(t):
+    """All supplied tables as tables of a database over the files, and one that is not there."""
     (bronze,) = _layers(t, "bronze")
-    write_table(t.raw("nation"), f"{bronze}.nation")
-    report = quality.tables_exist(t.spark, [f"{bronze}.nation", f"{bronze}.constructor_results"])
-    # counted against the table itself, so the check reads what it found
-    rows = t.spark.table(f"{bronze}.nation").agg(F.count(F.lit(1)).alias("rows_found"))
+    for name in RAW:
+        t.spark.sql(f"CREATE TABLE {bronze}.{name} USING parquet LOCATION '{t.sf_dir}/{name}.parquet'")
+    names = [*RAW, "constructor_results"]
+    report = quality.tables_exist(t.spark, [f"{bronze}.{n}" for n in names])
+    # counted against the tables themselves, so the check reads what it found
+    rows = table_counts({n: t.spark.table(f"{bronze}.{n}") for n in RAW}).withColumnRenamed("row_count", "rows_found")
     named = report.withColumn("table_name", F.element_at(F.split("table_name", "[.]"), -1))
-    return named.join(rows.withColumn("table_name", F.lit("nation")), "table_name", "left")
+    return named.join(rows, "table_name", "left")
 
 
 register(
     "dq_1_table_exists",
     REPORT + " rows_found",
     _exists,
-    "SELECT 'table_exists' AS \"check\", 'nation' AS table_name, '' AS column_name, 0 AS violations, true AS passed, "
-    "count(*) AS rows_found FROM nation UNION ALL "
-    "SELECT 'table_exists', 'constructor_results', '', 1, false, NULL",
+    " UNION ALL ".join(
+        f"SELECT 'table_exists' AS \"check\", '{n}' AS table_name, '' AS column_name, 0 AS violations, true AS passed, "
+        f"count(*) AS rows_found FROM {n}"
+        for n in RAW
+    )
+    + " UNION ALL SELECT 'table_exists', 'constructor_results', '', 1, false, NULL",
 )
 _MINIMUM = {"customer": 1, "lineitem": 50_000, "supplier": 1_000_000_000}
 register(
@@ -120,6 +130,19 @@ def _orphans(table: str, column: str, parent: str, key: str, kept: str = "true")
     )
 
 
+def _keys_by_bitmap(t):
+    """The same links, all keys from one pass over each child."""
+    parents = {(p, kept): t.raw(p).filter(kept) for _, _, p, _, kept in _LINKS}
+    links = [Link(n, c, parents[p, kept], k) for n, c, p, k, kept in _LINKS]
+    return quality.foreign_keys({n: t.raw(n) for n, *_ in _LINKS}, links)
+
+
+register(
+    "dq_4_foreign_key_bitmaps",
+    REPORT,
+    _keys_by_bitmap,
+    _lines(*[_line("foreign_key", n, c, _orphans(n, c, p, k, kept)) for n, c, p, k, kept in _LINKS]),
+)
 register(
     "dq_4_foreign_keys",
     REPORT,
@@ -189,29 +212,68 @@ _VIEW_OF = {
     "constructor_career": "team_careers",
     "circuit_stats": "circuit_records",
 }
+# tables that the star schema lacks, as typed from the bronze ones
+_TYPED_ONLY = ("dim_seasons", "fact_driver_standings", "fact_constructor_standings")
+_VIEW_OF |= {n: f"({TYPED[n][0]})" for n in _TYPED_ONLY}
+_CHECKED_VIEWS = sorted({v for n, v in _VIEW_OF.items() if n not in _TYPED_ONLY} | {v for n in _TYPED_ONLY for v in TYPED[n][1]})
+
+
+def _checked(t, names):
+    return {
+        n: silver_table(n, bronze_tables(t)[SILVER_FIELDS[n][0]]) if n in _TYPED_ONLY else t[n] for n in names
+    }
+
+
 _NOT_NULL = {t: c for t, c in NOT_NULL_COLUMNS.items() if t in _VIEW_OF}
 _UNIQUE = {t: c for t, c in UNIQUE_COLUMNS.items() if t in _VIEW_OF}
 _RELATED = [r for r in RELATIONSHIPS if r[0] in _VIEW_OF and r[2] in _VIEW_OF]
 register(
     "dq_6_not_null",
     REPORT,
-    lambda t: quality.declared_rules({n: t[n] for n in _NOT_NULL}, {}, _NOT_NULL, []),
+    lambda t: quality.declared_rules(_checked(t, _NOT_NULL), {}, _NOT_NULL, []),
     _lines(*[_null_lines(n, _VIEW_OF[n], columns) for n, columns in _NOT_NULL.items()]),
-    list(_VIEW_OF.values()),
+    _CHECKED_VIEWS,
 )
 register(
     "dq_6_unique",
     REPORT,
-    lambda t: quality.declared_rules({n: t[n] for n in _UNIQUE}, _UNIQUE, {}, []),
+    lambda t: quality.declared_rules(_checked(t, _UNIQUE), _UNIQUE, {}, []),
     _lines(*[_line("unique", n, c, _repeated(_VIEW_OF[n], c)) for n, columns in _UNIQUE.items() for c in columns]),
-    list(_VIEW_OF.values()),
+    _CHECKED_VIEWS,
 )
 register(
     "dq_6_relationships",
     REPORT,
-    lambda t: quality.declared_rules({n: t[n] for n in {x for r in _RELATED for x in (r[0], r[2])}}, {}, {}, _RELATED),
+    lambda t: quality.declared_rules(_checked(t, {x for r in _RELATED for x in (r[0], r[2])}), {}, {}, _RELATED),
     _lines(*[_line("relationship", n, c, _orphans(_VIEW_OF[n], c, _VIEW_OF[p], c)) for n, c, p in _RELATED]),
-    list(_VIEW_OF.values()),
+    _CHECKED_VIEWS,
+)
+
+
+def _while_writing(t):
+    """All 23 typed tables and marts written anew, every rule told from the writes and one count of keys for a table."""
+    root = scratch_path(t.spark, "checked")
+
+    def write(name, rows):
+        rows.write.parquet(f"{root}/{name}")
+        return t.spark.read.schema(rows.schema).parquet(f"{root}/{name}")
+
+    return quality.written_and_checked(_checked(t, _VIEW_OF), write, _UNIQUE, _NOT_NULL, _RELATED, _SOURCED)
+
+
+_SOURCED = sorted(n for n in _VIEW_OF if n.startswith("fact_"))
+register(
+    "dq_6_while_writing",
+    REPORT,
+    _while_writing,
+    _lines(
+        *[_line("row_count", n, "", f"SELECT (count(*) = 0)::INT FROM {v}") for n, v in _VIEW_OF.items()],
+        *[_null_lines(n, _VIEW_OF[n], columns) for n, columns in _NOT_NULL.items()],
+        *[_line("unique", n, c, _repeated(_VIEW_OF[n], c)) for n, columns in _UNIQUE.items() for c in columns],
+        *[_line("relationship", n, c, _orphans(_VIEW_OF[n], c, _VIEW_OF[p], c)) for n, c, p in _RELATED],
+        *[_line("accepted_source", n, "source", f"SELECT count(*) FILTER (source NOT IN ('historical', 'api')) FROM {_VIEW_OF[n]}") for n in _SOURCED],
+    ),
+    _CHECKED_VIEWS,
 )
 _BROKEN = "total_podiums < 100 OR races_hosted < seasons_hosted OR first_season > last_season OR unique_drivers > 50"
 register(

@@ -79,9 +79,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute a small frame once, into the shared folder, for several readers."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Compute a small frame once, into the shared folder, for several readers and for Spark's size checks."""
+    return stage(df, "settled")
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
