@@ -38,10 +38,19 @@ def _hadoop_path(spark: SparkSession, path: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, at = _hadoop_path(spark, path)
+    return files.exists(at)
+
+
+def batch_name(spark: SparkSession, batch_id: int) -> str:
+    """A micro-batch by its query and number; to be asked for while the batch is taken in."""
+    return f"{spark.sparkContext.getLocalProperty(_QUERY_ID)}-{batch_id}"
+
+
 def stored_items(spark: SparkSession, store: str, seasons: list[int] | None = None) -> DataFrame:
     """All landed items, of the given seasons (only their folders are read)."""
-    files, path = _hadoop_path(spark, store)
-    if not files.exists(path):
+    if not path_exists(spark, store):
         return spark.createDataFrame([], STORED)
     rows = spark.read.schema(STORED).parquet(store)
     return rows if seasons is None else rows.filter(F.col("season").isin(seasons))
