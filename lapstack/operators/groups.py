@@ -71,6 +71,12 @@ def distinct_list(df: DataFrame, keys: Sequence[str], value: str, name: str, sep
     return pairs.groupBy(*keys).agg(listed.alias(name))
 
 
+def distinct_rows(df: DataFrame, keys: Sequence[str], value: str, place: str = "place") -> DataFrame:
+    """The sorted distinct values of a group, a row each with its place: the list of any length, never one value."""
+    pairs = df.select(*keys, value).filter(F.col(value).isNotNull()).distinct()
+    return ordered_scan(pairs, keys, [F.col(value).asc()], {place: row_number()})
+
+
 def pivot_matrix(
     df: DataFrame, row_keys: Sequence[str], column: str, columns: Sequence, value: str, prefix: str = ""
 ) -> DataFrame:

@@ -19,7 +19,7 @@ from lapstack.functions.scalars import (
     full_name,
     surrogate_key,
 )
-from lapstack.operators.groups import best_per_key, distinct_list, rank_with_gap, with_group_stats
+from lapstack.operators.groups import best_per_key, distinct_list, distinct_rows, rank_with_gap, with_group_stats
 from lapstack.operators.scans import ordered_scan, previous, profile_groups, row_number, running_sum
 from lapstack.schemas import STATUS_FINISHED
 
@@ -359,6 +359,11 @@ def _career(hub: DataFrame, entity: str, other: str, other_name: str, counted: s
     return totals.join(counts, entity).join(distinct_list(partners, [entity], other_name, listed), entity)
 
 
+def career_partners(hub: DataFrame, entity: str, other_name: str) -> DataFrame:
+    """The names a career lists (``teams``, ``drivers``) as rows of entity, place and name, for careers of any length."""
+    return distinct_rows(hub.select(entity, other_name), [entity], other_name)
+
+
 def driver_career(hub: DataFrame, drivers: DataFrame, summary: DataFrame) -> DataFrame:
     career = _career(hub, "driver_id", "constructor_id", "constructor_name", "teams_raced_for", "teams")
     who = _driver_columns(drivers, F.col("code").alias("driver_code"), "nationality", "date_of_birth", "source")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from lapstack.operators.keys import (
     append_ids,
     append_missing,
+    last_per_key,
     lookup_or_fail,
     max_id,
     new_keys,
@@ -21,16 +23,17 @@ from lapstack.schemas import BRONZE_COLUMNS, FIRST_API_YEAR, ID_COLUMNS, NATURAL
 from lapstack.session import document_bytes, stage
 from lapstack.sources import payloads as p
 from lapstack.sources.documents import split_entries, split_items
-from lapstack.sources.files import largest_file, read_history, read_payload, read_year_payloads
+from lapstack.sources.files import BY_YEAR, in_file_order, largest_file, read_history, read_payload, read_year_payloads
 from lapstack.sources.sinks import bronze_layout, write_bronze
 
 SEEN = ["year", "_rank", "_entry", "_item", "_part"]
 
 # Order in which a year's endpoints are worked through; ids follow it.
 ENDPOINT_ORDER = (
-    "status drivers circuits constructors races results qualifying sprint laps pitstops "
-    "driverstandings constructorstandings"
-).split()
+    "status", "drivers", "circuits", "constructors", "races", "results", "qualifying", "sprint", "laps", "pitstops",
+    "driverstandings", "constructorstandings",
+)
+
 
 _SLUGS = {"drivers": "driver_slug", "constructors": "constructor_slug", "status": "status_slug"}
 
@@ -50,18 +53,23 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def landed_documents(spark: SparkSession, api_dir: str, endpoint: str, start_year: int) -> DataFrame:
+def _last_ids(spark: SparkSession, raw_dir: str, bronze: dict[str, DataFrame], table: str, keys: list[str]) -> DataFrame:
+    """One id for each key: that of its last row in the history's file; keys of later rows are none of the history's."""
+    id_column = ID_COLUMNS[table]
+    known = last_per_key(in_file_order(spark, f"{raw_dir}/{table}.csv", [*keys, id_column]), keys, id_column, "_place")
+    return known.unionByName(bronze[table].filter("source = 'api'").select(*keys, id_column))
+
+
+def landed_documents(spark: SparkSession, api_dir: str, endpoint: str, start_year: int, layout: str = BY_YEAR) -> DataFrame:
     """An endpoint's year documents: whole while they are small, else their items or entries, read by many tasks."""
-    path = f"{api_dir}/*/{endpoint}.json"
+    path = layout.format(root=api_dir, endpoint=endpoint)
     if largest_file(spark, path) <= document_bytes(spark):
-        return read_year_payloads(spark, api_dir, endpoint, start_year)
+        return read_year_payloads(spark, api_dir, endpoint, start_year, layout)
     split = split_items if endpoint in ROUND_ENDPOINTS else split_entries
     return split(spark, path, endpoint, start_year)
 
 
-def _facts(spark: SparkSession, api_dir: str, start_year: int) -> dict[str, DataFrame]:
-    def landed(endpoint: str) -> DataFrame:
-        return landed_documents(spark, api_dir, endpoint, start_year)
+def _facts(landed: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
 
     flat = {
         "results": p.results(landed("results")),
@@ -105,11 +113,15 @@ def _resolve(history: DataFrame, table: str, mentions: DataFrame) -> DataFrame:
 
 
 def normalise(
-    spark: SparkSession, raw_dir: str, api_dir: str, start_year: int = FIRST_API_YEAR
+    spark: SparkSession, raw_dir: str, api_dir: str, start_year: int = FIRST_API_YEAR, layout: str = BY_YEAR
 ) -> dict[str, DataFrame]:
-    """All bronze tables from landed files."""
+    """All bronze tables from landed files; ``layout`` says where the year documents lie."""
+
+    def landed(endpoint: str) -> DataFrame:
+        return landed_documents(spark, api_dir, endpoint, start_year, layout)
+
     history = read_history(spark, raw_dir)
-    facts = _facts(spark, api_dir, start_year)
+    facts = _facts(landed)
     bronze: dict[str, DataFrame] = {}
 
     seasons = (
@@ -125,9 +137,6 @@ def normalise(
     status_mentions = _mention(statuses, "status", [F.col("s.status").alias("status")])
     bronze["status"] = _resolve(history["status"], "status", _entity_mentions("status", [status_mentions], facts))
 
-    def landed(endpoint: str) -> DataFrame:
-        return landed_documents(spark, api_dir, endpoint, start_year)
-
     for table, flatten in (("drivers", p.drivers), ("constructors", p.constructors)):
         flat = flatten(landed(table))
         own = [c for c in flat.columns if c not in ("year", "_entry")]
@@ -150,29 +159,27 @@ def normalise(
         _entity_mentions("circuits", [_mention(circuits, "circuits", own), race_circuits], facts),
     )
     numbered = dense_ids(fresh_races, race_order, "raceId", start=max_id(history["races"], "raceId"), unique=True)
-    # history comes first in every bronze table, so these places follow the order of the files
-    place = F.monotonically_increasing_id().alias("_place")
-    circuit_ids = bronze["circuits"].select(F.col("circuitRef"), "circuitId", place)
+    circuit_ids = _last_ids(spark, raw_dir, bronze, "circuits", ["circuitRef"])
     api_races = lookup_or_fail(
-        numbered.withColumn("circuitRef", F.col("circuit.circuitId")), circuit_ids, ["circuitRef"], "circuitId", "_place"
+        numbered.withColumn("circuitRef", F.col("circuit.circuitId")), circuit_ids, ["circuitRef"], "circuitId"
     ).withColumn("year", F.col("season").cast("string"))
     bronze["races"] = with_lineage(
         history["races"], bronze_layout(api_races, BRONZE_COLUMNS["races"]).drop("source")
     )
 
-    race_ids = bronze["races"].select(
-        F.col("year").cast("int").alias("season"), F.col("round").cast("int").alias("round"), "raceId", place
+    race_ids = _last_ids(spark, raw_dir, bronze, "races", ["year", "round"]).select(
+        F.col("year").cast("int").alias("season"), F.col("round").cast("int").alias("round"), "raceId"
     )
     links = {
-        slug: bronze[table].select(F.col(NATURAL_KEYS[table]).alias(slug), ID_COLUMNS[table], place)
+        slug: _last_ids(spark, raw_dir, bronze, table, [NATURAL_KEYS[table]]).withColumnRenamed(NATURAL_KEYS[table], slug)
         for table, slug in _SLUGS.items()
     }
     order = [F.col(c).asc() for c in p.ORDINALS]
     for endpoint, table in _FACT_TABLES.items():
-        rows = lookup_or_fail(facts[endpoint], race_ids, ["season", "round"], "raceId", "_place")
+        rows = lookup_or_fail(facts[endpoint], race_ids, ["season", "round"], "raceId")
         for entity, slug in _SLUGS.items():
             if slug in rows.columns:
-                rows = lookup_or_fail(rows, links[slug], [slug], ID_COLUMNS[entity], "_place")
+                rows = lookup_or_fail(rows, links[slug], [slug], ID_COLUMNS[entity])
         if table in ID_COLUMNS:
             rows = append_ids(history[table], rows, ID_COLUMNS[table], order, unique=True)
         bronze[table] = with_lineage(

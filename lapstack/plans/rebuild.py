@@ -22,8 +22,15 @@ from lapstack.sources.sinks import write_table
 STATE = "model string, input string, unit string, n bigint, digest string"
 #: Marts whose rows of a season need that season's rows of their inputs only.
 BY_SEASON = frozenset(
-    "race_results_detail championship_standings driver_season_summary constructor_season_summary qualifying_vs_race "
-    "lap_time_analysis pit_stop_analysis".split()
+    {
+        "race_results_detail",
+        "championship_standings",
+        "driver_season_summary",
+        "constructor_season_summary",
+        "qualifying_vs_race",
+        "lap_time_analysis",
+        "pit_stop_analysis",
+    }
 )
 _KEYS = {"dim_drivers": "driver_id", "dim_constructors": "constructor_id", "dim_circuits": "circuit_id", "dim_status": "status_id"}
 _WHOLE = ""

@@ -44,7 +44,7 @@ def _lineage():
 
 
 def _entry_id():
-    return F.col("race_id") * F.lit(10_000_000_000) + F.col("driver_id")
+    return F.col("race_id") * F.lit(1_000_000_000_000) + F.col("driver_id")
 
 
 def entries(orders: DataFrame, customer: DataFrame) -> DataFrame:

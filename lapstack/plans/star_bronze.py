@@ -81,7 +81,7 @@ def bronze_tables(t: Mapping[str, DataFrame]) -> BronzeTables:
         sizes = t["entries"].groupBy("race_id", "constructor_id", "source").agg(F.count(F.lit(1)).alias("_n"))
         points = F.concat(_text(F.col("_n") % 500), F.lit(".00"))
         standing = _standing(points, F.col("_n") % 20 + 1, F.col("_n") % 5)
-        key = F.col("race_id") * F.lit(10_000_000_000) + F.col("constructor_id")
+        key = F.col("race_id") * F.lit(1_000_000_000_000) + F.col("constructor_id")
         return sizes.select(
             _text(key).alias("constructorStandingsId"),
             _text("race_id").alias("raceId"),
@@ -220,7 +220,7 @@ def bronze_tables(t: Mapping[str, DataFrame]) -> BronzeTables:
         "driver_standings": made(
             "entries",
             {
-                "driverStandingsId": _text(F.col("race_id") * F.lit(10_000_000_000) + F.col("driver_id")),
+                "driverStandingsId": _text(F.col("race_id") * F.lit(1_000_000_000_000) + F.col("driver_id")),
                 "raceId": _text("race_id"),
                 "driverId": _text("driver_id"),
                 **_standing(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["sources", "keys", "marts", "relational", "typed", "scalars", "serving", "checks", "stream"]
+_MODULES = ["sources", "bronze", "keys", "marts", "relational", "typed", "scalars", "serving", "checks", "stream"]
 
 
 def load():

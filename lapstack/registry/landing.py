@@ -130,7 +130,7 @@ def _write_payloads(endpoint: str):
         rows = lines.select(*RACE, *extra, *LINE_COLUMNS, *[c.alias(f"_{n}") for n, c in fields.items()])
         rows = rows.withColumn("item", F.struct(*[F.col(f"_{n}").alias(n) for n in fields]))
         pages = nest_rounds(rows, [*RACE, *extra], line_order(), ["item"])
-        page = F.col("page") + (F.col("sheet") * 1_000_000 if extra else F.lit(0))
+        page = F.col("page") + (F.col("sheet") * F.lit(1_000_000_000_000) if extra else F.lit(0))
         entry = F.struct(*RACE, F.transform("items", lambda i: i["item"]).alias(key))
         table, entries = ("StandingsTable", "StandingsLists") if "standings" in endpoint else ("RaceTable", "Races")
         document = F.struct(

@@ -308,6 +308,15 @@ register(
     "FROM hub GROUP BY driver_id",
     ["hub"],
 )
+for _entity, _name in (("driver_id", "constructor_name"), ("constructor_id", "driver_name")):
+    register(
+        f"agg_5_{_name}_rows",
+        f"{_entity} place {_name}:text",
+        lambda t, entity=_entity, name=_name: marts.career_partners(t["race_results_detail"], entity, name),
+        f"SELECT {_entity}, row_number() OVER (PARTITION BY {_entity} ORDER BY {_name}) AS place, {_name} "
+        f"FROM (SELECT DISTINCT {_entity}, {_name} FROM hub WHERE {_name} IS NOT NULL)",
+        ["hub"],
+    )
 register(
     "agg_6_exact_averages",
     "driver_id avg_place:double avg_grid:double",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lapstack.functions import scalars as s
+from lapstack.plans.silver import LOADED_AT, silver_table
+from lapstack.plans.star_bronze import bronze_tables
 from lapstack.registry.core import register
 from lapstack.registry.sql import key_of
 
@@ -133,13 +135,20 @@ register(
     ),
     "SELECT event_id, strftime(ts, '%H:%M:%S') AS clock FROM events",
 )
+
+
+def _stamped(t, loaded_at):
+    return silver_table("dim_races", bronze_tables(t)["races"], loaded_at).select("race_id", LOADED_AT)
+
+
 register(
     "scl_10_load_stamp",
-    "o_orderkey stamped:flag",
-    lambda t: t.raw("orders")
-    .withColumn("dbt_loaded_at", F.current_timestamp())
-    .select("o_orderkey", F.col("dbt_loaded_at").isNotNull().alias("stamped")),
-    "SELECT o_orderkey, current_timestamp IS NOT NULL AS stamped FROM orders",
+    "race_id stamp:text stamped:flag",
+    lambda t: _stamped(t, F.lit("2031-02-03 04:05:06").cast("timestamp")).join(
+        _stamped(t, None).select("race_id", (F.col(LOADED_AT) <= F.current_timestamp()).alias("stamped")), "race_id"
+    ).select("race_id", F.date_format(LOADED_AT, "yyyy-MM-dd HH:mm:ss").alias("stamp"), "stamped"),
+    "SELECT race_id, '2031-02-03 04:05:06' AS stamp, true AS stamped FROM races",
+    ["races"],
 )
 register(
     "scl_11_round",

@@ -96,6 +96,21 @@ _RESULT_SQL = (
     f"CASE WHEN l_linenumber <= 3 THEN l_partkey END AS fastestLap {_RACE_LINES}"
 )
 register("src_4_flatten_results", _RESULT_COLUMNS, lambda t: p.results(landing.payloads(t, "results")), _RESULT_SQL)
+
+
+def _far_results(t):
+    """The same pages, each 3,000,000,000 items further on."""
+    far = (F.col("MRData.offset").cast("bigint") + F.lit(3_000_000_000)).cast("string")
+    return p.results(landing.payloads(t, "results").withColumn("MRData", F.col("MRData").withField("offset", far)))
+
+
+register(
+    "src_4_large_offsets",
+    "season round driver_slug:text constructor_slug:text number:text positionOrder",
+    _far_results,
+    "SELECT year(o_orderdate) AS season, month(o_orderdate) AS round, o_custkey AS driver_slug, l_suppkey AS "
+    f"constructor_slug, l_partkey AS number, {_ORDINAL} + 3000000000 AS \"positionOrder\" {_RACE_LINES}",
+)
 register(
     "src_4_flatten_sprint",
     _RESULT_COLUMNS,
@@ -398,6 +413,33 @@ register(
 )
 
 
+def _wide_nulls(t):
+    """Customers with texts that the wider convention takes as missing, loaded by both conventions."""
+    (bronze,) = _layers(t, "bronze")
+    path = scratch_path(t.spark, "customers")
+    texts = F.array(*[F.lit(x) for x in _MISSING])
+    comment = F.when(F.col("c_custkey") % 3 == 0, F.get(texts, (F.col("c_custkey") % len(_MISSING)).cast("int")))
+    rows = t.raw("customer").select("c_custkey", F.coalesce(comment, F.col("c_mktsegment")).alias("c_comment"), F.lit("api").alias("source"))
+    write_bronze(rows, path, ["c_custkey", "c_comment"])
+    for wide in (False, True):
+        load_table(t.spark, path, f"{bronze}.customers_{wide}", ["c_custkey", "c_comment"], wide_nulls=wide)
+    plain, wide = (t.spark.table(f"{bronze}.customers_{w}") for w in (False, True))
+    return plain.select("c_custkey", F.col("c_comment").alias("plain")).join(
+        wide.select("c_custkey", F.col("c_comment").alias("wide")), "c_custkey"
+    )
+
+
+_MISSING = ["NA", "None", "nan", "#N/A N/A", "n/a", "NULL", "Nan", "none"]
+register(
+    "snk_2_wide_nulls",
+    "c_custkey plain:text wide:text",
+    _wide_nulls,
+    "SELECT c_custkey, nullif(c, 'NULL') AS plain, CASE WHEN c NOT IN ('NA', 'None', 'nan', '#N/A N/A', 'n/a', 'NULL') "
+    "THEN c END AS wide FROM (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN "
+    f"(CAST({_MISSING} AS VARCHAR[]))[c_custkey % {len(_MISSING)} + 1] ELSE c_mktsegment END AS c FROM customer)",
+)
+
+
 def _materialised(t):
     """Two models of different layers written as tables, the second read from the first."""
     bronze, prefix = _layers(t, "bronze", "layer")

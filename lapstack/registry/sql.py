@@ -48,20 +48,20 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN season < 2000 THEN 'historical' ELSE 'api' END AS source
         FROM entry_placed"""),
     "results": (("entries",), """
-        SELECT (race_id * 10000000000 + driver_id) * 2 + second AS result_id, race_id, driver_id, constructor_id,
+        SELECT (race_id * 1000000000000 + driver_id) * 2 + second AS result_id, race_id, driver_id, constructor_id,
                status_id, grid_position, CASE WHEN second = 0 THEN finish_position END AS finish_position,
                points - second AS points, CASE WHEN second = 0 THEN laps_completed ELSE 0 END AS laps_completed,
                round AS fastest_lap_number, driver_id % 20 + 1 AS fastest_lap_rank,
                '1:' || lpad(CAST(driver_id % 60 AS VARCHAR), 2, '0') || '.000' AS fastest_lap_time, source
         FROM entries, (VALUES (0), (1)) s(second) WHERE second = 0 OR driver_id % 7 = 0"""),
     "quali": (("entries",), """
-        SELECT race_id * 10000000000 + driver_id AS qualify_id, race_id, driver_id, constructor_id,
+        SELECT race_id * 1000000000000 + driver_id AS qualify_id, race_id, driver_id, constructor_id,
                grid_position AS qualifying_position,
                '1:1' || CAST(driver_id % 10 AS VARCHAR) || '.5' AS q1_time,
                CAST(NULL AS VARCHAR) AS q2_time, CAST(NULL AS VARCHAR) AS q3_time, source
         FROM entries WHERE driver_id % 5 <> 0"""),
     "sprints": (("entries",), """
-        SELECT race_id * 10000000000 + driver_id AS sprint_result_id, race_id, driver_id, constructor_id, status_id,
+        SELECT race_id * 1000000000000 + driver_id AS sprint_result_id, race_id, driver_id, constructor_id, status_id,
                grid_position, finish_position, CAST(driver_id % 9 AS DECIMAL(18,2)) AS points, source
         FROM entries WHERE round IN (4, 8, 12)"""),
     "lap_lines": ((), f"""

@@ -9,7 +9,7 @@ from lapstack.plans.silver import classify_status, silver_table
 from lapstack.plans.star_bronze import bronze_tables
 from lapstack.registry.core import register
 from lapstack.registry.sql import half_up
-from lapstack.schemas import BRONZE_COLUMNS, SILVER_FIELDS, STATUS_DEFAULT, STATUS_RULES
+from lapstack.schemas import BRONZE_COLUMNS, SILVER_FIELDS
 from lapstack.session import scratch_path
 from lapstack.sources.files import read_text_csv
 from lapstack.sources.sinks import create_layers, export_bundle, load_warehouse, validate_load, write_bronze
@@ -103,13 +103,13 @@ TYPED: dict[str, tuple[str, list[str]]] = {
         ["pits"],
     ),
     "fact_driver_standings": (
-        "SELECT race_id * 10000000000 + driver_id AS driver_standings_id, race_id, driver_id, "
+        "SELECT race_id * 1000000000000 + driver_id AS driver_standings_id, race_id, driver_id, "
         f"driver_id % 500 + 0.25 AS points, {_STANDING_POSITION} AS championship_position, "
         f"CAST({_STANDING_POSITION} AS VARCHAR) AS position_text, driver_id % 5 AS wins, source FROM entries",
         ["entries"],
     ),
     "fact_constructor_standings": (
-        "SELECT race_id * 10000000000 + constructor_id AS constructor_standings_id, race_id, constructor_id, "
+        "SELECT race_id * 1000000000000 + constructor_id AS constructor_standings_id, race_id, constructor_id, "
         "count(*) % 500 AS points, count(*) % 20 + 1 AS championship_position, "
         "CAST(count(*) % 20 + 1 AS VARCHAR) AS position_text, count(*) % 5 AS wins, source "
         "FROM entries GROUP BY race_id, constructor_id, source",
@@ -130,14 +130,40 @@ _PHRASES = (
     "WHEN 4 THEN 'Did not prequalify ' WHEN 5 THEN 'red flag ' WHEN 6 THEN 'DNPQ ' WHEN 7 THEN '107% rule ' "
     "ELSE 'Oil leak ' END || p_name || ' ' || p_type"
 )
-_RULES_SQL = " ".join(
-    "WHEN " + " OR ".join(f"status ILIKE '{p}'" for p in patterns) + f" THEN '{label}'" for label, patterns in STATUS_RULES
-)
+_CATEGORY_SQL = """CASE
+        WHEN status ILIKE '%finished%' THEN 'Finished'
+        WHEN status ILIKE '%disqualified%' THEN 'Disqualified'
+        WHEN status ILIKE '%excluded%' THEN 'Excluded'
+        WHEN status ILIKE '%withdrawn%' THEN 'Withdrawn'
+        WHEN status ILIKE '%accident%' THEN 'Accident'
+        WHEN status ILIKE '%collision%' THEN 'Collision'
+        WHEN status ILIKE '%mechanical%' THEN 'Mechanical'
+        WHEN status ILIKE '%engine%' THEN 'Engine'
+        WHEN status ILIKE '%gearbox%' THEN 'Gearbox'
+        WHEN status ILIKE '%transmission%' THEN 'Transmission'
+        WHEN status ILIKE '%hydraulics%' THEN 'Hydraulics'
+        WHEN status ILIKE '%electrical%' THEN 'Electrical'
+        WHEN status ILIKE '%brakes%' THEN 'Brakes'
+        WHEN status ILIKE '%suspension%' THEN 'Suspension'
+        WHEN status ILIKE '%tyre%' OR status ILIKE '%tire%' THEN 'Tyre'
+        WHEN status ILIKE '%wheel%' THEN 'Wheel'
+        WHEN status ILIKE '%fuel%' THEN 'Fuel'
+        WHEN status ILIKE '%oil%' THEN 'Oil'
+        WHEN status ILIKE '%overheating%' THEN 'Overheating'
+        WHEN status ILIKE '%fire%' THEN 'Fire'
+        WHEN status ILIKE '%not classified%' THEN 'Not Classified'
+        WHEN status ILIKE '%did not start%' OR status ILIKE '%dns%' THEN 'Did Not Start'
+        WHEN status ILIKE '%did not qualify%' OR status ILIKE '%dnq%' THEN 'Did Not Qualify'
+        WHEN status ILIKE '%did not pre-qualify%' OR status ILIKE '%dnpq%' THEN 'Did Not Pre-Qualify'
+        WHEN status ILIKE '%107%' THEN '107% Rule'
+        WHEN status ILIKE '%suspended%' THEN 'Suspended'
+        WHEN status ILIKE '%red flag%' THEN 'Red Flag'
+        ELSE 'Other' END"""
 register(
     "sil_6_status_classifier",
     "p_partkey status_category:text",
     lambda t: classify_status(t.raw("part").select("p_partkey", F.expr(_PHRASES).alias("status"))),
-    f"SELECT p_partkey, CASE {_RULES_SQL} ELSE '{STATUS_DEFAULT}' END AS status_category "
+    f"SELECT p_partkey, {_CATEGORY_SQL} AS status_category "
     f"FROM (SELECT p_partkey, {_PHRASES} AS status FROM part)",
 )
 

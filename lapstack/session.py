@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -56,7 +58,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without it; it then gets a fresh temporary folder.
+    Only a local session may go without it; it then gets a temporary folder of its own, which goes when Python ends.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -68,14 +70,22 @@ def shared_dir(spark: SparkSession) -> str:
     if current is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="lapstack-", dir="/tmp"))
+        own = tempfile.mkdtemp(prefix="lapstack-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(own)
         current = context.getCheckpointDir()
     return current.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder, in that of the application, that no other run uses."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete what this application has staged; for its end, when no frame over staged rows is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame) -> DataFrame:

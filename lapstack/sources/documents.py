@@ -255,3 +255,20 @@ def write_documents(
     order = [year, "_level", *[h for h in head if h != year], "_kind", "_n"]
     ordered = reduce(DataFrame.unionByName, parts).repartition(year).sortWithinPartitions(*order)
     ordered.select(F.col(year).alias("year"), "_line").write.partitionBy("year").text(path)
+
+
+def write_entries(rows: DataFrame, path: str, endpoint: str, year: str, order: Sequence[str], entry: Column) -> None:
+    """One document for each ``year`` whose top array holds ``entry`` of every row, by ``order`` (a total one)."""
+    table, entries = payload_path(endpoint).split(".")[1:]
+    place = F.struct(*order)
+    lined = stage(rows.select(year, *[o for o in order if o != year], F.to_json(entry).alias("_e")), "entries")
+    years = settle(lined.groupBy(year).agg(F.count(F.lit(1)).cast("string").alias("_total"), F.min(place).alias("_least")))
+    top = F.concat(F.lit('{"MRData":{"total":"'), F.col("_total"), F.lit(f'","{table}":{{"{entries}":['))
+    lined = lined.join(years, year).withColumn("_e", F.concat(F.when(place == F.col("_least"), "").otherwise(","), "_e"))
+    parts = [
+        years.select(year, F.lit(0).alias("_level"), F.lit(None).cast(lined.select(place.alias("p")).schema[0].dataType).alias("_at"), top.alias("_line")),
+        lined.select(year, F.lit(1), place, "_e"),
+        years.select(year, F.lit(2), F.lit(None).cast(lined.select(place.alias("p")).schema[0].dataType), F.lit("]}}}")),
+    ]
+    ordered = reduce(DataFrame.union, parts).repartition(year).sortWithinPartitions(year, "_level", "_at")
+    ordered.select(F.col(year).alias("year"), "_line").write.partitionBy("year").text(path)

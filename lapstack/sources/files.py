@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from lapstack.functions.scalars import FILE_NULL_TEXT
 from lapstack.operators.groups import union_all
 from lapstack.schemas import BRONZE_COLUMNS, payload_schema
+from lapstack.session import stage
 
 # Texts read as missing when a file follows the wider convention.
 WIDE_NULL_TEXTS = (
-    "#N/A #N/A N/A #NA -1.#IND -1.#QNAN -NaN -nan 1.#IND 1.#QNAN <NA> N/A NA NULL NaN None n/a nan null"
-).split()
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 
 def read_text_csv(
@@ -37,18 +39,32 @@ def read_text_csv(
     present = set(found.columns)
     text = {c: F.col(f"`{c}`") if c in present else F.lit(None).cast("string") for c in columns}
     if wide_nulls:
-        text = {c: F.when(~v.isin(WIDE_NULL_TEXTS), v) for c, v in text.items()}
+        text = {c: F.when(~v.isin(*WIDE_NULL_TEXTS), v) for c, v in text.items()}
     return found.select(*[v.alias(c) for c, v in text.items()])
 
 
-def read_history(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
+def read_history(spark: SparkSession, raw_dir: str, wide_nulls: bool = False) -> dict[str, DataFrame]:
     """The historical tables, tagged with their lineage."""
     return {
-        table: read_text_csv(spark, f"{raw_dir}/{table}.csv", columns).withColumn("source", F.lit("historical"))
+        table: read_text_csv(spark, f"{raw_dir}/{table}.csv", columns, wide_nulls).withColumn("source", F.lit("historical"))
         for table, columns in BRONZE_COLUMNS.items()
     }
 
 
+def in_file_order(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """The named columns of a CSV file with ``_place``, that of the row in the file; stored, so that it stays.
+
+    Blocks of a file are read in any order; inside a block rows are numbered as they are read.
+    """
+    order = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    found = spark.read.option("header", True).option("nullValue", FILE_NULL_TEXT).option("escape", '"').csv(path)
+    return stage(found.select(*[F.col(f"`{c}`") for c in columns], order.alias("_place")), "in-file-order")
+
+
 def largest_file(spark: SparkSession, path: str) -> int:
     """Bytes of the largest file; contents are not read."""
     return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
@@ -78,9 +94,15 @@ def select_years(df: DataFrame, start_year: int) -> DataFrame:
     return year_from_path(df).filter(F.col("year") >= start_year)
 
 
-def read_year_payloads(spark: SparkSession, root: str, endpoint: str, start_year: int) -> DataFrame:
+# where year documents lie: a folder for each year, or for each endpoint
+BY_YEAR, BY_ENDPOINT = "{root}/*/{endpoint}.json", "{root}/{endpoint}/*"
+
+
+def read_year_payloads(
+    spark: SparkSession, root: str, endpoint: str, start_year: int, layout: str = BY_YEAR
+) -> DataFrame:
     """An endpoint's payloads of all wanted years, with their ``year``."""
-    return select_years(read_payload(spark, f"{root}/*/{endpoint}.json", endpoint), start_year)
+    return select_years(read_payload(spark, layout.format(root=root, endpoint=endpoint), endpoint), start_year)
 
 
 def completeness_report(

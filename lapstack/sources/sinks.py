@@ -59,16 +59,23 @@ def write_table(df: DataFrame, table: str, mode: str = "replace", partition: str
     writer.saveAsTable(table)
 
 
-def load_table(spark: SparkSession, path: str, table: str, columns: Sequence[str], mode: str = "replace") -> None:
-    """Load one bronze CSV as an all-text table; a failure is raised, never only logged."""
+def load_table(
+    spark: SparkSession, path: str, table: str, columns: Sequence[str], mode: str = "replace", wide_nulls: bool = False
+) -> None:
+    """Load one bronze CSV as an all-text table; a failure is raised, never only logged.
+
+    ``wide_nulls`` takes the texts of the wider convention (``NA``, ``None``, ``nan``, ...) as missing too.
+    """
     from lapstack.sources.files import read_text_csv
 
-    write_table(read_text_csv(spark, path, [*columns, "source"]), table, mode)
+    write_table(read_text_csv(spark, path, [*columns, "source"], wide_nulls), table, mode)
 
 
-def load_warehouse(spark: SparkSession, bronze_dir: str, database: str = "bronze", mode: str = "replace") -> None:
+def load_warehouse(
+    spark: SparkSession, bronze_dir: str, database: str = "bronze", mode: str = "replace", wide_nulls: bool = False
+) -> None:
     for table, columns in BRONZE_COLUMNS.items():
-        load_table(spark, f"{bronze_dir}/{table}", f"{database}.{table}", columns, mode)
+        load_table(spark, f"{bronze_dir}/{table}", f"{database}.{table}", columns, mode, wide_nulls)
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -8,6 +8,8 @@ items, one item per ordinal. ``drop_superseded`` removes folders that hold nothi
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,6 +93,31 @@ def drop_superseded(spark: SparkSession, store: str) -> int:
     return len(old)
 
 
+def fold_season(spark: SparkSession, store: str, season: int) -> int:
+    """Put a season's current items into one folder and delete the folders it had; how many. For seasons that are over.
+
+    Reading the season then meets its current items alone, however many batches brought them. The old folders go after
+    the new one is there, and items that are in both count once, so a run that was interrupted can be run again.
+    """
+    files, path = _hadoop_path(spark, f"{store}/season={season}")
+    old = [f.getPath() for f in files.listStatus(path)] if files.exists(path) else []
+    if len(old) < 2:
+        return 0
+    kept = current_items(spark, store, [season]).withColumn("batch", F.lit(f"folded-{uuid.uuid4().hex}"))
+    columns = [c.split()[0] for c in STORED.split(", ")]
+    (
+        kept.select(*columns)
+        .hint("rebalance", "season")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("season", "batch")
+        .parquet(store)
+    )
+    for folder in old:
+        files.delete(folder, True)
+    return len(old)
+
+
 def run_available(spark: SparkSession, landing: str, store: str, checkpoint: str, files_per_batch: int = 1000) -> None:
     """Take in all files landed so far, then stop."""
     tune(spark)

@@ -5,7 +5,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lapstack.operators import keys, rounds
-from lapstack.streaming.rounds import apply_batch, current_items, drop_superseded, run_available
+from lapstack.streaming.complete import complete_items, given_out, run_complete
+from lapstack.streaming.rounds import apply_batch, current_items, drop_superseded, fold_season, run_available
 
 from conftest import rows
 
@@ -184,3 +185,61 @@ def test_superseded_folders_go(spark, tmp_path):
     once = rows(current_items(spark, store))
     assert drop_superseded(spark, store) == 2
     assert rows(current_items(spark, store)) == once and len(once) == 2
+
+
+def test_a_folded_season_is_one_folder(spark, tmp_path):
+    store = str(tmp_path / "store")
+    schema = "season int, round int, endpoint string, fetch bigint, `offset` bigint, items array<string>"
+    for fetch in (1, 2, 3):
+        landed = spark.createDataFrame([(s, r, "laps", fetch, 0, [f"x{fetch}", "y"]) for s in (31, 32) for r in range(fetch, 4)], schema)
+        apply_batch(spark, store, landed, fetch)
+    once = rows(current_items(spark, store))
+    assert fold_season(spark, store, 31) == 3 and fold_season(spark, store, 31) == 0 and fold_season(spark, store, 99) == 0
+    assert rows(current_items(spark, store)) == once
+    assert len(list((tmp_path / "store" / "season=31").iterdir())) == 1 and len(list((tmp_path / "store" / "season=32").iterdir())) == 3
+    apply_batch(spark, store, spark.createDataFrame([(31, 1, "laps", 1, 0, ["x1", "y"])], schema), 1)  # an old batch once more
+    assert rows(current_items(spark, store)) == once
+
+
+STAMP = "2031-05-01T%02d:00:00Z"
+
+
+def total_page(round_, items, total, hour, offset=0, fetch=1):
+    return page(round_, fetch, items, offset) | {"total": total, "landed_at": STAMP % hour}
+
+
+def test_rounds_are_given_out_once_when_complete(spark, tmp_path):
+    landing, given, progress, store = tmp_path / "landing", str(tmp_path / "given"), str(tmp_path / "progress"), str(tmp_path / "store")
+    seen = []
+
+    def step(name, *pages):
+        _land(landing, name, *pages)
+        run_complete(spark, str(landing), given, progress, delay_seconds=2 * 3600)
+        run_available(spark, str(landing), store, str(tmp_path / "stored"))
+        got = rows(given_out(spark, given), "round", "fetch", "collected", "reported", "complete")
+        new = [r for r in got if r not in seen]
+        assert len(got) == len(seen) + len(new)  # nothing is given out twice
+        seen.extend(new)
+        return new
+
+    first = [
+        total_page(1, ["a", "b"], 2, 1),
+        total_page(2, ["c"], 3, 1),
+        total_page(3, ["e"], 4, 1),
+        total_page(4, [], 0, 1),
+        total_page(5, ["x"], None, 1),
+    ]
+    assert step("a", *first, total_page(1, ["a", "b"], 2, 1)) == [(1, 1, 2, 2, True), (4, 1, 0, 0, True)]
+    # a late page, a page twice, a page of a round that was given out, a second fetch
+    assert step("b", total_page(2, ["d", "e"], 3, 2, 1), total_page(2, ["c"], 3, 2), total_page(1, ["a", "b"], 2, 2)) == [(2, 1, 3, 3, True)]
+    assert step("c", total_page(1, ["z"], 1, 2, fetch=2), total_page(3, ["e"], 4, 2)) == [(1, 2, 1, 1, True)]
+    assert rows(complete_items(spark, store, given), "round", "ordinal", "item") == [(1, 1, "z"), (2, 1, "c"), (2, 2, "d"), (2, 3, "e")]
+    # time passes: what is short is given out as that, and pages after it come too late
+    short = step("d", total_page(9, ["n"], 1, 20))
+    short += step("e", total_page(10, ["n"], 1, 21))
+    assert sorted(short, key=repr) == sorted([(3, 1, 1, 4, False), (5, 1, 1, None, False), (9, 1, 1, 1, True), (10, 1, 1, 1, True)], key=repr)
+    assert step("f", total_page(3, ["f", "g", "h"], 4, 3, 1)) == []
+
+
+def test_a_batch_of_given_rounds_run_again_replaces_itself(spark, tmp_path):
+    assert given_out(spark, str(tmp_path / "none")).count() == 0
