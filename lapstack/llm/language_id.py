@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapstack.llm.common import bounded_batches, text_of, worker_cache
+from lapstack.llm.common import bounded_batches, free_name, text_of, worker_cache
 from lapstack.session import stage
 
 UNKNOWN = "und"
@@ -284,9 +284,7 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
     """
     bounded_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "score")
-    name = "_found"
-    while name in docs.columns:
-        name += "_"
+    name = free_name([*docs.columns, "lang_pred", "score"], "found")
     letter = _has_letter()
     return (
         docs.withColumn(name, language_column(text_of(), model))

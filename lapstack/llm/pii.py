@@ -27,13 +27,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapstack.llm.common import bounded_batches, text_of
+from lapstack.llm.common import bounded_batches, free_name, text_of
 
 KINDS = ("email", "iban", "ipv4", "date", "phone", "ssn", "card", "secret")
 _ROUNDS = 8
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _PATTERN = re.compile(
-    r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z]))"
+    r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,63}(?![A-Za-z]))"
     r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?)(?![A-Za-z0-9]))"
     rf"|(?P<ipv4>(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9]))"
     r"|(?P<date>(?<![0-9])(?:[0-9]{4}([-/.])[0-9]{2}\5[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\6[0-9]{4})(?![0-9]))"
@@ -335,17 +335,19 @@ def pseudonymise(docs: DataFrame, key: bytes) -> DataFrame:
     """The documents with ``text`` pseudonymised and ``found``, a struct with the number of values of each kind.
 
     ``key`` has 16 to 64 bytes. Texts without any value stay as they are, NULL stays NULL and counts none; values that
-    fail their check (a number that is no card, the 31st of June) are left alone. Whole texts are read. Other columns
+    fail their check (a number that is no card, the 31st of June, an address with over 64 characters before its @, which
+    mail does not allow) are left alone. Whole texts are read. Other columns
     are kept, but for one named ``found``, which is replaced; ``n_chars`` stays right, as a pseudonym of an address
     may only differ in length for IPv4 and is then counted anew.
     """
     if not 16 <= len(key) <= 64:
         raise ValueError("a key of 16 to 64 bytes is asked for")
     bounded_batches(docs.sparkSession)
-    done = docs.drop("found").withColumn("_done", pseudonym_column(text_of(), key))
-    out = done.withColumn("found", F.struct(*[F.col(f"_done.{k}").alias(k) for k in KINDS]))
+    name = free_name(docs.columns, "done")
+    done = docs.drop("found").withColumn(name, pseudonym_column(text_of(), key))
+    out = done.withColumn("found", F.struct(*[F.col(name)[k].alias(k) for k in KINDS]))
     # the text itself is compared with what it was only where something was found
-    changed = F.when(F.col("text").isNotNull(), F.col("_done.text"))
+    changed = F.when(F.col("text").isNotNull(), F.col(name)["text"])
     columns = [changed.alias(c) if c == "text" else F.col(c) for c in docs.columns if c != "found"]
     out = out.select(*columns, "found")
     if "n_chars" in docs.columns:

@@ -25,6 +25,7 @@ from lapstack.llm.common import bounded_batches, text_of, worker_cache
 _SPACE = "▁"
 _BASE = 0x9E3779B97F4A7C15  # odd multiplier of the rolling hash
 _WORDS_KEPT = 100_000  # in each of two generations
+_CHARS_AT_ONCE = 1 << 18  # of words that advance together
 _PAIRS_KEPT = 400_000
 _MIX = 0xD6E8FEB86659FD93
 _LEADING = np.uint64(44)
@@ -215,8 +216,9 @@ class Pieces:
             else:
                 self.words[w] = self._bytes([self.id.get(c, self.size + ord(c)) for c in w])
         for group in new.values():
-            for at in range(0, len(group), 4096):
-                part = group[at : at + 4096]
+            step = max(1, min(4096, _CHARS_AT_ONCE // len(group[0])))
+            for at in range(0, len(group), step):
+                part = group[at : at + step]
                 self.words.update(zip(part, self.encode_equal(part)))
         known = self.words
         return [np.frombuffer(b"".join([known[w] for w in words]), "<i4") for words in split]

@@ -1,7 +1,7 @@
 """Sharding by balanced label propagation: linked documents move towards their neighbours' shards under quotas.
 
-The nodes that move are atoms: the copies of a text whose ``doc_id`` falls into one of a fixed number of buckets, so a
-text with a third of all rows is many atoms and no group meets in one task. Atoms of one text are linked. Labels start
+The nodes that move are atoms: the copies of a text that fall into one of a fixed number of buckets, so a text with a
+third of all rows is many atoms and no group meets in one task. Atoms of one text are linked. Labels start
 balanced; in each round every linked atom asks for the shard, with room left, in which its neighbours have most rows,
 provided that is more than where it is. Requests are added up by (from, to, strength, slice), a table whose size does
 not depend on the data, and the driver grants slices, strongest first, while the target shard stays within its quota.
@@ -37,14 +37,18 @@ class Settings:
 
 
 def documents_of(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``size``, ``text_crc32``, the text's hash and the row's bucket; a NULL text has no bytes."""
+    """``doc_id``, ``size``, ``text_crc32``, the text's hash and one of the row; a NULL text has no bytes.
+
+    The place of a row is part of its hash, so that rows of one ``doc_id``, or without any, are dealt out as well; the
+    rows are to be stored.
+    """
     text = text_of()
     return docs.select(
         "doc_id",
         (F.octet_length(text).cast("bigint") + ROW_BYTES).alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.xxhash64(text).alias("text_hash"),
-        F.xxhash64("doc_id", F.lit(17)).alias("row_hash"),
+        F.xxhash64("doc_id", F.monotonically_increasing_id(), F.lit(17)).alias("row_hash"),
     )
 
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapstack.llm.common import bits_of, bounded_batches, connected_components, text_of, with_value_by_key
+from lapstack.llm.common import bits_of, bounded_batches, connected_components, free_name, text_of, with_value_by_key
 from lapstack.session import stage
 
 BITS = 64
@@ -291,22 +291,23 @@ def one_per_class(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataF
     classes are judged in each of them. Classes without any ``doc_id`` stay whole; a row without one goes where its
     class has a document with one.
     """
+    times, print_, root = (free_name(docs.columns, n) for n in ("times", "print", "class"))
     rows = _rows_with_class(docs, shingle, max_bits)
     naming = rows.filter("component_id = doc_id")
     ids = rows.filter("doc_id IS NOT NULL").groupBy("doc_id")
-    stays = ids.agg(F.count(F.lit(1)).alias("_rows"), F.max(F.col("component_id") == F.col("doc_id")).alias("_names"))
-    stays = stage(stays.filter("_names").select("doc_id", "_rows"), "stays")
+    stays = ids.agg(F.count(F.lit(1)).alias(times), F.max(F.col("component_id") == F.col("doc_id")).alias("names"))
+    stays = stage(stays.filter("names").select("doc_id", times), "stays")
     # as many ids as documents stay, so they are shuffled at every size
-    kept = docs.join(stays.hint("merge"), "doc_id", "inner").select(*docs.columns, "_rows")
-    out = kept.filter("_rows = 1").drop("_rows")
+    kept = docs.join(stays.hint("merge"), "doc_id", "inner").select(*docs.columns, times)
+    out = kept.filter(F.col(times) == 1).drop(times)
     prints = fingerprint_column(text_of(), shingle)
-    again = stays.filter("_rows > 1")
+    again = stays.filter(F.col(times) > 1)
     if not again.isEmpty():
-        named = naming.join(again, "doc_id", "left_semi").select("doc_id", F.col("fp").alias("_fp"), F.col("root").alias("_root"))
-        repeated = kept.filter("_rows > 1").withColumn("_fp", prints).join(stage(named.distinct(), "named"), ["doc_id", "_fp"])
-        out = out.unionByName(repeated.dropDuplicates(["doc_id", "_root"]).select(*docs.columns))
+        named = naming.join(again, "doc_id", "left_semi").select("doc_id", F.col("fp").alias(print_), F.col("root").alias(root))
+        repeated = kept.filter(F.col(times) > 1).withColumn(print_, prints).join(stage(named.distinct(), "named"), ["doc_id", print_])
+        out = out.unionByName(repeated.dropDuplicates(["doc_id", root]).select(*docs.columns))
     without = docs.filter("doc_id IS NULL")
     if not without.isEmpty():
-        bare = stage(rows.filter("doc_id IS NULL AND component_id IS NULL").select(F.col("fp").alias("_fp")).distinct(), "bare")
-        out = out.unionByName(without.withColumn("_fp", prints).join(bare, "_fp", "left_semi").select(*docs.columns))
+        bare = stage(rows.filter("doc_id IS NULL AND component_id IS NULL").select(F.col("fp").alias(print_)).distinct(), "bare")
+        out = out.unionByName(without.withColumn(print_, prints).join(bare, print_, "left_semi").select(*docs.columns))
     return out

@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapstack.llm.common import bounded_batches, text_of, worker_cache
+from lapstack.llm.common import bounded_batches, free_name, text_of, worker_cache
 
 _UNITS_KEPT = 200_000  # in each of two generations
 _PAIRS_KEPT = 500_000
@@ -257,5 +257,7 @@ def with_prefix_counts(docs: DataFrame, path: str) -> DataFrame:
     empty texts have no tokens. Columns of those names are replaced, all others kept.
     """
     bounded_batches(docs.sparkSession)
-    out = docs.drop("prefix_steps", "n_tokens", "_counted").withColumn("_counted", counted(text_of(), path))
-    return out.withColumns({"prefix_steps": F.col("_counted.steps"), "n_tokens": F.col("_counted.n_tokens")}).drop("_counted")
+    docs = docs.drop("prefix_steps", "n_tokens")
+    name = free_name([*docs.columns, "prefix_steps", "n_tokens"], "counted")
+    out = docs.withColumn(name, counted(text_of(), path))
+    return out.withColumns({"prefix_steps": F.col(name)["steps"], "n_tokens": F.col(name)["n_tokens"]}).drop(name)

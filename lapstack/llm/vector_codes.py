@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapstack.llm.common import with_value_by_key
+from lapstack.llm.common import free_name, with_value_by_key
 from lapstack.session import stage
 
 _FAR = np.int64((1 << 63) - 1)
@@ -169,7 +169,7 @@ def with_codes(vectors: DataFrame, books: Codebooks, column: str = "embedding")
     made = coded(_integers(column, books.scale))
     if not entries:  # nothing was learnt, so there was no row
         made = F.lit(None).cast("struct<code:string,error:bigint>")
-    name = next(n for n in ("_made", "_made_code", "_made_code_and_error") if n not in vectors.columns)
+    name = free_name([*vectors.columns, "code", "error"], "made")
     return rows.withColumn(name, made).withColumns({"code": F.col(name)["code"], "error": F.col(name)["error"]}).drop(name)
 
 

@@ -81,3 +81,57 @@ def test_grants_keep_the_quota():
     ]
     granted = sharding._granted(asked, loads, 100)
     assert (0, 1, 1, 0) in granted and max(loads.values()) <= 100 and sum(loads.values()) == 240
+
+
+def by_turns(texts, shards, quota):
+    """Label propagation one document after the other: to the shard with most copies that has room, until nothing moves."""
+    rng = random.Random(3)
+    size = [len(t.encode()) + 8 for t in texts]
+    label = [i % shards for i in rng.sample(range(len(texts)), len(texts))]
+    load, held = Counter(), defaultdict(Counter)
+    for t, s, w in zip(texts, label, size):
+        load[s] += w
+        held[t][s] += 1
+    moved = True
+    while moved:
+        moved = False
+        for i, t in enumerate(texts):
+            best = max((n - (s == label[i]), s) for s, n in held[t].items())
+            if best[0] > held[t][label[i]] - 1 and load[best[1]] + size[i] <= quota:
+                load[label[i]] -= size[i]
+                load[best[1]] += size[i]
+                held[t][label[i]] -= 1
+                held[t][best[1]] += 1
+                label[i], moved = best[1], True
+    return held, load
+
+
+def cut_edges(held):
+    return sum((sum(c.values()) ** 2 - sum(n * n for n in c.values())) // 2 for c in held.values())
+
+
+@pytest.mark.parametrize("groups", [[2] * 80, [3, 9, 27, 81, 5, 5, 5], [200, 40, 40, 2, 2, 2, 2]])
+def test_cut_edges_against_sequential_propagation(spark, docs_of, groups):
+    rng = random.Random(5)
+    texts = [f"group {g} " * 3 for g, n in enumerate(groups) for _ in range(n)] + [f"alone {i} " * rng.randint(1, 6) for i in range(300)]
+    rng.shuffle(texts)
+    shards = 5
+    rows = sharding.shard(docs_of(texts), sharding.Settings(shards=shards)).collect()
+    held, load = defaultdict(Counter), Counter()
+    for r in rows:
+        held[texts[r.doc_id]][r.shard] += 1
+        load[r.shard] += r.size
+    mean = sum(load.values()) / shards
+    plain, plain_load = by_turns(texts, shards, mean * 1.05)
+    assert max(load.values()) <= 1.05 * mean
+    assert cut_edges(held) <= cut_edges(plain) * 1.05 + 1
+
+
+def test_rows_of_one_id_or_none_are_dealt_out(spark, docs_of):
+    rows = docs_of([(None, "same")] * 300 + [(7, "same")] * 300).repartition(4)
+    buckets = sharding.documents_of(rows).selectExpr("row_hash").distinct().count()
+    assert buckets == 600
+    placed = sharding.shard(rows, sharding.Settings(shards=3)).collect()
+    sizes = Counter(r.shard for r in placed)
+    assert len(placed) == 600 and max(sizes.values()) - min(sizes.values()) < 30
+    check_slots(placed)
