@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapstack.operators.scans import leading, ordered_scan, row_number, running_sum, same_keys
+from lapstack.operators.scans import GroupProfile, leading, ordered_scan, row_number, running_sum, same_keys
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -50,9 +50,10 @@ def rank_with_gap(
     lead: str = "leader_points",
     gap: str = "points_behind_leader",
     limit: int | None = None,
+    profile: GroupProfile | None = None,
 ) -> DataFrame:
     """Position in the group, the leader's value, and the distance to it."""
-    ranked = ordered_scan(df, keys, order, {rank: row_number(), lead: leading(value)}, limit=limit)
+    ranked = ordered_scan(df, keys, order, {rank: row_number(), lead: leading(value)}, profile, limit)
     return ranked.withColumn(gap, F.col(lead) - F.col(value))
 
 

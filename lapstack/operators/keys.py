@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapstack.operators.groups import best_per_key
 from lapstack.operators.scans import dense_ids
+from lapstack.session import stage
 
 
 def max_id(known: DataFrame, id_column: str) -> int:
@@ -74,3 +75,26 @@ def with_lineage(history: DataFrame, api: DataFrame) -> DataFrame:
     """Bag union by column name; columns one side lacks are NULL."""
     tagged = api.withColumn("source", F.lit("api"))
     return history.unionByName(tagged, allowMissingColumns=True)
+
+
+def lasting_ids(
+    spark: SparkSession, store: str, run: str, mentions: DataFrame, keys: Sequence[str], id_column: str, order: Sequence[Column]
+) -> DataFrame:
+    """Ids that outlive a run: ``keys``, ``id_column`` and ``run`` of every key known after this run.
+
+    ``store`` is a folder to which every run adds the keys that no run before it had, numbered on from the highest id in
+    the order of their first mention; nothing stored is rewritten. Mentions of known keys go before anything is
+    numbered. A run that is done again replaces what it added, and gives the same ids for the same mentions.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in mentions.schema if f.name in keys)
+    path = spark._jvm.org.apache.hadoop.fs.Path(store)
+    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    layout = f"{schema}, `{id_column}` bigint, run string"
+    known = spark.read.schema(layout).parquet(store) if there else spark.createDataFrame([], layout)
+    earlier = known.filter(F.col("run") != run)
+    fresh = resolve_keys(earlier, mentions, keys, id_column, order).select(*keys, id_column, F.lit(run).alias("run"))
+    fresh = stage(fresh, "fresh-ids")
+    own = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/run={run}")
+    own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
+    fresh.write.mode("append").partitionBy("run").parquet(store)
+    return earlier.unionByName(fresh)

@@ -202,31 +202,35 @@ def championship_standings(hub: DataFrame, limit: int | None = None) -> DataFram
 
     ``limit`` stands in for the session's row limit of a group.
     """
+    by_driver, by_round = ["driver_id", "season"], ["season", "round"]
+    profiles = [profile_groups(hub.select(*keys), keys, limit=limit) for keys in (by_driver, by_round)]
+    wide = [*ENTRY, "driver_name", F.col("constructor_name").alias("team"), "source"]
     rows = hub.select(
-        "driver_id",
-        "race_id",
+        *wide,
         "season",
         "round",
-        "driver_name",
-        F.col("constructor_name").alias("team"),
         (F.col("points") + F.coalesce(F.col("sprint_points"), F.lit(0))).alias("_points"),
         F.col("is_win").cast("int").alias("_win"),
         F.col("is_podium").cast("int").alias("_podium"),
-        "source",
     )
+    # what is stored and sorted for hot groups has keys and values only; names join at the end
+    hot = any(p.hot_groups for p in profiles)
     totals = ordered_scan(
-        rows,
-        ["driver_id", "season"],
+        rows.drop("driver_name", "team", "source") if hot else rows,
+        by_driver,
         [F.col("round").asc_nulls_last(), F.col("race_id").asc()],
         {
             "cumulative_points": running_sum("_points"),
             "wins_so_far": running_sum("_win"),
             "podiums_so_far": running_sum("_podium"),
         },
-        limit=limit,
+        profiles[0],
+        limit,
     ).drop("_points", "_win", "_podium")
     order = [top("cumulative_points"), top("wins_so_far"), top("podiums_so_far"), F.col("driver_id").asc()]
-    ranked = rank_with_gap(totals, ["season", "round"], order, "cumulative_points", limit=limit)
+    ranked = rank_with_gap(totals, by_round, order, "cumulative_points", limit=limit, profile=profiles[1])
+    if hot:
+        ranked = ranked.join(hub.select(*wide), ENTRY)
     return ranked.select(
         composite_text_key("driver_id", "race_id").alias("driver_race_key"),
         "driver_id",

@@ -24,7 +24,7 @@ from lapstack.session import document_bytes, stage
 from lapstack.sources import payloads as p
 from lapstack.sources.documents import split_entries, split_items
 from lapstack.sources.files import BY_YEAR, in_file_order, largest_file, read_history, read_payload, read_year_payloads
-from lapstack.sources.sinks import bronze_layout, write_bronze
+from lapstack.sources.sinks import FILE_ROWS, bronze_layout, write_fixed
 
 SEEN = ["year", "_rank", "_entry", "_item", "_part"]
 
@@ -196,6 +196,7 @@ def bronze_order(table: str) -> list[Column]:
     return [*numbers, *[F.col(c).asc_nulls_last() for c in BRONZE_COLUMNS[table][3:]]]
 
 
-def write_all(bronze: dict[str, DataFrame], bronze_dir: str) -> None:
+def write_all(bronze: dict[str, DataFrame], bronze_dir: str, file_rows: int = FILE_ROWS) -> None:
+    """The bronze tables as files that are the same byte for byte on every run."""
     for table, columns in BRONZE_COLUMNS.items():
-        write_bronze(bronze[table], f"{bronze_dir}/{table}", columns, bronze_order(table))
+        write_fixed(bronze[table], f"{bronze_dir}/{table}", columns, bronze_order(table), file_rows)

@@ -8,6 +8,7 @@ from lapstack.operators import keys
 from lapstack.plans.star import LINE_COLUMNS
 from lapstack.registry.core import register
 from lapstack.registry.sql import LINE_ORDER
+from lapstack.session import scratch_path
 
 
 def _known(t):
@@ -140,3 +141,29 @@ register(
     "SELECT c_custkey AS key, c_name AS name, c_mktsegment AS segment, 'historical' AS source FROM customer UNION ALL "
     "SELECT s_suppkey, s_name, NULL, 'api' FROM supplier",
 )
+
+
+def _lasting(t):
+    """Customers numbered by the orders up to 1995, then up to 1998; the first run once more in between changes nothing."""
+    store = scratch_path(t.spark, "ids")
+    orders = _mentions(t).join(t.raw("orders").select("o_orderkey", F.year("o_orderdate").alias("year")), "o_orderkey")
+
+    def run(name, upto):
+        return keys.lasting_ids(t.spark, store, name, orders.filter(F.col("year") <= upto), ["driverRef"], "driverId", _seen())
+
+    run("first", 1995)
+    run("first", 1995)
+    return run("second", 1998)
+
+
+register(
+    "key_9_lasting_ids",
+    "driverRef:text driverId run:text",
+    _lasting,
+    """WITH seen AS (SELECT c_name, min(o_orderkey) AS first_seen, min(o_orderkey) FILTER (year(o_orderdate) <= 1995) AS early
+      FROM orders JOIN customer ON c_custkey = o_custkey WHERE year(o_orderdate) <= 1998 GROUP BY c_name),
+    old AS (SELECT c_name, row_number() OVER (ORDER BY early) AS id FROM seen WHERE early IS NOT NULL)
+    SELECT c_name AS "driverRef", id AS "driverId", 'first' AS run FROM old
+    UNION ALL SELECT c_name, (SELECT coalesce(max(id), 0) FROM old) + row_number() OVER (ORDER BY first_seen), 'second'
+    FROM seen WHERE early IS NULL""",
+)

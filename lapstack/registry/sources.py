@@ -19,7 +19,7 @@ from lapstack.schemas import BRONZE_COLUMNS
 from lapstack.session import scratch_path
 from lapstack.sources import payloads as p
 from lapstack.sources.documents import split_items
-from lapstack.sources.files import completeness_report, read_text_csv, select_years
+from lapstack.sources.files import completeness_report, inventory_report, landed_files, read_text_csv, select_years
 from lapstack.sources.sinks import (
     bronze_layout,
     create_layers,
@@ -27,6 +27,7 @@ from lapstack.sources.sinks import (
     load_table,
     table_counts,
     write_bronze,
+    write_fixed,
     write_table,
 )
 
@@ -352,6 +353,36 @@ register(
     "SELECT 'last_year', 'year', max(year(o_orderdate)), max(year(o_orderdate)) >= 2001 FROM orders",
 )
 
+
+
+def _inventory(t):
+    """Files of two endpoints in year folders; the last year of one is missing, the first of the other is empty."""
+
+    def write(_, path):
+        years = t.raw("orders").select(F.year("o_orderdate").alias("year"), F.to_json(F.struct("o_orderkey")).alias("line"))
+        last, first = (years.agg(f("year")).first()[0] for f in (F.max, F.min))
+        years.filter(F.col("year") != last).write.partitionBy("year").text(f"{path}/results")
+        years.filter(F.col("year") != first).write.partitionBy("year").text(f"{path}/laps")
+        empty = t.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/laps/year={first}/part-0.txt")
+        empty.getFileSystem(t.spark._jsc.hadoopConfiguration()).create(empty).close()
+
+    path = t.landed("inventory", write)
+    endpoints = t.spark.createDataFrame([("results",), ("laps",)], "endpoint string")
+    expected = t.raw("orders").select(F.year("o_orderdate").alias("year")).distinct().join(F.broadcast(endpoints), F.lit(True))
+    report = inventory_report(expected.select("endpoint", "year"), landed_files(t.spark, path), r"/([a-z]+)/year=([0-9]+)/[^/]+$")
+    return report.select("endpoint", "year", (F.col("files") > 0).alias("found"), "passed")
+
+
+_YEARS = "(SELECT min(year(o_orderdate)) AS low, max(year(o_orderdate)) AS high FROM orders)"
+register(
+    "src_13_file_inventory",
+    "endpoint:text year found:flag passed:flag",
+    _inventory,
+    f"""SELECT endpoint, y AS year, NOT (endpoint = 'results' AND y = high) AS found,
+        NOT (endpoint = 'results' AND y = high OR endpoint = 'laps' AND y = low) AS passed
+    FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders), (VALUES ('results'), ('laps')) e(endpoint), {_YEARS}""",
+)
+
 # ---- sinks ------------------------------------------------------------------------------
 
 
@@ -387,6 +418,32 @@ register(
 )
 
 
+def _fixed_files(t):
+    """Orders written twice over different partitions; each file with its rows and whether both have the same bytes."""
+    columns = ["o_orderkey", "o_custkey", "o_orderdate"]
+    order = [F.col("o_orderkey").cast("bigint").asc()]
+    rows = t.raw("orders").select(*columns, F.lit("historical").alias("source"))
+    found = []
+    for parts in (3, 7):
+        path = scratch_path(t.spark, "fixed")
+        write_fixed(rows.repartition(parts, "o_custkey"), path, columns, order, _FILE_ROWS)
+        files = t.spark.read.format("binaryFile").load(path)
+        found.append(files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.sha2("content", 256).alias("digest"), "content"))
+    one, two = found[0], found[1].select("file", F.col("digest").alias("other"))
+    lines = F.size(F.split(F.col("content").cast("string"), "\n")) - 2  # the header, and nothing after the last line end
+    return one.join(two, "file", "full_outer").select("file", lines.alias("lines"), F.col("digest").eqNullSafe(F.col("other")).alias("same"))
+
+
+_FILE_ROWS = 4000
+register(
+    "snk_1_fixed_files",
+    "file:text lines same:flag",
+    _fixed_files,
+    f"""SELECT 'part-' || lpad(CAST(k AS VARCHAR), 5, '0') || '.csv' AS file, count(*) AS lines, true AS same
+    FROM (SELECT (row_number() OVER (ORDER BY o_orderkey) - 1) // {_FILE_ROWS} AS k FROM orders) GROUP BY k""",
+)
+
+
 def _load_modes(t):
     """A table loaded twice, replaced, then appended to; loading it once more in mode ``fail`` is refused."""
     (bronze,) = _layers(t, "bronze")

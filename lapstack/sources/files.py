@@ -105,6 +105,43 @@ def read_year_payloads(
     return select_years(read_payload(spark, layout.format(root=root, endpoint=endpoint), endpoint), start_year)
 
 
+def landed_files(spark: SparkSession, root: str) -> DataFrame:
+    """``path``, ``bytes`` and ``changed`` of every file below a folder; folders are listed by Spark, contents not read.
+
+    Spark gives empty files to no task: they are known from its listing alone, with no time.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    listed = spark.createDataFrame([(p,) for p in found.inputFiles()], "path string").select(_plain_path("path").alias("path"))
+    sizes = found.select(_plain_path("path").alias("path"), F.col("length").alias("bytes"), F.col("modificationTime").alias("changed"))
+    return listed.join(sizes, "path", "left").withColumn("bytes", F.coalesce("bytes", F.lit(0)))
+
+
+def _plain_path(column: str) -> Column:
+    """A local path is written with one slash or three."""
+    return F.regexp_replace(column, "^file:/+", "file:/")
+
+
+def inventory_report(expected: DataFrame, files: DataFrame, pattern: str) -> DataFrame:
+    """One row per expected file or folder: its files, their bytes and the newest time; passed if none is missing or empty.
+
+    ``pattern`` takes the texts of the columns of ``expected`` out of a path, a group for each in their order; paths
+    that do not match belong to nothing that is expected.
+    """
+    names = expected.columns
+    parts = [F.regexp_extract("path", pattern, i + 1).alias(n) for i, n in enumerate(names)]
+    found = files.filter(F.col("path").rlike(pattern)).select(*parts, "bytes", "changed").groupBy(*names).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.min("bytes").alias("least"), F.max("changed").alias("changed")
+    )
+    wanted = expected.select(*[F.col(n).cast("string").alias(n) for n in names])
+    return wanted.join(found, names, "left").select(
+        *names,
+        F.coalesce("files", F.lit(0)).alias("files"),
+        F.coalesce("bytes", F.lit(0)).alias("bytes"),
+        "changed",
+        (F.coalesce("least", F.lit(0)) > 0).alias("passed"),
+    )
+
+
 def completeness_report(
     expected: DataFrame, present: Mapping[str, DataFrame], last_year: DataFrame | None = None, expected_year: int = 0
 ) -> DataFrame:
