@@ -45,7 +45,7 @@ def _spans(parents: DataFrame) -> DataFrame:
     sizes = parents.groupBy("parent").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n"))
     span = F.col("high").cast("decimal(38,0)") - F.col("low").cast("decimal(38,0)")
     dense = span / (8 * _BITMAP_BYTES) * _BITMAP_BYTES <= F.col("n") * _ID_BYTES + 64 * _BITMAP_BYTES
-    return settle(sizes.select("parent", "low", "high", F.coalesce(dense, F.lit(False)).alias("dense")))
+    return sizes.select("parent", "low", "high", F.coalesce(dense, F.lit(False)).alias("dense"))
 
 
 def _placed(rows: DataFrame, spans: DataFrame) -> DataFrame:
@@ -95,16 +95,16 @@ def lost_keys(children: Mapping[str, DataFrame], links: Sequence[Link]) -> DataF
     spans = _spans(parents)
     parents = _placed(parents, spans)
     rows = _placed(_numbered(reduce(DataFrame.unionByName, stacked)), spans)
-    used = settle(_bits(rows, ["child", "column", "parent", "range"], F.count(F.lit(1)).alias("n")))
-    both = used.filter("range >= 0").select("parent", "range", "bits", F.lit(False).alias("own"))
-    both = both.unionByName(_bits(parents.filter("range >= 0"), ["parent", "range"]).withColumn("own", F.lit(True)))
+    used = _bits(rows, ["child", "column", "parent", "range"]).select("parent", "range", "bits", F.lit(False).alias("own"))
+    both = used.unionByName(_bits(parents, ["parent", "range"]).withColumn("own", F.lit(True)))
     compared = both.groupBy("parent", "range").agg(
         F.bitmap_count(F.bitmap_or_agg("bits")).alias("all"),
         F.coalesce(F.max(F.when(F.col("own"), F.bitmap_count("bits"))), F.lit(0)).alias("there"),
+        F.min("own").alias("only_parents"),
     )
     # the ids of these ranges, and keys that have no range, are compared themselves
-    lossy = compared.filter(F.col("all") > F.col("there")).select("parent", "range")
-    wanted = settle(lossy.unionByName(used.filter("range < 0").select("parent", "range").distinct()))
+    lossy = F.when(F.col("range") < 0, ~F.col("only_parents")).otherwise(F.col("all") > F.col("there"))
+    wanted = settle(compared.filter(lossy).select("parent", "range"))
     if wanted.isEmpty():
         return rows.sparkSession.createDataFrame([], _LOST)
     suspects = rows.join(wanted, ["parent", "range"], "left_semi").groupBy("child", "column", "parent", "key")
