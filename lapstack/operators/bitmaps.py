@@ -132,3 +132,26 @@ def rows_with_lost_keys(child: DataFrame, parents: Mapping[str, tuple[DataFrame,
             bad = bad | F.col(mark).isNotNull()
             taken += [mark, f"{mark}_key"]
     return marked.filter(bad).drop(*taken)
+
+
+def distinct_bitmaps(df: DataFrame, keys: Sequence[str], ids: Sequence[str]) -> DataFrame:
+    """The distinct ids of every group as bitmaps: ``keys``, ``name`` (the id column), ``range`` and ``bits``.
+
+    All id columns come from one pass, without a row for each distinct combination. Bitmaps of groups can be merged to
+    any coarser grain (``merged_bitmaps``); they pay for whole numbers that lie close together, as ids of dimensions do.
+    """
+    pairs = [F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("bigint").alias("id")) for c in ids]
+    rows = df.select(*keys, F.explode(F.array(*pairs)).alias("x")).select(*keys, "x.name", "x.id").filter("id IS NOT NULL")
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits")
+    return rows.groupBy(*keys, "name", F.bitmap_bucket_number("id").alias("range")).agg(bits)
+
+
+def merged_bitmaps(bitmaps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bitmaps of a coarser grain: what any of the merged groups has counts once."""
+    return bitmaps.groupBy(*keys, "name", "range").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def distinct_counts(bitmaps: DataFrame, keys: Sequence[str], ids: Sequence[str]) -> DataFrame:
+    """``keys`` and, under the name of each id column, how many distinct ids a group has."""
+    counts = bitmaps.groupBy(*keys).pivot("name", list(ids)).agg(F.sum(F.bitmap_count("bits")))
+    return counts.select(*keys, *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in ids])

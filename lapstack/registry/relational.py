@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lapstack.functions.scalars import exact_avg
+from lapstack.operators.bitmaps import distinct_bitmaps, distinct_counts, merged_bitmaps
 from lapstack.operators.groups import (
     best_per_key,
     distinct_list,
@@ -20,6 +21,7 @@ from lapstack.plans.quality import foreign_key
 from lapstack.plans.star import RAW
 from lapstack.registry.core import register
 from lapstack.registry.sql import LINE_ORDER, half_up_avg
+from lapstack.session import stage
 from lapstack.sources.files import missing_names
 from lapstack.sources.sinks import table_counts
 
@@ -308,6 +310,27 @@ register(
     "FROM hub GROUP BY driver_id",
     ["hub"],
 )
+
+
+def _rolled_distinct(t):
+    """Drivers, teams and races of a season and circuit, once as bitmaps; merged to circuits, to seasons and to all."""
+    ids = ["driver_id", "constructor_id", "race_id"]
+    fine = stage(distinct_bitmaps(t["race_results_detail"], ["season", "circuit_id"], ids), "bitmaps")
+    parts = [distinct_counts(fine, ["season", "circuit_id"], ids).withColumn("grain", F.lit("both"))]
+    for grain, keys in (("season", ["season"]), ("circuit", ["circuit_id"])):
+        parts.append(distinct_counts(merged_bitmaps(fine, keys), keys, ids).withColumn("grain", F.lit(grain)))
+    return parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+
+
+register(
+    "agg_4_rolled_distinct",
+    "grain:text season circuit_id driver_id constructor_id race_id",
+    _rolled_distinct,
+    "SELECT CASE grouping(season, circuit_id) WHEN 0 THEN 'both' WHEN 1 THEN 'season' ELSE 'circuit' END AS grain, season, "
+    "circuit_id, count(DISTINCT driver_id) AS driver_id, count(DISTINCT constructor_id) AS constructor_id, "
+    "count(DISTINCT race_id) AS race_id FROM hub GROUP BY GROUPING SETS ((season, circuit_id), (season), (circuit_id))",
+    ["hub"],
+)
 for _entity, _name in (("driver_id", "constructor_name"), ("constructor_id", "driver_name")):
     register(
         f"agg_5_{_name}_rows",

@@ -5,7 +5,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lapstack.operators.bitmaps import Link, lost_keys, rows_with_lost_keys
+from lapstack.operators.bitmaps import (
+    Link,
+    distinct_bitmaps,
+    distinct_counts,
+    lost_keys,
+    merged_bitmaps,
+    rows_with_lost_keys,
+)
 
 from conftest import rows
 
@@ -65,3 +72,17 @@ def test_null_keys(spark):
     assert [r.id for r in rows_with_lost_keys(child, parent).collect()] == [3]
     assert sorted(r.id for r in rows_with_lost_keys(child, parent, null_is_lost=True).collect()) == [1, 3]
     assert lost_keys({"c": child.filter(F.lit(False))}, [Link("c", "k", *parent["k"])]).count() == 0
+
+
+def test_distinct_counts_roll_up(spark):
+    rng = random.Random(4)
+    made = [(rng.randrange(4), rng.randrange(3), rng.choice([None, rng.randrange(-100_000, 100_000), 7]), rng.randrange(9)) for _ in range(400)]
+    frame = spark.createDataFrame(made, "a int, b int, x bigint, y int")
+    fine = distinct_bitmaps(frame, ["a", "b"], ["x", "y"])
+    for bitmaps, keys in ((fine, ["a", "b"]), (merged_bitmaps(fine, ["a"]), ["a"]), (merged_bitmaps(fine, []), [])):
+        got = {tuple(r[k] for k in keys): (r.x, r.y) for r in distinct_counts(bitmaps, keys, ["x", "y"]).collect()}
+        at = ["ab".index(k) for k in keys]
+        for key, counts in got.items():
+            own = [m for m in made if tuple(m[i] for i in at) == key]
+            assert counts == (len({m[2] for m in own} - {None}), len({m[3] for m in own}))
+        assert set(got) == {tuple(m[i] for i in at) for m in made}
