@@ -8,6 +8,7 @@ import glob
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lapstack.operators import scans
 from lapstack.operators.scans import GroupProfile, _chunks
 from lapstack.plans import marts, quality, star
 from lapstack.registry import landing
@@ -75,6 +76,73 @@ def test_lines_are_numbered_within_their_order(spark):
     assert numbered and all("windowspecdefinition(l_orderkey" in x for x in numbered)
 
 
+def _stops_plainly(lines):
+    place = F.row_number().over(Window.partitionBy("race_id", "driver_id").orderBy("lap_number")).cast("int")
+    return lines.filter("l_returnflag = 'R'").withColumn("stop_number", place)
+
+
+def test_returned_lines_know_their_number(spark):
+    lines = _lines(spark).withColumn("l_returnflag", F.when(~((F.col("l_orderkey") == 4) & (F.col("l_linenumber") == 1)), F.col("l_returnflag")))
+    made = spark.createDataFrame(star.lap_lines(_orders(spark), lines).collect(), star.lap_lines(_orders(spark), lines).schema)
+    columns = ("race_id", "driver_id", "lap_number", "stop_number")
+    stops = star.fact_pit_stops(made)
+    assert stops.count() > 10 and rows(stops, *columns) == rows(_stops_plainly(made), *columns)
+    # they are told without moving a row
+    assert "Exchange" not in _plan(stops) and "Window" not in _plan(stops)
+
+
+def test_hot_orders_know_their_stops(spark, tiny_groups):
+    made = star.lap_lines(_orders(spark), _lines(spark)).cache()
+    columns = ("race_id", "driver_id", "lap_number", "stop_number")
+    assert rows(star.fact_pit_stops(made), *columns) == rows(_stops_plainly(made), *columns)
+
+
+def test_models_told_row_by_row_are_not_stored(spark, tmp_path):
+    _orders(spark).write.parquet(f"{tmp_path}/orders.parquet")
+    _lines(spark).write.parquet(f"{tmp_path}/lineitem.parquet")
+    t = star.StarTables(spark, str(tmp_path))
+    stops, laps = t["fact_pit_stops"], t["fact_lap_times"]
+    assert set(t._store) == {"lap_lines"}
+    assert set(laps.inputFiles()) == set(stops.inputFiles()) == set(t["lap_lines"].inputFiles())
+    assert t["fact_lap_times"] is laps and laps.count() > stops.count() > 0
+
+
+def test_months_are_sized_by_their_orders(spark, monkeypatch):
+    asked = []
+    plain = star.profile_groups
+    monkeypatch.setattr(star, "profile_groups", lambda df, keys, within=None: asked.append((df, keys, within)) or plain(df, keys, within=within))
+    customer = spark.createDataFrame([(7,), (7,), (8,)], "c_custkey long")
+    assert star.entries(_orders(spark), customer).count() == 4
+    ((base, keys, within),) = asked
+    most = [df.groupBy(*keys).count().agg(F.max("count")).first()[0] for df in (base, within)]
+    assert most[0] <= most[1]
+
+
+def test_races_of_a_season_are_counted_where_it_lies(spark):
+    schema = (
+        "driver_id long, season int, race_id long, is_win boolean, is_podium boolean, points decimal(18,2), sprint_points decimal(18,2), "
+        "qualifying_position int, fastest_lap_rank int, is_dnf boolean, source string"
+    )
+    races = [(1, 2030, 5), (1, 2030, 5), (1, 2030, 6), (1, 2031, 7), (2, 2030, None), (2, None, 8), (None, 2030, 9), (None, 2030, 9)]
+    hub = spark.createDataFrame([(*r, True, False, None, None, 1, 1, False, "api") for r in races], schema)
+    rollup = marts.season_rollup(hub, "driver_id")
+    distinct = hub.groupBy("driver_id", "season").agg(F.count_distinct("race_id").alias("races_entered"))
+    columns = ("driver_id", "season", "races_entered")
+    assert rows(rollup, *columns) == rows(distinct, *columns)
+    assert rollup.schema["races_entered"].dataType == distinct.schema["races_entered"].dataType
+    assert _plan(rollup).count("Exchange hashpartitioning") == 1
+
+
+def test_numbers_of_hot_groups_need_no_window_over_their_rows(spark):
+    table = spark.range(600).select((F.col("id") % 2).alias("k"), F.when(F.col("id") % 5 > 0, F.col("id") % 3).alias("n"), (F.col("id") % 40).alias("v"), F.col("id").alias("x"))
+    table = table.unionByName(table.limit(50)).withColumn("_tie", F.monotonically_increasing_id())
+    order = [F.col("v").desc(), F.col("x").asc_nulls_last()]
+    hot = scans._chunked_scan(table, ["k", "n"], order, {"at": scans.row_number()}, GroupProfile(30, 8, 650))
+    plain = table.drop("_tie").withColumn("at", F.row_number().over(Window.partitionBy("k", "n").orderBy(*order)).cast("bigint"))
+    assert rows(hot) == rows(plain) and hot.columns == plain.columns
+    assert "Window" not in _plan(hot) and "Exchange hashpartitioning" not in _plan(hot)
+
+
 def test_pages_of_results_are_compressed_and_whole(spark, tmp_path):
     _orders(spark).write.parquet(f"{tmp_path}/orders.parquet")
     _lines(spark).write.parquet(f"{tmp_path}/lineitem.parquet")
