@@ -12,7 +12,9 @@ from lapstack.operators import scans
 from lapstack.operators.scans import GroupProfile, _chunks
 from lapstack.plans import marts, quality, star
 from lapstack.registry import landing
+from lapstack.session import scratch_path
 from lapstack.sources.documents import read_pieces
+from lapstack.sources.sinks import write_fixed
 from tests.conftest import rows
 
 _ORDERS = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
@@ -143,6 +145,18 @@ def test_numbers_of_hot_groups_need_no_window_over_their_rows(spark):
     assert "Window" not in _plan(hot) and "Exchange hashpartitioning" not in _plan(hot)
 
 
+def test_numbered_rows_of_files_are_not_stored_once_more(spark, tmp_path):
+    table = spark.range(25).select((25 - F.col("id")).cast("string").alias("id"), F.lit("api").alias("source")).repartition(4)
+    stored = f"{scratch_path(spark, 'x').rsplit('/', 1)[0]}/*"
+    before = set(glob.glob(stored))
+    write_fixed(table, f"{tmp_path}/table", ["id"], [F.col("id").cast("bigint")], 10)
+    made = {path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path in set(glob.glob(stored)) - before}
+    assert "places" in made and "numbered" not in made
+    files = sorted(glob.glob(f"{tmp_path}/table/part-*.csv"))
+    found = [[line.split(",")[0] for line in open(file).read().split()[1:]] for file in files]
+    assert found == [[str(i) for i in range(low, min(low + 10, 26))] for low in (1, 11, 21)]
+
+
 def test_pages_of_results_are_compressed_and_whole(spark, tmp_path):
     _orders(spark).write.parquet(f"{tmp_path}/orders.parquet")
     _lines(spark).write.parquet(f"{tmp_path}/lineitem.parquet")
