@@ -44,6 +44,17 @@ def test_low_limits_do_not_make_many_chunks():
     assert _chunks(GroupProfile(3, 1, 10)) == 7
 
 
+def test_large_files_are_read_in_pieces_a_task_can_sort(spark, tmp_path):
+    with open(tmp_path / "lines.txt", "wb") as f:
+        f.truncate(96 << 20)
+    # as where there are far more bytes than cores
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        assert spark.read.text(f"{tmp_path}/lines.txt").rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
 def _numbered_plainly(orders, lines):
     owner = orders.select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("driver_id"),
