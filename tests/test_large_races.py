@@ -3,8 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lapstack import session
 from lapstack.plans.silver import silver_table
 from lapstack.schemas import BRONZE_COLUMNS
+from lapstack.session import stage
 from tests.conftest import rows
 
 
@@ -15,3 +17,27 @@ def test_places_of_a_large_race_are_typed(spark, table, bronze):
     columns["positionOrder"] = F.element_at(F.array(F.lit("32768"), F.lit("110000"), F.lit("3000000001")), F.col("id").cast("int"))
     typed = silver_table(table, spark.range(1, 4).select("id", *[v.alias(c) for c, v in columns.items()]))
     assert rows(typed, "position_order") == [(110000,), (3000000001,), (32768,)]
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_that_pack_well_are_not_broadcast(spark):
+    """Half a million names take under a megabyte in files, and many times that in the driver."""
+    names = stage(spark.range(500_000).select("id", F.concat(F.lit("customer#"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("name")), "names")
+    assert "Broadcast" not in _plan(names.join(names.withColumnRenamed("name", "other"), "id"))
+
+
+def test_stored_frames_are_broadcast_when_counted_few(spark, monkeypatch):
+    stats = stage(spark.range(20), "stats")
+    rows_of = spark.range(1000).withColumn("id", F.col("id") % 40)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        joined = rows_of.join(session.few(stats), "id")
+        assert "BroadcastHashJoin" in _plan(joined) and joined.count() == 500
+        monkeypatch.setattr(session, "_FEW_ROWS", 19)
+        assert "Broadcast" not in _plan(rows_of.join(session.few(stats), "id"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
