@@ -1,13 +1,19 @@
 """Races with far more entries than any real one: places in a list are not bound by the widths of racing data."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from lapstack import session
+from lapstack.plans import star
 from lapstack.plans.silver import silver_table
+from lapstack.registry import landing
 from lapstack.schemas import BRONZE_COLUMNS
 from lapstack.session import stage
+from lapstack.sources import documents
 from tests.conftest import rows
+from tests.test_moved_rows import _lines, _orders
 
 
 @pytest.mark.parametrize(("table", "bronze"), [("fact_results", "results"), ("fact_sprint_results", "sprint_results")])
@@ -41,3 +47,31 @@ def test_stored_frames_are_broadcast_when_counted_few(spark, monkeypatch):
         assert "Broadcast" not in _plan(rows_of.join(session.few(stats), "id"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_pieces_of_documents_move_once(spark, tmp_path, monkeypatch):
+    """A long item, a long array and short ones: what lies in one block is put together there."""
+    laps = lambda n, size=1: [{"number": str(i), "Timings": [{"driverId": "d" * size, "position": str(i)}]} for i in range(n)]
+    races = [{"season": "2031", "round": str(r), "Laps": laps(n, size)} for r, (n, size) in enumerate([(3, 1), (60, 1), (0, 1), (2, 900), (4, 2)], 1)]
+    (tmp_path / "2031").mkdir()
+    (tmp_path / "2031" / "laps.json").write_text(json.dumps({"MRData": {"RaceTable": {"Races": races}}}))
+    stored, plain = [], documents.stage
+    monkeypatch.setattr(documents, "stage", lambda df, label: stored.append((label, _plan(df))) or plain(df, label))
+    items = documents.split_items(spark, f"{tmp_path}/*/laps.json", "laps", 2031, 400)
+    found = rows(items, "round", "_entry", "_item", "i.number", F.length(F.col("i.Timings")[0]["driverId"]))
+    assert found == sorted(((r["round"] and int(r["round"]), e, n, i["number"], len(i["Timings"][0]["driverId"])) for e, r in enumerate(races) for n, i in enumerate(r["Laps"])), key=repr)
+    # texts are stored as pieces and as what a block holds of an item, and shuffled once between
+    assert [label for label, _ in stored] == ["pieces", "parts"]
+    assert stored[1][1].count("Exchange hashpartitioning") == 1
+
+
+def test_laps_of_documents_move_without_what_does_not_tell_them(spark, tmp_path, monkeypatch):
+    _orders(spark).write.parquet(f"{tmp_path}/orders.parquet")
+    _lines(spark).write.parquet(f"{tmp_path}/lineitem.parquet")
+    plans, plain = [], landing.write_documents
+    monkeypatch.setattr(landing, "write_documents", lambda lines, *more: plans.append(_plan(lines.select("ordinal", "l_suppkey"))) or plain(lines, *more))
+    path = landing.lap_documents(star.StarTables(spark, str(tmp_path)))
+    assert plans and not any(c in plans[0] for c in ("l_discount", "l_tax", "l_returnflag", "l_shipdate"))
+    laps = documents.split_items(spark, f"{path}/*", "laps", 0, 100)
+    plainly = landing.race_lines(star.StarTables(spark, str(tmp_path))).filter("season IS NOT NULL")
+    assert laps.count() == plainly.count() > 10
