@@ -12,6 +12,7 @@ from lapstack.registry import landing
 from lapstack.schemas import BRONZE_COLUMNS
 from lapstack.session import stage
 from lapstack.sources import documents
+from lapstack.sources.sinks import write_table
 from tests.conftest import rows
 from tests.test_moved_rows import _lines, _orders
 
@@ -75,3 +76,21 @@ def test_laps_of_documents_move_without_what_does_not_tell_them(spark, tmp_path,
     laps = documents.split_items(spark, f"{path}/*", "laps", 0, 100)
     plainly = landing.race_lines(star.StarTables(spark, str(tmp_path))).filter("season IS NOT NULL")
     assert laps.count() == plainly.count() > 10
+
+
+def test_tables_by_season_are_written_without_a_shuffle(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS large_races")
+    races = spark.range(400, numPartitions=4).select("id", (F.col("id") % 3 + 2030).cast("int").alias("season"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("written", "a table by season")
+    try:
+        write_table(races, "large_races.races", partition="season")
+        stages = [s for j in tracker.getJobIdsForGroup("written") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(stages) == 1
+    files = spark.table("large_races.races").inputFiles()
+    # each season from every task, compressed as all stores are
+    assert len(files) == 12 and all(f.endswith(".zstd.parquet") for f in files)
+    assert rows(spark.table("large_races.races").groupBy("season").count()) == [(2030, 134), (2031, 133), (2032, 133)]
+    spark.sql("DROP DATABASE large_races CASCADE")
